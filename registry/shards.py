@@ -177,9 +177,10 @@ def add_pauses(spark: SparkSession, sf: str) -> DataFrame:
 
 # A text read as a signal: a character's code point above the space's is its sample.
 FRAME, HOP, RATE, SIGNAL_DB, SILENCE_MS = 8, 2, 10, 4.0, 400
-FRAMES = f"""samples AS (SELECT doc_id, list_transform({R.sql_points('text')}, lambda p: p - 32) AS s FROM documents),
-  hops AS (SELECT doc_id, b, coalesce(list_sum(list_transform(s[{HOP} * b + 1:{HOP} * b + {HOP}], lambda x: x * x)), 0)
-      AS e FROM samples, unnest(range(len(s) // {HOP} + 1)) AS r(b)),
+# A zero at the end opens the last frame's hop.
+FRAMES = f"""samples AS (SELECT doc_id, list_append({R.sql_points('text')}, 32) AS s FROM documents),
+  flat AS (SELECT doc_id, unnest(s) - 32 AS x, generate_subscripts(s, 1) - 1 AS i FROM samples),
+  hops AS (SELECT doc_id, i // {HOP} AS b, sum(x * x) AS e FROM flat GROUP BY doc_id, i // {HOP}),
   frames AS (SELECT doc_id, b AS frame, CAST(sum(e) OVER (PARTITION BY doc_id ORDER BY b
       ROWS BETWEEN {FRAME // HOP // 2} PRECEDING AND {FRAME // HOP // 2 - 1} FOLLOWING) AS DOUBLE) / {FRAME} AS energy
     FROM hops)"""

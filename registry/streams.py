@@ -9,7 +9,6 @@ from registry.speakers import PRESET_ROWS, long_form
 from uttera import settings as S
 from uttera.functions import text as T
 from uttera.operators import filters
-from uttera.operators.presets import vector_size
 from uttera.session import work_path
 from uttera.sources.corpus import stream_corpus
 from uttera.streaming import flows as W
@@ -59,6 +58,5 @@ def stream_presets(spark: SparkSession, sf: str) -> DataFrame:
     out, checkpoint = work_path(spark, "stream"), work_path(spark, "offsets")
     schema = R.table(spark, sf, "embeddings").schema
     rows = stream_corpus(spark, f"{sf}/embeddings.parquet*", schema)
-    size = vector_size(R.vectors(spark, sf))
-    W.run_available(W.stream_preset_sums(rows, "label", "embedding", size, out, checkpoint))
-    return long_form(W.running_presets(spark, out, "label", size))
+    W.run_available(W.stream_preset_sums(rows, "label", "embedding", out, checkpoint))
+    return long_form(W.running_presets(spark, out, "label"))

@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttera import settings as S
-from uttera.functions import arrays as A
 from uttera.functions import text as T
+from uttera.session import spread
 
 # The test corpus is in Latin script, so Latin-1 letters stand in for the script the defaults name.
 LATIN = r"\x{C0}-\x{FF}"
@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 def utterances(spark: SparkSession, sf: str) -> DataFrame:

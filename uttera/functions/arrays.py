@@ -60,16 +60,6 @@ def out_of_range(ids: Column, size: int = S.TOKEN_RANGE) -> Column:
     return F.size(F.filter(ids, lambda x: (x < 0) | (x >= size)))
 
 
-def score_positions(preds: Column, labels: Column, ignored: int = S.IGNORED_LABEL) -> Column:
-    """Per scored position 1 or 0: does the prediction at t equal the label at t + 1."""
-    shifted = F.zip_with(
-        F.slice(preds, 1, F.greatest(F.size(preds) - 1, F.lit(0))),
-        F.slice(labels, 2, F.greatest(F.size(labels) - 1, F.lit(0))),
-        lambda p, y: F.when(y != ignored, F.coalesce(p == y, F.lit(False)).cast("int")),
-    )
-    return F.array_compact(shifted)
-
-
 def downmix(channels: Column, layout: str = "last") -> Column:
     """Mean over channels. ``last``: samples of channels, as tables hold them; ``first``: channels of samples."""
 

@@ -1,67 +1,82 @@
-"""Frame power and silence counting inside one row's sample array."""
+"""Frame power and silence counting inside one row's sample array.
 
+Sums over samples run in NumPy on Arrow batches: the same sums as nested lambdas took over twenty times as long.
+"""
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from uttera import settings as S
-from uttera.functions.binding import let
 
 
-def frame_power(samples: Column, frame_length: int = S.FRAME_LENGTH, hop: int = S.HOP_LENGTH) -> Column:
-    """Mean square of each centred, zero-padded frame; ``1 + n // hop`` frames, null for an empty signal.
+def frame_powers(samples, frame_length: int, hop: int) -> np.ndarray:
+    """Mean square of each centred, zero-padded frame: ``1 + n // hop`` of them, none for an empty signal.
 
-    A frame is a whole number of hops on either side of its centre, so each sample is squared once, into its
-    hop's energy, and a frame adds up hops.
+    Half a frame is a whole number of hops, so each sample is squared once, into its hop, and a frame adds up hops.
     """
-    if frame_length % (2 * hop):
-        raise ValueError("half a frame must be a whole number of hops")
+    signal = np.asarray(samples, dtype=np.float64)
+    if signal.size == 0:
+        return signal
+    hops = signal.size // hop + 1
+    padded = np.zeros(hops * hop)
+    padded[: signal.size] = signal
     reach = frame_length // (2 * hop)
+    energy = np.zeros(hops + 2 * reach)
+    energy[reach : reach + hops] = np.square(padded).reshape(hops, hop).sum(axis=1)
+    return sum(energy[k : k + hops] for k in range(2 * reach)) / frame_length
 
-    def total(values: Column, term) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + term(x))
 
-    def frames(signal: Column) -> Column:
-        last = F.floor(F.size(signal) / hop).cast("int")
-        hops = F.transform(
-            F.sequence(F.lit(0), last),
-            lambda b: total(F.slice(signal, b * hop + 1, F.lit(hop)), lambda x: x * x),
-        )
+def silences(powers: np.ndarray, rate: int, hop: int, top_db: float, min_silence_ms: int) -> int:
+    """Silences of at least ``min_silence_ms`` between loud stretches."""
+    if powers.size == 0:
+        return 0
+    floored = np.maximum(powers, S.POWER_FLOOR)
+    silent_frames = np.diff(np.flatnonzero(floored > loud_threshold(floored.max(), top_db))) - 1
+    shortest = int(rate * min_silence_ms / 1000)
+    return int(np.count_nonzero((silent_frames >= 1) & (silent_frames * hop >= shortest)))
 
-        def around(energy: Column, f: Column) -> Column:
-            start = F.greatest(f - reach, F.lit(0))
-            return total(F.slice(energy, start + 1, F.least(f + reach, last + 1) - start), lambda x: x)
 
-        return let(hops, lambda e: F.transform(F.sequence(F.lit(0), last), lambda f: around(e, f) / frame_length))
+def loud_threshold(peak, top_db: float = S.TOP_DB):
+    """Power a frame must exceed to lie within ``top_db`` of the loudest one."""
+    return peak * 10.0 ** (-top_db / 10.0)
 
-    return F.when(F.size(samples) > 0, let(samples.cast("array<double>"), frames))
 
+def check_frames(frame_length: int, hop: int) -> None:
+    if frame_length % (2 * hop):
+        raise ValueError("half a frame must be a whole number of hops")
 
-def loud_threshold(peak: Column, top_db: float = S.TOP_DB) -> Column:
-    """Power a frame must exceed to lie within ``top_db`` of the loudest one."""
-    return F.greatest(peak, F.lit(S.POWER_FLOOR)) * (10.0 ** (-top_db / 10.0))
 
+def frame_power(samples: Column, frame_length: int = S.FRAME_LENGTH, hop: int = S.HOP_LENGTH) -> Column:
+    """The frames' mean squares as ``array<double>``."""
+    check_frames(frame_length, hop)
+
+    @pandas_udf("array<double>")
+    def powers(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda s: None if s is None else frame_powers(s, frame_length, hop))
 
-def is_loud(power: Column, threshold: Column) -> Column:
-    return F.greatest(power, F.lit(S.POWER_FLOOR)) > threshold
+    return powers(samples)
 
 
 def count_gaps(
-    power: Column,
+    samples: Column,
     sampling_rate: Column,
+    frame_length: int = S.FRAME_LENGTH,
     hop: int = S.HOP_LENGTH,
     top_db: float = S.TOP_DB,
     min_silence_ms: int = S.MIN_SILENCE_MS,
 ) -> Column:
-    """Silences of at least ``min_silence_ms`` between loud stretches of a frame-power array; 0 for none."""
-    shortest = F.floor(sampling_rate * F.lit(min_silence_ms) / 1000)
-
-    def between(loud: Column) -> Column:
-        n = F.greatest(F.size(loud) - 1, F.lit(0))
-        silent = F.zip_with(F.slice(loud, 1, n), F.slice(loud, 2, n), lambda a, b: b - a - 1)
-        return F.size(F.filter(silent, lambda frames: (frames >= 1) & (frames * hop >= shortest)))
-
-    def loud_frames(threshold: Column) -> Column:
-        return F.array_compact(F.transform(power, lambda x, i: F.when(is_loud(x, threshold), i)))
-
-    peak = loud_threshold(F.array_max(power), top_db)
-    return F.coalesce(let(let(peak, loud_frames), between), F.lit(0)).cast("int")
+    """Number of silences in a mono signal; 0 for none, and for no signal."""
+    check_frames(frame_length, hop)
+
+    @pandas_udf("int")
+    def gaps(batch: pd.Series, rates: pd.Series) -> pd.Series:
+        counted = [
+            0 if s is None else silences(frame_powers(s, frame_length, hop), r, hop, top_db, min_silence_ms)
+            for s, r in zip(batch, rates)
+        ]
+        return pd.Series(counted, dtype="int32")
+
+    return gaps(samples, F.coalesce(sampling_rate, F.lit(0)))

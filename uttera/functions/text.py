@@ -9,7 +9,7 @@ from uttera.functions.binding import let
 
 def strip(text: Column) -> Column:
     """Drop leading and trailing Unicode whitespace."""
-    return F.regexp_replace(text, rf"^[{S.SPACE_CLASS}]+|[{S.SPACE_CLASS}]+\z", "")
+    return F.btrim(text, F.lit(S.SPACES))
 
 
 def words(text: Column) -> Column:

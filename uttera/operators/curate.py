@@ -45,14 +45,13 @@ def funnel(df: DataFrame, stages: dict[str, Column], by: tuple[str, ...] = ()) -
 
     A row counts as dropped by the first stage whose condition it does not meet.
     """
-    passed: Column = F.lit(True)
-    counts = [F.count(F.lit(1)).alias("seen")]
-    for name, condition in stages.items():
-        met = F.coalesce(condition, F.lit(False))
-        counts.append(F.count_if(passed & ~met).alias(f"dropped_{name}"))
-        passed = passed & met
-    counts.append(F.count_if(passed).alias("accepted"))
-    return df.groupBy(*by).agg(*counts)
+    stage: Column = F.lit(len(stages))
+    for at, condition in reversed(list(enumerate(stages.values()))):
+        stage = F.when(F.coalesce(condition, F.lit(False)), stage).otherwise(F.lit(at))
+    staged = df.select(*by, stage.alias("_stage"))
+    dropped = [F.count_if(F.col("_stage") == at).alias(f"dropped_{name}") for at, name in enumerate(stages)]
+    accepted = F.count_if(F.col("_stage") == len(stages)).alias("accepted")
+    return staged.groupBy(*by).agg(F.count(F.lit(1)).alias("seen"), *dropped, accepted)
 
 
 def curation_stages(

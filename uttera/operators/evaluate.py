@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uttera import settings as S
-from uttera.functions import arrays as A
 
 
 def argmax_pred(logits: DataFrame, keys: list[str], token: str = "token", logit: str = "logit") -> DataFrame:
@@ -22,17 +21,15 @@ def token_accuracy(
 ) -> DataFrame:
     """Shifted next-token accuracy over scored positions, 0.0 when there are none.
 
-    Each row is reduced to two counts before they are summed.
+    The prediction at t is compared with the label at t + 1. Positions are exploded and counted in the same stage:
+    each task sends its two counts per group.
     """
-    hits = A.score_positions(F.col(preds), F.col(labels), ignored)
-    counted = pairs.select(
-        *by,
-        F.size(hits).cast("long").alias("_scored"),
-        F.aggregate(hits, F.lit(0), lambda total, hit: total + hit).cast("long").alias("_correct"),
+    positions = pairs.select(*by, labels, F.posexplode_outer(preds).alias("_at", "_pred"))
+    target = F.try_element_at(labels, (F.col("_at") + 2).cast("int"))
+    scored = F.coalesce(target != ignored, F.lit(False))
+    totals = positions.groupBy(*by).agg(
+        F.count_if(scored & (F.col("_pred") == target)).alias("correct"), F.count_if(scored).alias("scored")
     )
-    scored = F.coalesce(F.sum("_scored"), F.lit(0)).alias("scored")
-    correct = F.coalesce(F.sum("_correct"), F.lit(0)).alias("correct")
-    totals = counted.groupBy(*by).agg(correct, scored)
     accuracy = F.when(F.col("scored") > 0, F.col("correct") / F.col("scored")).otherwise(F.lit(0.0))
     return totals.withColumn("audio_token_accuracy", accuracy)
 

@@ -23,8 +23,8 @@ def infer(
 ) -> DataFrame:
     """Add the ``outputs`` columns that ``apply(model, batch)`` returns for the ``inputs`` columns, and ``error``.
 
-    ``load`` runs once per task. ``apply`` sees up to ``batch_rows`` rows; if it raises, the batch is repeated row by
-    row, so that only the failing rows get an ``error`` and null outputs. Rows that an earlier stage gave an error
+    ``load`` runs once per task. ``apply`` sees up to ``batch_rows`` rows; if it raises, the batch is repeated in
+    halves, so that only the failing rows end up with an ``error`` and null outputs. Rows that an earlier stage gave an error
     pass through untouched. ``keep`` lists the columns to carry along: select no more than is needed, since they all
     cross into Python.
     """
@@ -42,8 +42,10 @@ def infer(
             if len(batch) == 1:
                 empty = pd.DataFrame({n: [None] for n in names}, index=batch.index, dtype=object)
                 return empty, [f"{stage}: {failure}"]
-        parts = [run(model, batch.iloc[i : i + 1]) for i in range(len(batch))]
-        return pd.concat([p for p, _ in parts]), [e for _, errors in parts for e in errors]
+        half = len(batch) // 2
+        first, first_errors = run(model, batch.iloc[:half])
+        second, second_errors = run(model, batch.iloc[half:])
+        return pd.concat([first.astype(object), second.astype(object)]), first_errors + second_errors
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = None

@@ -1,6 +1,8 @@
 """Per-speaker voice presets and their lookup."""
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uttera import settings as S
@@ -15,36 +17,38 @@ def usable_vectors(df: DataFrame, speaker: str = "speakerID", vector: str = "glo
     )
 
 
-def vector_size(df: DataFrame, vector: str = "global_embedding") -> int:
-    """Length of the vectors, read off the first one."""
-    first = df.where(F.col(vector).isNotNull()).select(F.size(vector)).head()
-    return first[0] if first else 0
+def mean_presets(means: DataFrame, speaker: str, mean: Column) -> DataFrame:
+    return means.select(
+        F.col(speaker).alias("speakerID"), A.l2_normalize(mean).cast("array<float>").alias("embedding"), "n"
+    )
 
 
-def vector_sums(df: DataFrame, speaker: str, vector: str, size: int) -> DataFrame:
-    """Per speaker the count and, position by position, the sum of the vectors.
+def speaker_presets(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:
+    """L2-normalised mean vector per speaker and how many vectors went into it.
 
-    One sum per position: partial sums are kept per task, so a speaker with a third of the rows sends no more than
-    any other, and nothing is exploded. A shorter vector is an error under ANSI mode, Spark's default.
+    Each task keeps one partial mean per speaker, so a speaker with a third of the rows sends no more than any
+    other, and no vector is exploded. Vectors of different lengths are an error.
     """
-    sums = [F.sum(F.col(vector)[i].cast("double")).alias(f"_s{i}") for i in range(size)]
-    return df.groupBy(speaker).agg(F.count(F.lit(1)).alias("n"), *sums)
+    dense = array_to_vector(F.col(vector).cast("array<double>"))
+    means = usable_vectors(df, speaker, vector).groupBy(speaker).agg(
+        Summarizer.mean(dense).alias("_mean"), F.count(F.lit(1)).alias("n")
+    )
+    return mean_presets(means, speaker, vector_to_array("_mean"))
 
 
-def presets_from_sums(sums: DataFrame, speaker: str, size: int) -> DataFrame:
-    mean = F.array(*[F.col(f"_s{i}") / F.col("n") for i in range(size)])
-    return sums.select(
-        F.col(speaker).alias("speakerID"), A.l2_normalize(mean).cast("array<float>").alias("embedding"), "n"
+def vector_sums(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:
+    """(speaker, pos, sum, n): sums that go on growing with a stream, where a mean could not."""
+    exploded = usable_vectors(df, speaker, vector).select(speaker, F.posexplode(vector).alias("pos", "x"))
+    return exploded.groupBy(speaker, "pos").agg(
+        F.sum(F.col("x").cast("double")).alias("sum"), F.count(F.lit(1)).alias("n")
     )
 
 
-def speaker_presets(
-    df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding", size: int | None = None
-) -> DataFrame:
-    """L2-normalised mean vector per speaker and how many vectors went into it."""
-    used = usable_vectors(df, speaker, vector)
-    size = vector_size(used, vector) if size is None else size
-    return presets_from_sums(vector_sums(used, speaker, vector, size), speaker, size)
+def presets_from_sums(sums: DataFrame, speaker: str = "speakerID") -> DataFrame:
+    """Presets from ``vector_sums``; what is gathered per speaker is one vector."""
+    cells = F.sort_array(F.collect_list(F.struct("pos", (F.col("sum") / F.col("n")).alias("mean"))))
+    means = sums.groupBy(speaker).agg(cells.alias("_cells"), F.max("n").alias("n"))
+    return mean_presets(means, speaker, F.col("_cells.mean"))
 
 
 def speaker_counts(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:

@@ -31,8 +31,8 @@ def signal_gaps(
     min_silence_ms: int = S.MIN_SILENCE_MS,
 ) -> DataFrame:
     """Add ``gaps``, counted inside each row: neither frames nor samples are exploded or shuffled."""
-    power = signal.frame_power(samples, frame_length, hop)
-    return df.withColumn("gaps", signal.count_gaps(power, sampling_rate, hop, top_db, min_silence_ms))
+    counted = signal.count_gaps(samples, sampling_rate, frame_length, hop, top_db, min_silence_ms)
+    return df.withColumn("gaps", counted)
 
 
 def silence_gaps(
@@ -62,14 +62,15 @@ def silence_gaps(
     # The loudest frame of the utterance, placed beside each of its pieces.
     peaks = keyed.groupBy("_piece").agg(F.max("_energy").alias("_peak"))
     whole = Window.partitionBy("_piece.utterance")
-    peaks = peaks.select("_piece", signal.loud_threshold(F.max("_peak").over(whole), top_db).alias("_threshold"))
+    loudest = F.greatest(F.max("_peak").over(whole), F.lit(S.POWER_FLOOR))
+    peaks = peaks.select("_piece", signal.loud_threshold(loudest, top_db).alias("_threshold"))
 
     ordered = Window.partitionBy("_piece").orderBy("_order")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     loud = F.col("_loud")
     marked = (
         keyed.join(peaks, "_piece")
-        .withColumn("_loud", F.coalesce(signal.is_loud(F.col("_energy"), F.col("_threshold")), F.lit(False)))
+        .withColumn("_loud", F.greatest("_energy", F.lit(S.POWER_FLOOR)) > F.col("_threshold"))
         .withColumn("_silent", F.coalesce(F.sum((~loud).cast("int")).over(before), F.lit(0)))
         .withColumn("_last_end", F.last(F.when(loud, F.col("_end")), ignorenulls=True).over(before))
         .withColumn("_last_silent", F.last(F.when(loud, F.col("_silent")), ignorenulls=True).over(before))

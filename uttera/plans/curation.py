@@ -79,26 +79,36 @@ def process_rows(
     c = spec.columns
     named = [c.sequence, c.speaker, c.gender, c.district, c.language, c.duration, *carry]
     source = selected.withColumn("_audio", A.normalize_audio(F.col(c.audio)))
-    source = source.withColumn("_rate", F.col("_audio.sampling_rate"))
 
-    def stage(model: Model):
-        return lambda loaded, batch: model.apply(loaded, batch.rename(columns={"_audio": "audio"}))
+    pauses = spec.pauses_enabled and spec.pause_tags
 
+    def hear(model: Any, batch: pd.DataFrame) -> pd.DataFrame:
+        """The transcript, and the silences, counted while the audio is in Python anyway."""
+        heard = transcribe.apply(model, batch.rename(columns={"_audio": "audio"}))
+        if pauses:
+            powers = [signal.frame_powers(a["array"], spec.frame_length, spec.hop) for a in batch["_audio"]]
+            rates = [a["sampling_rate"] for a in batch["_audio"]]
+            heard["gaps"] = [
+                signal.silences(p, r, spec.hop, spec.top_db, spec.min_silence_ms) for p, r in zip(powers, rates)
+            ]
+        return heard
+
+    def speak(model: Any, batch: pd.DataFrame) -> pd.DataFrame:
+        return encode.apply(model, batch.rename(columns={"_audio": "audio"}))
+
+    hearing = T.StructType([*TRANSCRIPT.fields, *([T.StructField("gaps", T.IntegerType())] if pauses else [])])
     heard = infer(
-        source, transcribe.load, stage(transcribe), TRANSCRIPT, ["_audio"], [*named, "_audio", "_rate"], "transcribe",
-        spec.batch_rows,
+        source, transcribe.load, hear, hearing, ["_audio"], [*named, "_audio"], "transcribe", spec.batch_rows
     )
     failed = F.col("error").isNotNull()
     text = X.clean_transcript(F.col("transcript"), spec.keep_class)
     heard = heard.withColumn("text", text).drop("transcript")
     if spec.drop_empty:
         heard = heard.where(failed | X.valid_transcript(F.col("text"), spec.min_chars, spec.max_chars, spec.script))
-    if spec.pauses_enabled and spec.pause_tags:
-        power = signal.frame_power(F.col("_audio.array"), spec.frame_length, spec.hop)
-        gaps = signal.count_gaps(power, F.col("_rate"), spec.hop, spec.top_db, spec.min_silence_ms)
-        heard = heard.withColumn("text", X.insert_pause_tags(F.col("text"), gaps, spec.pause_tag))
+    if pauses:
+        heard = heard.withColumn("text", X.insert_pause_tags(F.col("text"), F.col("gaps"), spec.pause_tag))
     kept = [*named, "text", *(["_audio"] if spec.keep_audio else [])]
-    encoded = infer(heard, encode.load, stage(encode), ENCODING, ["_audio"], kept, "encode", spec.batch_rows)
+    encoded = infer(heard, encode.load, speak, ENCODING, ["_audio"], kept, "encode", spec.batch_rows)
     return encoded.where(failed | (F.size("speech_tokens") > 0))
 
 

@@ -41,6 +41,11 @@ SPACE_CLASS = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 
+SPACES = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Rows of one ordered bucket: what a single task sorts at most (operators.ranking).
 BUCKET_ROWS = 65536
 # Largest lookup table, in rows, that is broadcast (operators.lookup).

@@ -61,11 +61,8 @@ def batch_shard_name() -> Column:
     return F.format_string("%s_w%d_b%d_s%d", *[F.col(c) for c in BATCH_KEYS])
 
 
-def stream_preset_sums(
-    rows: DataFrame, speaker: str, vector: str, size: int, out: str, checkpoint: str
-) -> StreamingQuery:
-    """Keep each speaker's running count and sums; a micro-batch writes those of the speakers it touched."""
-    sums = P.vector_sums(P.usable_vectors(rows, speaker, vector), speaker, vector, size)
+def stream_preset_sums(rows: DataFrame, speaker: str, vector: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Keep running sums and counts per speaker and position; a micro-batch writes those it changed."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
@@ -73,7 +70,8 @@ def stream_preset_sums(
         ).partitionBy("batch").parquet(out)
 
     return (
-        sums.writeStream.outputMode("update")
+        P.vector_sums(rows, speaker, vector)
+        .writeStream.outputMode("update")
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -81,9 +79,9 @@ def stream_preset_sums(
     )
 
 
-def running_presets(spark: SparkSession, out: str, speaker: str, size: int) -> DataFrame:
-    """Presets from the newest sums of each speaker."""
-    written = spark.read.parquet(out)
-    fields = ["n", *[f"_s{i}" for i in range(size)]]
-    newest = written.groupBy(speaker).agg(F.max_by(F.struct(*fields), "batch").alias("_newest"))
-    return P.presets_from_sums(newest.select(speaker, "_newest.*"), speaker, size)
+def running_presets(spark: SparkSession, out: str, speaker: str) -> DataFrame:
+    """Presets from the newest sums."""
+    newest = spark.read.parquet(out).groupBy(speaker, "pos").agg(
+        F.max_by("sum", "batch").alias("sum"), F.max_by("n", "batch").alias("n")
+    )
+    return P.presets_from_sums(newest, speaker)
