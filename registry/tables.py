@@ -9,7 +9,7 @@ from uttera.session import spread
 
 # The test corpus is in Latin script, so Latin-1 letters stand in for the script the defaults name.
 LATIN = r"\x{C0}-\x{FF}"
-KEPT = LATIN + r"0-9A-Za-z.,!?<>\[\]"
+KEPT = S.ASCII_KEPT + LATIN
 LANGUAGE = "fr"
 STATE = "1"
 MAX_CHARS = 3000

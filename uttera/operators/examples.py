@@ -148,7 +148,8 @@ def pad_batches(
     batched = numbered.withColumn("batch_id", F.floor(F.col("_rank") / batch_rows)).withColumn(
         "_longest", F.max("_size").over(Window.partitionBy("batch_id"))
     )
-    joined = examples.join(batched.select(order, "batch_id", "_longest"), order)
+    # Both sides grow with the data: a merge join never holds either in memory.
+    joined = examples.join(batched.select(order, "batch_id", "_longest").hint("merge"), order)
 
     def padded(column: str, fill: int) -> Column:
         return A.pad_right(F.col(column), F.col("_longest"), fill).alias(column)

@@ -16,8 +16,11 @@ def frame_energy(
     frame_length: int = S.FRAME_LENGTH,
     hop: int = S.HOP_LENGTH,
 ) -> DataFrame:
-    """One row per frame: (utterance, frame, energy, start, end), the edges in samples."""
-    frames = df.select(utterance, F.posexplode(signal.frame_power(samples, frame_length, hop)).alias("frame", "energy"))
+    """One row per frame: (utterance, frame, energy, peak, start, end), the edges in samples."""
+    powers = df.select(utterance, signal.frame_power(samples, frame_length, hop).alias("_powers"))
+    frames = powers.select(
+        utterance, F.array_max("_powers").alias("peak"), F.posexplode("_powers").alias("frame", "energy")
+    )
     return frames.withColumn("start", F.col("frame") * hop).withColumn("end", (F.col("frame") + 1) * hop)
 
 
@@ -45,55 +48,55 @@ def silence_gaps(
     min_gap: float | Column,
     bucket: Column,
     top_db: float = S.TOP_DB,
+    peak: str | None = None,
 ) -> DataFrame:
     """Per utterance, the gaps of at least ``min_gap`` between neighbouring loud stretches of its frames.
 
     ``bucket`` must never decrease along ``order``: it cuts an utterance into pieces, so a recording of any length
     is spread over tasks. Each piece counts its inner gaps and keeps its outer loud edges; the few rows per
-    utterance that result are joined up in order. Frames are shuffled once, on (utterance, bucket).
+    utterance that result are joined up in order. Frames are shuffled once, on (utterance, bucket). ``peak`` names a
+    column that holds the utterance's largest energy already; without it one more pass finds it.
     """
     keyed = frames.select(
+        # A struct key keeps frames whose utterance is null: a join on it would drop them.
         F.struct(F.col(utterance).alias("utterance"), bucket.alias("bucket")).alias("_piece"),
         F.col(order).alias("_order"),
         F.col(energy).alias("_energy"),
         start.alias("_start"),
         end.alias("_end"),
+        *([F.col(peak).alias("_loudest")] if peak else []),
     )
-    # The loudest frame of the utterance, placed beside each of its pieces.
-    peaks = keyed.groupBy("_piece").agg(F.max("_energy").alias("_peak"))
-    whole = Window.partitionBy("_piece.utterance")
-    loudest = F.greatest(F.max("_peak").over(whole), F.lit(S.POWER_FLOOR))
-    peaks = peaks.select("_piece", signal.loud_threshold(loudest, top_db).alias("_threshold"))
+    if not peak:
+        peaks = keyed.groupBy("_piece").agg(F.max("_energy").alias("_peak"))
+        whole = Window.partitionBy("_piece.utterance")
+        keyed = keyed.join(peaks.select("_piece", F.max("_peak").over(whole).alias("_loudest")), "_piece")
 
+    threshold = signal.loud_threshold(F.greatest("_loudest", F.lit(S.POWER_FLOOR)), top_db)
+    heard = keyed.select(
+        "_piece", "_order", "_start", "_end", (F.greatest("_energy", F.lit(S.POWER_FLOOR)) > threshold).alias("_loud")
+    )
+    loud = F.col("_loud")
     ordered = Window.partitionBy("_piece").orderBy("_order")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    loud = F.col("_loud")
-    marked = (
-        keyed.join(peaks, "_piece")
-        .withColumn("_loud", F.greatest("_energy", F.lit(S.POWER_FLOOR)) > F.col("_threshold"))
-        .withColumn("_silent", F.coalesce(F.sum((~loud).cast("int")).over(before), F.lit(0)))
-        .withColumn("_last_end", F.last(F.when(loud, F.col("_end")), ignorenulls=True).over(before))
-        .withColumn("_last_silent", F.last(F.when(loud, F.col("_silent")), ignorenulls=True).over(before))
-    )
-    inner = loud & (F.col("_silent") > F.col("_last_silent")) & (F.col("_start") - F.col("_last_end") >= min_gap)
+    marked = heard.withColumns({
+        "_after_silence": ~F.lag(loud).over(ordered),
+        "_last_end": F.last(F.when(loud, F.col("_end")), ignorenulls=True).over(before),
+    })
     pieces = marked.groupBy("_piece").agg(
-        F.count_if(inner).alias("_inner"),
-        F.count_if(~loud).alias("_silents"),
+        F.count_if(loud & F.col("_after_silence") & (F.col("_start") - F.col("_last_end") >= min_gap)).alias("_inner"),
         F.min(F.when(loud, F.col("_start"))).alias("_first_start"),
-        F.min(F.when(loud, F.col("_silent"))).alias("_first_silent"),
-        F.max(F.when(loud, F.col("_end"))).alias("_end"),
-        F.max(F.when(loud, F.col("_silent"))).alias("_silent"),
+        F.max(F.when(loud, F.col("_end"))).alias("_piece_end"),
+        (F.min(F.when(loud, F.col("_order"))) > F.min("_order")).alias("_leads_silent"),
+        (F.max(F.when(loud, F.col("_order"))) < F.max("_order")).alias("_trails_silent"),
     )
     along = Window.partitionBy("_piece.utterance").orderBy("_piece.bucket")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    joined = (
-        pieces.withColumn("_base", F.coalesce(F.sum("_silents").over(earlier), F.lit(0)))
-        .withColumn("_last_end", F.last("_end", ignorenulls=True).over(earlier))
-        .withColumn("_last_silent", F.last(F.col("_base") + F.col("_silent"), ignorenulls=True).over(earlier))
-    )
-    across = (F.col("_first_silent") + F.col("_base") > F.col("_last_silent")) & (
-        F.col("_first_start") - F.col("_last_end") >= min_gap
-    )
+    # A neighbouring piece without a loud frame, whose edges are null, is silent throughout.
+    joined = pieces.withColumns({
+        "_last_end": F.last("_piece_end", ignorenulls=True).over(earlier),
+        "_between": F.col("_leads_silent") | F.coalesce(F.lag("_trails_silent").over(along), F.lit(True)),
+    })
+    across = F.col("_between") & (F.col("_first_start") - F.col("_last_end") >= min_gap)
     return joined.groupBy(F.col("_piece.utterance").alias(utterance)).agg(
         (F.sum("_inner") + F.count_if(across)).cast("int").alias("gaps")
     )
@@ -118,6 +121,7 @@ def frame_gaps(
         min_gap=int(sampling_rate * min_silence_ms / 1000),
         bucket=F.floor(F.col("frame") / frames_per_bucket),
         top_db=top_db,
+        peak="peak",
     )
 
 

@@ -17,8 +17,10 @@ def prepare_requests(requests: DataFrame, presets: DataFrame, key: str = "reques
 
 def parse_generated(df: DataFrame, text: str = "generated", rate_hz: float = S.TOKEN_RATE_HZ) -> DataFrame:
     """Add ``tokens``, their ``seconds``, and ``error`` for output that holds no token."""
-    parsed = df.withColumn("tokens", T.parse_speech_tokens(F.col(text)))
-    none = F.size("tokens") == 0
-    return parsed.withColumn("seconds", A.token_duration(F.col("tokens"), rate_hz)).withColumn(
-        "error", F.when(F.coalesce(none, F.lit(True)), F.lit("no speech tokens"))
-    )
+    pattern = S.TOKEN_PATTERN
+    found = F.coalesce(F.col(text).rlike(pattern), F.lit(False))
+    parsed = df.withColumn("tokens", T.parse_speech_tokens(F.col(text), pattern))
+    return parsed.withColumns({
+        "seconds": A.token_duration(F.col("tokens"), rate_hz),
+        "error": F.when(~found, F.lit("no speech tokens")),
+    })

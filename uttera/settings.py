@@ -33,14 +33,13 @@ TURN_START = "<|im_start|>"
 TURN_END = "<|im_end|>"
 IGNORED_LABEL = -100
 
-# Character classes, in the syntax Java regular expressions use.
+# Character classes, as regular expressions write them inside brackets. The script is one range and
+# ASCII characters are listed singly: Java tests listed Latin-1 characters in one table, but ranges one by one, which
+# was five times slower. SPACES are the characters Python calls whitespace, and SPACE_CLASS the same.
 SCRIPT_CLASS = r"\x{0A80}-\x{0AFF}"
-KEPT_CLASS = r"\x{0A80}-\x{0AFF}0-9A-Za-z.,!?<>\[\]\x{0ABD}\x{0964}\x{0965}\x{0903}"
-SPACE_CLASS = (
-    r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
-
+ASCII_KEPT = r"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz.,!?<>\[\]"
+KEPT_CLASS = ASCII_KEPT + SCRIPT_CLASS + r"\x{0ABD}\x{0964}\x{0965}\x{0903}"
+SPACE_CLASS = r"\t\n\x{0B}\f\r\x{1C}\x{1D}\x{1E}\x{1F} \x{85}\x{A0}\p{Z}"
 SPACES = (
     "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
