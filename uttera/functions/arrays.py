@@ -64,7 +64,7 @@ def downmix(channels: Column, layout: str = "last") -> Column:
     """Mean over channels. ``last``: samples of channels, as tables hold them; ``first``: channels of samples."""
 
     def mean(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda total, x: total + x) / F.size(values)
+        return F.try_divide(F.aggregate(values, F.lit(0.0), lambda total, x: total + x), F.size(values))
 
     if layout == "last":
         mono = F.transform(channels, mean)
