@@ -34,7 +34,7 @@ def test_frame_powers(n):
     assert signal.frame_powers(samples, 8, 2).tolist() == pytest.approx(powers_by_hand(samples, 8, 2))
 
 
-def test_frames_must_be_whole_hops():
+def test_frames_must_be_whole_hops(spark):
     with pytest.raises(ValueError):
         signal.frame_power(F.lit(None), 10, 4)
 

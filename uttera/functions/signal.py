@@ -44,6 +44,11 @@ def loud_threshold(peak, top_db: float = S.TOP_DB):
     return peak * 10.0 ** (-top_db / 10.0)
 
 
+def once(function):
+    """Keep the optimizer from repeating a Python pass, as it would for a filter it infers from an explode."""
+    return function.asNondeterministic()
+
+
 def check_frames(frame_length: int, hop: int) -> None:
     if frame_length % (2 * hop):
         raise ValueError("half a frame must be a whole number of hops")
@@ -57,7 +62,7 @@ def frame_power(samples: Column, frame_length: int = S.FRAME_LENGTH, hop: int =
     def powers(batch: pd.Series) -> pd.Series:
         return batch.map(lambda s: None if s is None else frame_powers(s, frame_length, hop))
 
-    return powers(samples)
+    return once(powers)(samples)
 
 
 def count_gaps(
@@ -79,4 +84,4 @@ def count_gaps(
         ]
         return pd.Series(counted, dtype="int32")
 
-    return gaps(samples, F.coalesce(sampling_rate, F.lit(0)))
+    return once(gaps)(samples, F.coalesce(sampling_rate, F.lit(0)))

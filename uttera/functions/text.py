@@ -29,8 +29,11 @@ def valid_transcript(
     text: Column, min_chars: int = S.MIN_CHARS, max_chars: int = S.MAX_CHARS, script: str = S.SCRIPT_CLASS
 ) -> Column:
     """Stripped length within bounds and at least one character of the script; null is not valid."""
-    fits = F.length(strip(text)).between(min_chars, max_chars)
-    return F.coalesce((text != "") & fits & text.rlike(f"[{script}]"), F.lit(False))
+
+    def valid(t: Column) -> Column:
+        return (t != "") & F.length(strip(t)).between(min_chars, max_chars) & t.rlike(f"[{script}]")
+
+    return F.coalesce(let(text, valid), F.lit(False))
 
 
 def insert_pause_tags(text: Column, gaps: Column, tag: str = S.PAUSE_TAG) -> Column:

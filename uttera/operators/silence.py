@@ -18,9 +18,9 @@ def frame_energy(
 ) -> DataFrame:
     """One row per frame: (utterance, frame, energy, peak, start, end), the edges in samples."""
     powers = df.select(utterance, signal.frame_power(samples, frame_length, hop).alias("_powers"))
-    frames = powers.select(
-        utterance, F.array_max("_powers").alias("peak"), F.posexplode("_powers").alias("frame", "energy")
-    )
+    # The peak is taken before the explode: beside it, it would be worked out anew for every frame.
+    peaked = powers.withColumn("peak", F.array_max("_powers"))
+    frames = peaked.select(utterance, "peak", F.posexplode("_powers").alias("frame", "energy"))
     return frames.withColumn("start", F.col("frame") * hop).withColumn("end", (F.col("frame") + 1) * hop)
 
 

@@ -46,8 +46,13 @@ def stream_shards(
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        sharded = assign_shards(batch, rows_per_shard).withColumn("batch", F.lit(batch_id).cast("long"))
-        write_shards(sharded, out, BATCH_KEYS)
+        # Numbering scans the batch twice; its transforms, models among them, run once.
+        batch.persist()
+        try:
+            sharded = assign_shards(batch, rows_per_shard).withColumn("batch", F.lit(batch_id).cast("long"))
+            write_shards(sharded, out, BATCH_KEYS)
+        finally:
+            batch.unpersist()
 
     return (
         rows.writeStream.foreachBatch(sink)
