@@ -14,7 +14,7 @@ from uttera.operators import filters
 from uttera.operators import shards as H
 from uttera.operators import silence as Q
 from uttera.schemas import PROCESSED
-from uttera.session import work_path
+from uttera.session import materialize, work_path
 from uttera.sources.progress import load_progress, save_progress
 from uttera.sources.shards import read_processed, write_shards
 
@@ -73,6 +73,7 @@ def dry_run_samples(spark: SparkSession, sf: str) -> DataFrame:
 def stored_shards(spark: SparkSession, sf: str) -> str:
     rows = curated(spark, sf).withColumn("worker", F.pmod("source_index", F.lit(WORKERS)).cast("int"))
     path = work_path(spark, "shards")
+    rows = materialize(rows, "curated")
     write_shards(H.assign_shards(rows, ROWS_PER_SHARD).drop("source_index"), path)
     return path
 
@@ -171,7 +172,7 @@ def silence_gaps(spark: SparkSession, sf: str) -> DataFrame:
   SELECT d.doc_id, d.text, coalesce(g.gaps, 0) AS gaps FROM documents d LEFT JOIN gaps g ON g.user_id = d.doc_id)
   SELECT doc_id, tagged AS text FROM ({R.sql_paused('text', 'gaps', 'counted_docs')})""")
 def add_pauses(spark: SparkSession, sf: str) -> DataFrame:
-    gaps = event_gaps(spark, sf).withColumnRenamed("user_id", "doc_id")
+    gaps = materialize(event_gaps(spark, sf).withColumnRenamed("user_id", "doc_id"), "gaps")
     return Q.add_pauses(R.documents(spark, sf).select("doc_id", "text"), gaps, "doc_id")
 
 

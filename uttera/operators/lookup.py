@@ -21,9 +21,9 @@ def lookup_join(
 ) -> DataFrame:
     """Left join ``df`` to ``table`` on ``key``.
 
-    A table checked to be small is broadcast. Otherwise both sides are shuffled on (key, salt): the salt comes
-    from ``spread``, a column of ``df`` that varies within a key, so that a hot key is shared by several tasks, and
-    the table is repeated once per salt.
+    ``table`` is counted and then joined, so hand in one that is stored. Found to be small, it is broadcast. Otherwise
+    both sides are shuffled on (key, salt): the salt comes from ``spread``, a column of ``df`` that varies within a
+    key, so that a hot key is shared by several tasks, and the table is repeated once per salt.
     """
     if is_small(table, max_broadcast_rows):
         return df.join(F.broadcast(table), key, "left")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from uttera import settings as S
 from uttera.operators.lookup import lookup_join
+from uttera.session import materialize
 
 
 def ranked(
@@ -60,5 +61,5 @@ def with_source_index(df: DataFrame, by: str | None = None, out: str = "source_i
     placed = df.select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
-    joined = lookup_join(placed, offsets, "_file", spread="_row")
+    joined = lookup_join(placed, materialize(offsets, "files"), "_file", spread="_row")
     return joined.withColumn(out, F.col("_offset") + F.col("_row")).drop("_file", "_row", "_offset")
