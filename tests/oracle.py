@@ -41,7 +41,7 @@ def difference(df, db, sql):
         return f"columns {sorted(df.columns)} and {sorted(want.columns)}"
     types = dict(df.dtypes)
     sql_types = {c: str(t).lower() for c, t in zip(want.columns, want.types)}
-    same = {"string": "varchar", "bigint": "bigint", "int": "integer", "double": "double"}
+    same = {"string": "varchar", "bigint": "bigint", "int": "integer", "double": "double", "boolean": "boolean"}
     odd = {c: (t, sql_types[c]) for c, t in types.items() if same.get(t) != sql_types[c]}
     got_rows = rows_of(df.columns, df.collect())
     collected = time.time()
