@@ -98,22 +98,21 @@ def through(roles: list[int]) -> np.ndarray:
     return total
 
 
-def choose(matrices: list[np.ndarray]) -> tuple[list[np.ndarray], list[int]]:
-    """Costs on entering each segment, and the state on leaving it, on a way of least total cost."""
+def choose(matrices: list[np.ndarray]) -> list[int]:
+    """The state before each segment and the one after the last, on a way of least total cost."""
     costs = [np.array([_BIG, _BIG, _BIG, 0])]
     for matrix in matrices:
         costs.append(least(costs[-1], matrix))
     last = costs[-1] + np.array([INSERT * len(ENDINGS[s]) for s in range(4)])
-    state, leaving = int(np.argmin(last)), []
+    states = [int(np.argmin(last))]
     for matrix, entering in zip(reversed(matrices), reversed(costs[:-1]), strict=True):
-        leaving.append(state)
-        state = int(np.argmin(entering + matrix[:, state]))
-    return costs[:-1], leaving[::-1]
+        states.append(int(np.argmin(entering + matrix[:, states[-1]])))
+    return states[::-1]
 
 
-def repair(roles: list[int], entering: np.ndarray, leaving: int) -> list[tuple[int, int, str, int]]:
+def repair(roles: list[int], entering: int, leaving: int) -> list[tuple[int, int, str, int]]:
     """(state before, state after, action, cost) per turn of a segment."""
-    costs = [entering]
+    costs = [np.where(np.arange(4) == entering, 0, _BIG)]
     for role in roles:
         costs.append(least(costs[-1], STEPS[role]))
     state, done = leaving, []
@@ -188,19 +187,19 @@ def format_chats(turns: DataFrame, key: str = "conv_id", turn: str = "turn", rol
     matrices = over_runs(placed.select("key", "part", "block", "code"), 3, matrix, f"key {kind}, part int, block int, matrix array<bigint>")
 
     def states(run, segments):
-        entering, leaving = choose([np.array(m, np.int64).reshape(4, 4) for _, _, m in segments])
+        passed = choose([np.array(m, np.int64).reshape(4, 4) for _, _, m in segments])
         last = len(segments) - 1
-        return [(*run, part, block, entering[i].tolist(), leaving[i], i == last) for i, (part, block, _) in enumerate(segments)]
+        return [(*run, part, block, passed[i], passed[i + 1], i == last) for i, (part, block, _) in enumerate(segments)]
 
     chained = matrices.repartition("key").sortWithinPartitions("key", "part", "block")
-    bounds = over_runs(chained, 1, states, f"key {kind}, part int, block int, entering array<bigint>, leaving int, final boolean")
+    bounds = over_runs(chained, 1, states, f"key {kind}, part int, block int, entering int, leaving int, final boolean")
     bounds = materialize(bounds, "bounds").withColumnsRenamed({"key": "_key", "part": "_part", "block": "_block"})
     same = [placed["key"].eqNullSafe(bounds["_key"]), placed["part"] == bounds["_part"], placed["block"] == bounds["_block"]]
     bounded = placed.join(bounds, same).repartition("key", "part", "block").sortWithinPartitions("key", "part", "block", "number")
 
     def repaired(run, segment):
         *_, entering, leaving, final = segment[0]
-        done = repair([row[4] for row in segment], np.array(entering, np.int64), leaving)
+        done = repair([row[4] for row in segment], entering, leaving)
         out = []
         for i, ((number, turn, role, text, code, *_), (a, b, action, cost)) in enumerate(zip(segment, done, strict=True)):
             end = final and i == len(segment) - 1

@@ -24,7 +24,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``links`` (a, b); the root is the component's least node.
+    """(node, root) for every node of ``links`` (a, b) but the roots themselves; a root is its component's least node.
 
     Each round is written to the shared folder, which cuts the plan; rounds are of the order of the logarithm of the
     longest path. A round that changes nothing ends it. Links of a node to itself and links with a null are not taken.

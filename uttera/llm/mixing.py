@@ -57,7 +57,7 @@ def rake(cells: DataFrame, temperatures: dict[str, float] = TEMPERATURES, budget
     raked = cells.withColumn("total", total).withColumn("weight", budget * F.col("tokens"))
     for axis, power in temperatures.items():
         shares = cells.groupBy(axis).agg(F.pow(F.sum("tokens").cast("double"), F.lit(power)).alias(f"share_{axis}"))
-        shares = shares.withColumn(f"share_{axis}", F.col(f"share_{axis}") / F.sum(f"share_{axis}").over(everything))
+        shares = shares.withColumn(f"share_{axis}", F.try_divide(f"share_{axis}", F.sum(f"share_{axis}").over(everything)))
         shares = shares.withColumnRenamed(axis, "_value")
         raked = raked.join(shares, raked[axis].eqNullSafe(shares["_value"])).drop("_value")
     for sweep in range(sweeps):

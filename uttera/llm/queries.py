@@ -106,18 +106,18 @@ def _licenses_sql() -> str:
             split = sentence.split()
             pairs += [f"('{a}','{b}','{sentence}/{phrase}',{i},{len(split) - 1},{phrase},'{label}')" for i, (a, b) in enumerate(zip(split, split[1:], strict=False))]
     return rf"""
-WITH templates(a, b, template, at, pairs, phrase, label) AS (VALUES {', '.join(pairs)}),
+WITH templates(a, b, template, place, pairs, phrase, label) AS (VALUES {', '.join(pairs)}),
 read AS (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 placed AS (SELECT rn, unnest(w) AS a, generate_subscripts(w, 1) - 1 AS pos FROM read),
 pairs AS (SELECT p.rn, p.pos, p.a, q.a AS b FROM placed p JOIN placed q ON p.rn = q.rn AND q.pos = p.pos + 1),
-hits AS (SELECT rn, template, pairs, phrase, label, pos - at AS diagonal, at FROM pairs JOIN templates USING (a, b)),
+hits AS (SELECT rn, template, pairs, phrase, label, pos - place AS diagonal, place FROM pairs JOIN templates USING (a, b)),
 apart AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w > {licenses.GAP} THEN 1 ELSE 0 END AS apart
-    FROM hits WINDOW w AS (PARTITION BY rn, template ORDER BY diagonal, at)),
+    FROM hits WINDOW w AS (PARTITION BY rn, template ORDER BY diagonal, place)),
 regions AS (SELECT *, CASE WHEN phrase THEN diagonal
-    ELSE sum(apart) OVER (PARTITION BY rn, template ORDER BY diagonal, at ROWS UNBOUNDED PRECEDING) END AS region FROM apart),
-spans AS (SELECT rn, template, label, phrase, pairs, region, count(DISTINCT at) AS held, min(diagonal) AS start
+    ELSE sum(apart) OVER (PARTITION BY rn, template ORDER BY diagonal, place ROWS UNBOUNDED PRECEDING) END AS region FROM apart),
+spans AS (SELECT rn, template, label, phrase, pairs, region, count(DISTINCT place) AS held, min(diagonal) AS start
     FROM regions GROUP BY ALL),
 found AS (SELECT rn, phrase AND held = pairs AS stands, NOT phrase AND held / pairs >= {licenses.COVERAGE} AS near,
     start, label, held / pairs AS cover FROM spans)
