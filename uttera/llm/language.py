@@ -22,7 +22,7 @@ DIMENSIONS = 4096
 PER_LANGUAGE = 300
 CLUSTERS = 4
 ROUNDS = 12
-FAR = 0.5
+FAR = 0.25
 UNKNOWN = "und"
 #: ASCII letters as lower case; other ASCII as a space; bytes of other letters as they are.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
