@@ -142,10 +142,11 @@ def test_language_of_odd_rows(odd, empty):
 
 
 def test_network_of_odd_rows(odd, empty):
-    labelled = odd.withColumn("quality", F.when(F.col("doc_id") == 5, 0).when(F.col("doc_id") == 1, 1))
-    for known in (labelled, labelled.limit(0), labelled.filter("quality = 1")):
-        scores = [r[0] for r in byte_network.score(odd, byte_network.fit(known)).select("score").collect()]
+    labels = odd.sparkSession.createDataFrame([(5, 0), (1, 1), (1, 1), (2, 0), (None, 1), (8, None), (99, 1)], "doc_id long, quality int")
+    for known in (labels, labels.limit(0), labels.filter("quality = 1")):
+        scores = [r[0] for r in byte_network.score(odd, byte_network.fit(odd, known)).select("score").collect()]
         assert len(scores) == odd.count() and all(0 <= s <= 1 for s in scores)
+    assert byte_network.fit(empty, labels).prior == 0.5 and not byte_network.fit(empty, labels).fitted
     assert byte_network.score(empty, byte_network.Network()).count() == 0
 
 

@@ -91,7 +91,7 @@ class Network:
         block, filters = np.nonzero(by_block)
         at = (block * BLOCK + windows[block, filters]) * STRIDE
         seen = codes[at[:, None] + np.arange(WIDTH)]
-        inputs = self.p["embedding"][seen].reshape(len(at), -1)
+        inputs = self.p["embedding"][seen].reshape(len(at), WIDTH * EMBEDDING)
         weights = by_block[block, filters][:, None]
         gradient = {
             "head": slope * features,
@@ -132,24 +132,29 @@ class Network:
         return self
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "quality") -> Network:
-    """From rows with a text and a label of 0 or 1: the smallest hashes of each class, up to ``PER_CLASS``."""
-    known = docs.select(F.col(text).cast("binary").alias("text"), F.col(label).alias("label")).filter("text is not null and label in (0, 1)")
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Network:
+    """From up to ``PER_CLASS`` rows of each label, 0 and 1, with the smallest hashes of their keys.
+
+    The rows are drawn from the labels alone, so that no more texts are moved than are fitted.
+    """
+    known = labels.select(F.col(key).alias("key"), F.col(label).alias("label")).filter("key is not null and label in (0, 1)").distinct()
     sizes = dict(known.groupBy("label").count().collect())
     network = Network()
     network.prior = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5
     if len(sizes) < 2:
         return network
-    short = known.filter(F.length("text") <= FIT_BYTES)
-    texts, labels = [], []
-    for value, n in sorted(sizes.items()):
-        # By hash about twice as many as needed, then exactly as many.
-        share = min(1.0, 2 * PER_CLASS / n)
-        drawn = short.filter((F.col("label") == value) & (F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))))
-        rows = drawn.select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(PER_CLASS).collect()
+    place = F.pmod(F.xxhash64("key"), F.lit(1 << 20))
+    shares = F.create_map(*[F.lit(x) for value, n in sizes.items() for x in (value, int(min(1.0, 2 * PER_CLASS / n) * (1 << 20)))])
+    # About twice as many as needed, and no more at any size of the labels.
+    drawn = known.filter(place < shares[F.col("label")])
+    read = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")).filter(F.length("text") <= FIT_BYTES)
+    found = read.join(F.broadcast(drawn), "key")
+    texts, marks = [], []
+    for value in sorted(sizes):
+        rows = found.filter(F.col("label") == value).orderBy(F.xxhash64("key"), "text").limit(PER_CLASS).select("text").collect()
         texts += [bytes(row[0]) for row in rows]
-        labels += [float(value)] * len(rows)
-    return network.fit(texts, np.array(labels)) if len(set(labels)) == 2 else network
+        marks += [float(value)] * len(rows)
+    return network.fit(texts, np.array(marks)) if len(set(marks)) == 2 else network
 
 
 def score(docs: DataFrame, network: Network, text: str = "text", into: str = "score") -> DataFrame:

@@ -80,7 +80,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(learnable(F.col("doc_id")))
-    network = byte_network.fit(docs.join(labels, "doc_id"))
+    network = byte_network.fit(docs, labels)
     scored = byte_network.score(docs, network).withColumn("held_out", held_out(F.col("doc_id")))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
