@@ -160,9 +160,12 @@ class Forest:
 
 
 def fit_forest(labelled: DataFrame) -> Forest | None:
-    """Grown from at most ``TREES * DEPTH_ROWS`` labelled rows, those with the smallest hashes of their counts and key."""
-    kept = labelled.orderBy(F.xxhash64(*labelled.columns), *labelled.columns).limit(TREES * DEPTH_ROWS)
-    rows = kept.drop("bad").toPandas()
+    """Grown from at most ``TREES * DEPTH_ROWS`` labelled rows, those with the smallest hashes of their counts and label."""
+    most, place = TREES * DEPTH_ROWS, F.xxhash64(*labelled.columns)
+    # By hash about twice as many as needed, then exactly as many: what reaches the driver does not grow with the labels.
+    share = min(1.0, 2 * most / max(1, labelled.count()))
+    drawn = labelled.filter(F.pmod(place, F.lit(1 << 20)) < int(share * (1 << 20)))
+    rows = drawn.orderBy(place, *labelled.columns).limit(most).drop("bad").toPandas()
     return Forest(features(rows)) if len(rows) > 1 else None
 
 
