@@ -2,8 +2,8 @@
 
 Document frequencies are counted over all labelled texts, in Spark. Centroids are fitted on ``PER_LANGUAGE`` labelled
 texts of each language at most: k-means splits them into ``CLUSTERS`` per language. A text gets the language of the
-centroid with the largest cosine. It is rejected when that cosine is below ``FAR`` times the first percentile of the
-language's own fitted texts.
+centroid with the largest cosine. It is rejected when that cosine, over the root of its number of different trigrams, is
+below ``FAR`` times the first percentile of fitted texts of like size: a short text is far from any centroid.
 
 Defined results. Null texts and texts without a letter are ``und`` with score 0, and rejected. Where nothing can be
 learned, every text is. Ties go to the language that sorts first. Rows keep all their columns; the results replace
@@ -22,7 +22,9 @@ DIMENSIONS = 4096
 PER_LANGUAGE = 300
 CLUSTERS = 4
 ROUNDS = 12
-FAR = 0.25
+FAR = 0.3
+#: Fitted texts that a size class, a power of two of different trigrams, needs for a limit of its own.
+CLASS_TEXTS = 20
 UNKNOWN = "und"
 #: ASCII letters as lower case; other ASCII as a space; bytes of other letters as they are.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -81,27 +83,49 @@ def cluster(points: np.ndarray, count: int) -> np.ndarray:
     return centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
 
 
+def limits(nearness: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The least nearness by size class; classes of too few texts take the next larger one's, the largest a falling one."""
+    classes = [int(size).bit_length() for size in sizes]
+    found = np.full(DIMENSIONS.bit_length() + 1, np.nan)
+    for k in range(len(found)):
+        own = nearness[np.array(classes) == k]
+        if len(own) >= CLASS_TEXTS:
+            found[k] = FAR * np.percentile(own, 1)
+    if np.isnan(found).all():
+        found[-1] = FAR * nearness.min()
+    for k in range(len(found) - 2, -1, -1):
+        found[k] = found[k + 1] if np.isnan(found[k]) else found[k]
+    for k in range(1, len(found)):
+        found[k] = found[k - 1] / np.sqrt(2) if np.isnan(found[k]) else found[k]
+    return found
+
+
 class Centroids:
-    """Several unit vectors per language, and the cosine below which a text is too far from its language."""
+    """Several unit vectors per language, and how near to them a text of some size must be."""
 
     def __init__(self, samples: dict[str, np.ndarray], idf: np.ndarray):
-        self.idf, self.languages, self.far = idf.astype(np.float32), [], []
-        centres = []
+        self.idf, self.languages = idf.astype(np.float32), []
+        centres, nearness, sizes = [], [], []
         for language in sorted(samples):
             own = cluster(samples[language], CLUSTERS)
             cosines = np.max(samples[language] @ own.T, axis=1)
             centres.append(own)
             self.languages += [language] * len(own)
-            self.far += [FAR * float(np.percentile(cosines, 1))] * len(own)
+            size = (samples[language] > 0).sum(axis=1)
+            nearness.append(cosines / np.sqrt(np.maximum(size, 1)))
+            sizes.append(size)
         self.centres = np.concatenate(centres).astype(np.float32) if centres else np.zeros((0, len(idf)), np.float32)
+        self.limits = limits(np.concatenate(nearness), np.concatenate(sizes)) if centres else np.zeros(1)
 
     def predict(self, text: bytes | None) -> tuple[str, float, bool]:
         if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
-        cosines = self.centres @ vector(gram_counts(text), self.idf).astype(np.float32)
+        own = vector(gram_counts(text), self.idf).astype(np.float32)
+        cosines = self.centres @ own
         best = int(np.argmax(cosines))
         score = float(min(max(cosines[best], 0.0), 1.0))
-        return self.languages[best], score, score < self.far[best]
+        size = max(1, int((own > 0).sum()))
+        return self.languages[best], score, bool(score / np.sqrt(size) < self.limits[min(size.bit_length(), len(self.limits) - 1)])
 
 
 def fit(docs: DataFrame, text: str = "text", language: str = "lang") -> Centroids:
