@@ -230,8 +230,9 @@ BATCH = 4
 @query("pad_batches", f"""WITH sized AS (SELECT doc_id, length(text) AS n,
     (row_number() OVER (ORDER BY doc_id) - 1) // {BATCH} AS batch_id, {R.sql_points('text')} AS p FROM documents),
   longest AS (SELECT *, max(n) OVER (PARTITION BY batch_id) AS m FROM sized)
-  SELECT batch_id, doc_id, m AS padded, n AS attended, CAST(list_sum(p) AS BIGINT) AS id_sum,
-    CAST(list_sum(p) - {-S.IGNORED_LABEL} * (m - n) AS BIGINT) AS label_sum FROM longest""")
+  SELECT batch_id, doc_id, m AS padded, md5({R.sql_joined("p || list_transform(range(m - n), lambda x: 0)")}) AS ids,
+    md5({R.sql_joined("list_transform(p, lambda x: 1) || list_transform(range(m - n), lambda x: 0)")}) AS attended,
+    md5({R.sql_joined(f"p || list_transform(range(m - n), lambda x: {S.IGNORED_LABEL})")}) AS labels FROM longest""")
 def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
     ids = R.documents(spark, sf).select("doc_id", T.code_points(F.col("text")).alias("input_ids"))
     examples = ids.select(
@@ -241,17 +242,13 @@ def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
         F.col("input_ids").alias("labels"),
     )
     padded = E.pad_batches(examples, BATCH, pad_id=0, order="doc_id")
-
-    def total(column: str):
-        return F.aggregate(column, F.lit(0).cast("bigint"), lambda a, x: a + x)
-
     return padded.select(
         "batch_id",
         "doc_id",
         F.size("input_ids").cast("bigint").alias("padded"),
-        total("attention_mask").alias("attended"),
-        total("input_ids").alias("id_sum"),
-        total("labels").alias("label_sum"),
+        F.md5(R.joined("input_ids")).alias("ids"),
+        F.md5(R.joined("attention_mask")).alias("attended"),
+        F.md5(R.joined("labels")).alias("labels"),
     )
 
 

@@ -7,14 +7,14 @@ from registry import tables as R
 from registry.base import collector
 from uttera import settings as S
 from uttera.operators import examples as E
-from uttera.plans.training import training_set
+from uttera.plans.training import padded_batches, training_set
 from uttera.session import materialize
 
 query, QUERIES, ORACLES = collector()
 
 M = E.Markers()
-VOCAB = f"""vocab AS (SELECT word, CAST({M.first_word} + row_number() OVER (ORDER BY md5(word)) - 1 AS INTEGER) AS word_id
-  FROM (SELECT DISTINCT unnest({R.sql_words('text')}) AS word FROM conversations WHERE role = 'assistant')
+VOCAB = f"""vocab AS (SELECT word, CAST({M.first_word} + row_number() OVER (ORDER BY md5(word)) - 1 AS BIGINT) AS word_id
+  FROM (SELECT DISTINCT unnest({R.sql_words('text')}) AS word FROM conversations)
   WHERE word <> '')"""
 WORD_IDS = f"""pieces AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
     FROM (SELECT id, {R.sql_words('text')} AS w FROM pairs)),
@@ -23,9 +23,8 @@ WORD_IDS = f"""pieces AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1
 
 
 def vocab(spark: SparkSession, sf: str) -> DataFrame:
-    """The words of the answers; some words of the questions are not among them."""
-    answers = R.table(spark, sf, "conversations").where("role = 'assistant'")
-    return materialize(E.vocabulary(answers), "vocabulary")
+    """The words of all turns."""
+    return materialize(E.vocabulary(R.table(spark, sf, "conversations")), "vocabulary")
 
 
 @query("vocabulary", f"WITH {VOCAB} SELECT word, word_id FROM vocab")
@@ -35,7 +34,7 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("encode_ids", f"WITH {R.PAIRS}, {VOCAB}, {WORD_IDS} SELECT id, {R.sql_joined('ids')} AS word_ids FROM word_ids")
 def encode_ids(spark: SparkSession, sf: str) -> DataFrame:
-    encoded = E.encode_words(R.pairs(spark, sf).select("id", "text"), vocab(spark, sf), "id")
+    encoded = E.encode_words(R.pairs(spark, sf).select("id", "text"), vocab(spark, sf))
     return encoded.select("id", R.joined("word_ids").alias("word_ids"))
 
 
@@ -72,3 +71,25 @@ def whole_training_set(spark: SparkSession, sf: str) -> DataFrame:
     train = made.train.withColumn("split", F.lit("train"))
     both = train.unionByName(made.evaluation.withColumn("split", F.lit("test")))
     return both.select("id", F.size("input_ids").cast("bigint").alias("n"), "split")
+
+
+BATCH = 4
+
+
+@query("training_batches", f"""WITH {EXAMPLES}, split AS (SELECT *, row_number() OVER (ORDER BY md5('{S.SEED}:' || id))
+      > ceil(CAST({S.EVAL_RATIO} AS DOUBLE) * count(*) OVER ()) AS train FROM examples),
+  placed AS (SELECT *, (row_number() OVER (ORDER BY md5(id), id) - 1) // {BATCH} AS batch_id FROM split WHERE train),
+  longest AS (SELECT *, max(len(input_ids)) OVER (PARTITION BY batch_id) - len(input_ids) AS pad FROM placed)
+  SELECT batch_id, id, md5({R.sql_joined("input_ids || list_transform(range(pad), lambda x: 0)")}) AS ids,
+    md5({R.sql_joined(f"labels || list_transform(range(pad), lambda x: {S.IGNORED_LABEL})")}) AS labels,
+    len(input_ids) AS attended FROM longest""")
+def training_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs to padded training batches in one flow."""
+    train, _ = padded_batches(training_set(spoken_pairs(spark, sf), vocab(spark, sf)), BATCH)
+    return train.select(
+        "batch_id",
+        "id",
+        F.md5(R.joined("input_ids")).alias("ids"),
+        F.md5(R.joined("labels")).alias("labels"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("attended"),
+    )

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as Y
 
+from uttera import settings as S
 from uttera.functions import text as T
 from uttera.operators import examples as E
 from uttera.operators import filters
@@ -201,7 +202,7 @@ def test_training_set(spark):
         assert r.labels == [-100] * 11 + [m.speech_base + t for t in range(n)] + [m.turn_end, m.newline]
         assert r.input_ids[11:] == r.labels[11:] and r.attention_mask == [1] * len(r.input_ids)
         assert r.input_ids[5] == m.unknown and r.input_ids[4] >= m.first_word
-    salted = E.encode_examples(df, vocab, max_seq_len=30, max_broadcast_rows=1)
+    salted = E.encode_examples(df, vocab, max_seq_len=30, max_broadcast_bytes=1)
     assert {r.id: r for r in salted.collect()} == got
 
 
@@ -287,3 +288,24 @@ def test_command_line(spark, tmp_path, capsys):
     spark.createDataFrame([("<|s_3|>",), ("x",)], "generated string").write.parquet(str(tmp_path / "generated"))
     main(["parse", "--generated", str(tmp_path / "generated"), "--out", str(tmp_path / "parsed")], spark)
     assert {r.error for r in spark.read.parquet(str(tmp_path / "parsed")).collect()} == {None, "no speech tokens"}
+
+
+def test_examples_of_repeated_ids_keep_their_own_words(spark):
+    rows = [("None_S", "a b", [1]), ("None_S", "c d", [2]), (None, "b", [3]), ("None_S", "a b", [1])]
+    df = spark.createDataFrame(rows, "id string, text string, speech_tokens array<int>")
+    vocab = E.vocabulary(df)
+    ids = {r.word: r.word_id for r in vocab.collect()}
+    m = E.Markers()
+    for bound in (1, 1 << 20):
+        got = sorted((str(r.id), r.input_ids[3:-10 + 3], r.input_ids[-3] - m.speech_base)
+                     for r in E.encode_examples(df, vocab, max_broadcast_bytes=bound).collect())
+        want = sorted((str(i), [ids[w] for w in t.split()], s[0]) for i, t, s in rows)
+        assert [(i, w[: len(x[1])], s) for (i, w, s), x in zip(got, want)] == want
+
+
+def test_id_ranges_do_not_overlap(spark):
+    with pytest.raises(ValueError):
+        E.Markers(first_word=100)
+    df = spark.createDataFrame([("1", "a", [S.TOKEN_RANGE])], "id string, text string, speech_tokens array<int>")
+    with pytest.raises(Exception, match="outside the range"):
+        E.encode_examples(df, E.vocabulary(df)).collect()

@@ -136,10 +136,30 @@ def test_pad_batches(spark):
         assert row.labels == list(range(1, n + 1)) + [-100] * (m - n)
 
 
-def test_lookup_join_is_the_same_salted_and_broadcast(spark):
+def test_lookup_join_is_the_same_shuffled_and_broadcast(spark):
     rows = spark.range(600).withColumn("key", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")))
     table = spark.createDataFrame([("hot", 1), ("1", 2), ("unused", 3)], "key string, v int")
-    small = lookup_join(rows, table, "key", "id").collect()
-    large = lookup_join(rows, table, "key", "id", max_broadcast_rows=2).collect()
+    small = lookup_join(rows, table, "key").collect()
+    large = lookup_join(rows, table, "key", max_broadcast_bytes=2).collect()
     assert sorted(map(str, small)) == sorted(map(str, large)) and len(large) == 600
     assert sum(r.v == 1 for r in large) == 200
+
+
+def test_split_is_exact_with_repeated_keys(spark):
+    df = spark.range(400).select(F.when(F.col("id") < 300, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"))
+    for ratio in (0.01, 0.3, 0.5, 0.999, 1.0):
+        sizes = {r.split: r.rows for r in E.split_sizes(E.train_eval_split(df.repartition(5), ratio)).collect()}
+        assert sizes["test"] == -(-400 * round(ratio * 1000) // 1000)
+
+
+def test_pad_batches_with_its_defaults_and_repeated_ids(spark):
+    rows = [(None if i == 0 else f"k{i // 3}", [i] * (1 + i % 4), [1] * (1 + i % 4), [i] * (1 + i % 4)) for i in range(11)]
+    df = spark.createDataFrame(rows, "id string, input_ids array<int>, attention_mask array<int>, labels array<int>")
+    got = E.pad_batches(df).collect()
+    assert sorted((str(r.id), r.input_ids[0]) for r in got) == sorted((str(r[0]), r[1][0]) for r in rows)
+    batches = {}
+    for r in got:
+        batches.setdefault(r.batch_id, []).append(r)
+        assert len(r.input_ids) == len(r.labels) == len(r.attention_mask) and sum(r.attention_mask) == 1 + r.labels[0] % 4
+    assert sorted(map(len, batches.values())) == [1, 2, 2, 2, 2, 2]
+    assert all(len({len(r.input_ids) for r in b}) == 1 for b in batches.values())

@@ -125,7 +125,7 @@ def test_attach_preset(spark):
         "request_id int, speaker string, ref_embedding array<float>",
     )
     for bound in (10, 0):
-        voiced = P.attach_preset(requests, presets, max_broadcast_rows=bound)
+        voiced = P.attach_preset(requests, presets, max_broadcast_bytes=bound)
         assert {r.request_id: (r.embedding, r.error) for r in voiced.collect()} == {
             1: ([1.0], None), 2: (None, "unknown speaker"), 3: ([9.0], None), 4: ([8.0], None),
             5: (None, "no speaker or reference"), 6: (None, "unknown speaker"),

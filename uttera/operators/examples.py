@@ -2,9 +2,11 @@
 
 from dataclasses import dataclass
 from math import ceil
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from uttera import settings as S
 from uttera.functions import arrays as A
@@ -12,11 +14,12 @@ from uttera.functions import text as T
 from uttera.operators import filters
 from uttera.operators.lookup import is_small
 from uttera.operators.ranking import index_bucket, ranked
+from uttera.session import ROW, with_row_id
 
 
 @dataclass(frozen=True)
 class Markers:
-    """Ids of the pieces that are not words. Speech token N has id ``speech_base + N``."""
+    """Ids of the pieces: markers, then speech tokens (token N has id ``speech_base + N``), then words without end."""
 
     turn_start: int = 0
     turn_end: int = 1
@@ -24,8 +27,14 @@ class Markers:
     user: int = 3
     assistant: int = 4
     unknown: int = 5
-    first_word: int = 16
-    speech_base: int = 1 << 24
+    speech_base: int = 16
+    speech_tokens: int = S.TOKEN_RANGE
+    first_word: int = 16 + S.TOKEN_RANGE
+
+    def __post_init__(self) -> None:
+        last = max(self.turn_start, self.turn_end, self.newline, self.user, self.assistant, self.unknown)
+        if not last < self.speech_base <= self.first_word - self.speech_tokens:
+            raise ValueError("the id ranges of markers, speech tokens and words overlap")
 
 
 def vocabulary(df: DataFrame, text: str = "text", markers: Markers = Markers()) -> DataFrame:
@@ -33,37 +42,40 @@ def vocabulary(df: DataFrame, text: str = "text", markers: Markers = Markers())
     found = df.select(F.explode(T.words(F.col(text))).alias("word")).where(F.col("word") != "").distinct()
     hashed = found.withColumn("_md5", F.md5("word"))
     numbered = ranked(hashed, [], F.struct("_md5", "word"), F.substring("_md5", 1, 3), out="_rank")
-    return numbered.select("word", (F.col("_rank") + markers.first_word).cast("int").alias("word_id"))
+    return numbered.select("word", (F.col("_rank") + markers.first_word).cast("bigint").alias("word_id"))
+
+
+def _look_up(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Join a large vocabulary: the most frequent words by a broadcast of bounded size, the others by a shuffle."""
+    short = pieces.where(F.octet_length("word") <= S.FREQUENT_WORD_BYTES)
+    most = short.groupBy("word").count().orderBy(F.desc("count"), "word").limit(S.FREQUENT_WORDS)
+    frequent = most.join(vocab, "word", "left").select("word", "word_id", F.lit(True).alias("_frequent"))
+    first = pieces.join(F.broadcast(frequent), "word", "left")
+    rest = first.where(F.col("_frequent").isNull()).drop("word_id", "_frequent").join(vocab, "word", "left")
+    return first.where("_frequent").drop("_frequent").unionByName(rest)
 
 
 def encode_words(
     df: DataFrame,
     vocab: DataFrame,
-    key: str,
     text: str = "text",
     unknown: int = Markers().unknown,
-    max_broadcast_rows: int = 5 * S.BROADCAST_ROWS,
-    salts: int = 64,
+    max_broadcast_bytes: int = S.BROADCAST_BYTES,
 ) -> DataFrame:
-    """Add ``word_ids``: the text's words as vocabulary ids, in order. ``key`` is unique.
+    """Add ``word_ids``: the text's words as vocabulary ids, in order; null for a null text. Each row is encoded by itself.
 
-    With a vocabulary checked to be small, the rows are shuffled once by key while they are still text; the words
-    then meet the broadcast vocabulary and are gathered where they are. A larger vocabulary is joined on
-    (word, salt), the salt coming from the row's key, so that a frequent word is shared by many tasks.
+    With a vocabulary checked to be small, the rows are shuffled once while they are still text; the words then meet
+    the broadcast vocabulary and are gathered where they are.
     """
-    small = is_small(vocab, max_broadcast_rows)
-    source = df.repartition(key) if small else df
-    exploded = source.select(key, F.posexplode(T.words(F.col(text))).alias("_pos", "word"))
-    if small:
-        found = exploded.join(F.broadcast(vocab), "word", "left")
-    else:
-        salted = exploded.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-        repeated = vocab.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        found = salted.join(repeated, ["word", "_salt"], "left")
+    rows = with_row_id(df)
+    small = is_small(vocab, max_broadcast_bytes)
+    source = rows.repartition(ROW) if small else rows
+    pieces = source.select(ROW, F.posexplode(T.words(F.col(text))).alias("_pos", "word"))
+    found = pieces.join(F.broadcast(vocab), "word", "left") if small else _look_up(pieces, vocab)
     piece = F.struct("_pos", F.coalesce("word_id", F.lit(unknown)).alias("id"))
-    gathered = found.groupBy(key).agg(F.sort_array(F.collect_list(piece)).alias("_pieces"))
-    ids = gathered.select(key, F.col("_pieces.id").alias("word_ids"))
-    return source.join(ids, key)
+    gathered = found.groupBy(ROW).agg(F.sort_array(F.collect_list(piece)).alias("_pieces"))
+    ids = gathered.select(ROW, F.col("_pieces.id").alias("word_ids"))
+    return source.join(ids, ROW, "left").drop(ROW)
 
 
 def prompt_ids(word_ids: Column, markers: Markers = Markers()) -> Column:
@@ -77,7 +89,10 @@ def prompt_ids(word_ids: Column, markers: Markers = Markers()) -> Column:
 def full_ids(word_ids: Column, tokens: Column, markers: Markers = Markers()) -> Column:
     """The prompt, the speech tokens and the end of the assistant turn."""
     m = markers
-    speech = F.transform(tokens, lambda t: (t + m.speech_base).cast("int"))
+    outside = F.raise_error(F.lit("a speech token lies outside the range of ids kept for them")).cast("bigint")
+    speech = F.transform(
+        tokens, lambda t: F.when((t >= 0) & (t < m.speech_tokens), t.cast("bigint") + m.speech_base).otherwise(outside)
+    )
     return F.concat(prompt_ids(word_ids, m), speech, F.array(F.lit(m.turn_end), F.lit(m.newline)))
 
 
@@ -112,9 +127,9 @@ def encode_examples(
     tokens: str = "speech_tokens",
     max_seq_len: int = S.MAX_SEQ_LEN,
     markers: Markers = Markers(),
-    max_broadcast_rows: int = 5 * S.BROADCAST_ROWS,
+    max_broadcast_bytes: int = S.BROADCAST_BYTES,
 ) -> DataFrame:
-    """Rows with text and tokens to training examples, keyed by ``key``; what does not fit is dropped.
+    """Rows with text and tokens to training examples, each with its ``key``, which may repeat; what does not fit is dropped.
 
     An example's length is known before its words are looked up, so over-long rows leave before the shuffle and
     no more than ``max_seq_len`` words of a row are ever gathered.
@@ -122,7 +137,7 @@ def encode_examples(
     present = filters.examples_present(df.select(key, text, tokens), text, tokens)
     pieces = F.size(T.words(F.col(text))) + F.size(tokens) + FRAME_PIECES
     fitting = present.where(pieces <= max_seq_len)
-    worded = encode_words(fitting, vocab, key, text, markers.unknown, max_broadcast_rows)
+    worded = encode_words(fitting, vocab, text, markers.unknown, max_broadcast_bytes)
     both = worded.select(
         key,
         prompt_ids(F.col("word_ids"), markers).alias("prompt_ids"),
@@ -138,18 +153,26 @@ def pad_batches(
     order: str = "id",
     bucket: Column | None = None,
 ) -> DataFrame:
-    """Consecutive rows in the order of the unique column ``order``, padded to the longest of their batch.
+    """Consecutive rows in the order of ``order``, padded to the longest of their batch; equal values keep stored order.
 
+    An integer column is taken as an index. Any other is ordered by its MD5, which spreads it over buckets of its own.
     Batches and their lengths are worked out on (order, length) alone; the arrays are shuffled once, to meet them.
-    ``bucket`` as in ``ranked``; without it ``order`` is taken to be an integer index.
+    ``bucket`` as in ``ranked``.
     """
-    sizes = examples.select(order, F.size("input_ids").alias("_size"))
-    numbered = ranked(sizes, [], F.col(order), index_bucket(order) if bucket is None else bucket, out="_rank")
+    rows = with_row_id(examples)
+    sizes = rows.select(ROW, order, F.size("input_ids").alias("_size"))
+    place = [F.col(order), F.col(ROW)]
+    if bucket is None and isinstance(examples.schema[order].dataType, IntegralType):
+        bucket = index_bucket(order)
+    elif bucket is None:
+        hashed = F.md5(F.coalesce(F.col(order).cast("string"), F.lit("")))
+        place, bucket = [hashed, *place], F.substring(hashed, 1, 4)
+    numbered = ranked(sizes, [], F.struct(*place), bucket, out="_rank")
     batched = numbered.withColumn("batch_id", F.floor(F.col("_rank") / batch_rows)).withColumn(
         "_longest", F.max("_size").over(Window.partitionBy("batch_id"))
     )
     # Both sides grow with the data: a merge join never holds either in memory.
-    joined = examples.join(batched.select(order, "batch_id", "_longest").hint("merge"), order)
+    joined = rows.join(batched.select(ROW, "batch_id", "_longest").hint("merge"), ROW)
 
     def padded(column: str, fill: int) -> Column:
         return A.pad_right(F.col(column), F.col("_longest"), fill).alias(column)
@@ -166,32 +189,41 @@ def pad_batches(
 def split_key(key: str | Column, seed: int = S.SEED) -> Column:
     """What the split orders rows by: the MD5 of the seed and the row's key."""
     column = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), column.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(column.cast("string"), F.lit(""))))
+
+
+def _cut(rows: DataFrame, by: Column, take: int) -> tuple[Any, int]:
+    """The value of ``by`` in which the row ``take`` lies, counted from 1, and how many rows of that value are taken.
+
+    Only counts are put in order in one task, one for each value of ``by``.
+    """
+    counts = rows.groupBy(by.alias("_value")).agg(F.count(F.lit(1)).alias("_count"))
+    upto = counts.withColumn("_upto", F.sum("_count").over(Window.orderBy("_value")))
+    hit = upto.where(F.col("_upto") >= take).orderBy("_value").first()
+    return hit["_value"], take - hit["_upto"] + hit["_count"]
 
 
 def train_eval_split(df: DataFrame, ratio: float = S.EVAL_RATIO, seed: int = S.SEED, key: str = "id") -> DataFrame:
-    """Add ``split``: exactly ``ceil(ratio * n)`` rows are ``test``, those first in MD5 order; ``key`` is unique.
+    """Add ``split``: exactly ``ceil(ratio * n)`` rows are ``test``, those first in MD5 order, then in stored order.
 
-    Rows are counted per MD5 prefix, which finds the prefix the cut falls into; only that prefix's rows are sorted,
-    for the cut itself. The table is scanned three times and never shuffled.
+    Keys may repeat. Counts find the MD5 prefix the cut falls into, then the MD5, then the stretch of stored rows with
+    that MD5; only the rows of that stretch are sorted. The table is stored once, scanned a few times, never shuffled.
     """
-    keys = df.select(split_key(key, seed).alias("_md5"))
-    counts = keys.groupBy(F.substring("_md5", 1, 4).alias("_prefix")).agg(F.count(F.lit(1)).alias("_count"))
-    # At most 16**4 prefixes, whatever the table's size.
-    running = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    summed = counts.withColumn("_upto", F.sum("_count").over(running))
-    every = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    summed = summed.withColumn("_wanted", F.ceil(F.lit(ratio) * F.max("_upto").over(every)))
-    cut = summed.where(F.col("_upto") >= F.col("_wanted")).orderBy("_prefix").limit(1)
-    cut = cut.select("_prefix", (F.col("_wanted") - F.col("_upto") + F.col("_count")).alias("_take"))
-    inside = keys.join(F.broadcast(cut), F.substring("_md5", 1, 4) == F.col("_prefix"))
-    last = (
-        inside.withColumn("_at", F.row_number().over(Window.partitionBy("_prefix").orderBy("_md5")))
-        .where(F.col("_at") <= F.col("_take"))
-        .agg(F.max("_md5"))
-    )
-    in_test = F.coalesce(split_key(key, seed) <= last.scalar(), F.lit(False))
-    return df.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
+    rows = with_row_id(df)
+    keys = rows.select(split_key(key, seed).alias("_md5"), ROW)
+    wanted = ceil(round(ratio * keys.count(), 9))
+    in_test = F.lit(False)
+    if wanted:
+        prefix, take = _cut(keys, F.substring("_md5", 1, 4), wanted)
+        keys = keys.where(F.substring("_md5", 1, 4) == prefix)
+        md5, take = _cut(keys, F.col("_md5"), take)
+        keys = keys.where(F.col("_md5") == md5)
+        stretch, take = _cut(keys, F.shiftright(ROW, 33), take)
+        inside = keys.where(F.shiftright(ROW, 33) == stretch).orderBy(ROW).limit(take)
+        last = inside.agg(F.max(ROW)).first()[0]
+        mine = split_key(key, seed)
+        in_test = (mine < md5) | ((mine == md5) & (F.col(ROW) <= last))
+    return rows.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train"))).drop(ROW)
 
 
 def hash_split(df: DataFrame, ratio: float = S.EVAL_RATIO, seed: int = S.SEED, key: str = "id") -> DataFrame:

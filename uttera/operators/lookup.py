@@ -1,32 +1,39 @@
 """Equi-join to a lookup table with one row per key."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from uttera import settings as S
 
 
-def is_small(table: DataFrame, max_rows: int = S.BROADCAST_ROWS) -> bool:
-    """Does the table hold at most ``max_rows`` rows? Counts no further than that."""
-    return table.limit(max_rows + 1).count() <= max_rows
+def stored_bytes(table: DataFrame) -> int:
+    """About how many bytes the table's rows take in memory; strings and arrays by their lengths."""
+
+    def width(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(field.name), F.lit(0)) + 8
+        if isinstance(field.dataType, T.ArrayType):
+            return F.greatest(F.size(field.name), F.lit(0)) * 8 + 16
+        return F.lit(8)
+
+    row = reduce(lambda a, b: a + b, [width(f) for f in table.schema.fields], F.lit(16))
+    return table.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+
+
+def is_small(table: DataFrame, max_bytes: int = S.BROADCAST_BYTES) -> bool:
+    """May the table be sent to every executor?"""
+    return stored_bytes(table) <= max_bytes
 
 
-def lookup_join(
-    df: DataFrame,
-    table: DataFrame,
-    key: str,
-    spread: str,
-    max_broadcast_rows: int = S.BROADCAST_ROWS,
-    salts: int = 16,
-) -> DataFrame:
+def lookup_join(df: DataFrame, table: DataFrame, key: str, max_broadcast_bytes: int = S.BROADCAST_BYTES) -> DataFrame:
     """Left join ``df`` to ``table`` on ``key``.
 
-    ``table`` is counted and then joined, so hand in one that is stored. Found to be small, it is broadcast. Otherwise
-    both sides are shuffled on (key, salt): the salt comes from ``spread``, a column of ``df`` that varies within a
-    key, so that a hot key is shared by several tasks, and the table is repeated once per salt.
+    ``table`` is measured and then joined, so hand in one that is stored. Found to be small, it is broadcast. Otherwise
+    both sides are shuffled on the key once, and adaptive execution splits the rows of a hot key over several tasks.
     """
-    if is_small(table, max_broadcast_rows):
+    if is_small(table, max_broadcast_bytes):
         return df.join(F.broadcast(table), key, "left")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+    return df.join(table.hint("merge"), key, "left")

@@ -64,15 +64,14 @@ def top_speakers(counts: DataFrame, k: int = 20) -> DataFrame:
 def attach_preset(
     requests: DataFrame,
     presets: DataFrame,
-    key: str = "request_id",
-    max_broadcast_rows: int = S.BROADCAST_ROWS,
+    max_broadcast_bytes: int = S.BROADCAST_BYTES,
 ) -> DataFrame:
     """Give each request its voice: the preset of the speaker it names, else its reference vector.
 
     A named speaker without a preset gets no fallback. ``error`` says why a request has no voice.
     """
     table = presets.select(F.col("speakerID").alias("speaker"), F.col("embedding").alias("_preset"))
-    joined = lookup_join(requests, table, "speaker", spread=key, max_broadcast_rows=max_broadcast_rows)
+    joined = lookup_join(requests, table, "speaker", max_broadcast_bytes)
     named = F.coalesce(F.col("speaker") != "", F.lit(False))
     voice = F.when(named, F.col("_preset")).otherwise(F.col("ref_embedding"))
     error = F.when(named & F.col("_preset").isNull(), F.lit("unknown speaker")).when(

@@ -137,5 +137,5 @@ def add_pauses(
     """Tag each text with its utterance's gap count from ``gaps`` (key, gaps); an utterance without one gets none."""
     if not (enabled and pause_tags):
         return df
-    counted = lookup_join(df, gaps.select(key, F.col("gaps").alias("_gaps")), key, spread=text)
+    counted = lookup_join(df, gaps.select(key, F.col("gaps").alias("_gaps")), key)
     return counted.withColumn(text, T.insert_pause_tags(F.col(text), F.col("_gaps"), tag)).drop("_gaps")

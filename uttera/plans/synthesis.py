@@ -9,9 +9,9 @@ from uttera.functions import text as T
 from uttera.operators import presets as P
 
 
-def prepare_requests(requests: DataFrame, presets: DataFrame, key: str = "request_id") -> DataFrame:
+def prepare_requests(requests: DataFrame, presets: DataFrame) -> DataFrame:
     """Add the rendered ``prompt``, the ``embedding`` to speak with, and ``error`` where there is none."""
-    voiced = P.attach_preset(requests, presets, key)
+    voiced = P.attach_preset(requests, presets)
     return voiced.withColumn("prompt", T.chatml(T.user_message(F.col("text")), generation_prompt=True))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 
 from uttera import settings as S
 from uttera.operators import examples as E
-from uttera.session import materialize
 
 
 @dataclass
@@ -25,11 +24,18 @@ def training_set(
     seed: int = S.SEED,
     markers: E.Markers = E.Markers(),
 ) -> TrainingSet:
-    """Encode, drop what does not fit, split. The encoded examples are written once: the split scans them again."""
-    encoded = materialize(E.encode_examples(processed, vocab, key, max_seq_len=max_seq_len, markers=markers), "examples")
+    """Encode, drop what does not fit, split. ``key`` need not be unique: rows are told apart as they are stored."""
+    encoded = E.encode_examples(processed, vocab, key, max_seq_len=max_seq_len, markers=markers)
     split = E.train_eval_split(encoded, eval_ratio, seed, key)
     return TrainingSet(
         train=split.where("split = 'train'").drop("split"),
         evaluation=split.where("split = 'test'").drop("split"),
         sizes=E.split_sizes(split),
     )
+
+
+def padded_batches(
+    made: TrainingSet, batch_rows: int = S.BATCH_ROWS, pad_id: int = 0, order: str = "id"
+) -> tuple[DataFrame, DataFrame]:
+    """Training and evaluation rows in batches, each padded to its longest row."""
+    return E.pad_batches(made.train, batch_rows, pad_id, order), E.pad_batches(made.evaluation, batch_rows, pad_id, order)

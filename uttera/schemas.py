@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 INTS = T.ArrayType(T.IntegerType())
+LONGS = T.ArrayType(T.LongType())
 FLOATS = T.ArrayType(T.FloatType())
 
 AUDIO = T.StructType([
@@ -52,9 +53,9 @@ PRESETS = T.StructType([
 ])
 
 EXAMPLES = T.StructType([
-    T.StructField("input_ids", INTS),
+    T.StructField("input_ids", LONGS),
     T.StructField("attention_mask", INTS),
-    T.StructField("labels", INTS),
+    T.StructField("labels", LONGS),
 ])
 
 

@@ -5,6 +5,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # AQE sizes the shuffle partitions and splits skewed joins; Arrow batches are bounded in bytes as well as in rows
 # because one row may carry a whole audio signal.
@@ -60,6 +61,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROW = "_row"
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """The rows, stored, each with a number of its own in ``ROW``.
+
+    The numbers are given once, when the rows are written, so every later scan sees the same ones.
+    """
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hand the rows of an input with fewer splits than the session has cores out to all of them, by a unique key.
 

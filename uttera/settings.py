@@ -47,5 +47,8 @@ SPACES = (
 
 # Rows of one ordered bucket: what a single task sorts at most (operators.ranking).
 BUCKET_ROWS = 65536
-# Largest lookup table, in rows, that is broadcast (operators.lookup).
-BROADCAST_ROWS = 100_000
+# Largest lookup table, in bytes, that is broadcast (operators.lookup).
+BROADCAST_BYTES = 64 << 20
+# Words looked up in a broadcast table before the rest of a large vocabulary is joined, and their length in bytes.
+FREQUENT_WORDS = 10_000
+FREQUENT_WORD_BYTES = 64
