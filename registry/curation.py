@@ -2,13 +2,15 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registry import tables as R
 from registry.base import collector
 from uttera import settings as S
-from uttera.functions import text as T
+from uttera.functions import text as X
 from uttera.operators import curate, filters
 from uttera.operators.ranking import with_source_index
+from uttera.session import work_path
 from uttera.sources.corpus import read_corpus
 
 query, QUERIES, ORACLES = collector()
@@ -24,6 +26,20 @@ def whole_corpus(spark: SparkSession, sf: str) -> DataFrame:
     return with_source_index(corpus).select("doc_id", F.col("source").alias("config"), "n_chars", "source_index")
 
 
+CHOSEN = ("src1", "src3")
+
+
+@query("chosen_configs", f"""SELECT doc_id, source AS config, lang AS split FROM documents
+  WHERE source IN {CHOSEN} AND lang = 'en'""")
+def chosen_configs(spark: SparkSession, sf: str) -> DataFrame:
+    """Some configs and one split of a corpus in partition folders."""
+    path = work_path(spark, "corpus")
+    rows = R.documents(spark, sf).select("doc_id", F.col("source").alias("config"), F.col("lang").alias("split"))
+    rows.write.partitionBy("config", "split").parquet(path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType())])
+    return read_corpus(spark, path, list(CHOSEN), "en", schema=schema, indexed=True).drop("source_index")
+
+
 @query("filter_language", f"SELECT doc_id, lang FROM documents WHERE lang = '{R.LANGUAGE}'")
 def filter_language(spark: SparkSession, sf: str) -> DataFrame:
     return filters.language_is(R.documents(spark, sf), "lang", R.LANGUAGE).select("doc_id", "lang")
@@ -48,7 +64,7 @@ def worker_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("clean_transcript", f"SELECT doc_id, {R.sql_clean('text')} AS text FROM documents")
 def clean_transcript(spark: SparkSession, sf: str) -> DataFrame:
-    return R.documents(spark, sf).select("doc_id", T.clean_transcript(F.col("text"), R.KEPT).alias("text"))
+    return R.documents(spark, sf).select("doc_id", X.clean_transcript(F.col("text"), R.KEPT).alias("text"))
 
 
 @query("valid_transcript", f"SELECT doc_id, length(text) AS chars FROM documents WHERE {R.sql_valid('text')}")
@@ -72,7 +88,7 @@ def curated(spark: SparkSession, sf: str) -> DataFrame:
     df = filters.language_is(R.utterances(spark, sf), "language", R.LANGUAGE)
     df = filters.state_is(df, "state", R.STATE)
     df = filters.duration_between(df)
-    df = df.withColumn("text", T.clean_transcript(F.col("text"), R.KEPT))
+    df = df.withColumn("text", X.clean_transcript(F.col("text"), R.KEPT))
     df = filters.transcript_valid(df, "text", max_chars=R.MAX_CHARS, script=R.LATIN)
     df = filters.tokens_present(df.withColumn("speech_tokens", R.tokens("text")))
     vectors = R.vectors(spark, sf).select(F.col("vec_id").alias("source_index"), "global_embedding")
@@ -114,7 +130,7 @@ def curate_rows(spark: SparkSession, sf: str) -> DataFrame:
   FROM checked GROUP BY config""")
 def curation_funnel(spark: SparkSession, sf: str) -> DataFrame:
     stages = curate.curation_stages(language=R.LANGUAGE, state=R.STATE)
-    cleaned = T.clean_transcript(F.col("text"), R.KEPT)
-    stages["transcript"] = T.valid_transcript(cleaned, max_chars=R.MAX_CHARS, script=R.LATIN)
+    cleaned = X.clean_transcript(F.col("text"), R.KEPT)
+    stages["transcript"] = X.valid_transcript(cleaned, max_chars=R.MAX_CHARS, script=R.LATIN)
     return curate.funnel(R.utterances(spark, sf), stages, by=("config",))
 

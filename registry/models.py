@@ -1,8 +1,10 @@
 """The inference stage and the whole curation, with deterministic stand-ins for the models."""
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Y
 
@@ -13,7 +15,8 @@ from uttera import settings as S
 from uttera.functions import text as T
 from uttera.operators.infer import infer, quarantine
 from uttera.plans.curation import Curation, Model, curate_corpus
-from uttera.schemas import INTS
+from uttera.plans.evaluation import evaluation_report
+from uttera.schemas import FLOATS, INTS
 from uttera.session import work_path
 from uttera.sources.shards import read_processed
 
@@ -99,10 +102,13 @@ CURATE_FLOW = f"""WITH {R.UTTERANCES}, {FRAMES}, marked AS (SELECT doc_id, frame
   FROM ({R.sql_paused('cleaned', 'gaps', 'valid')})"""
 
 
+def audio_of(text: str):
+    samples = F.transform(T.code_points(F.col(text)), lambda p: (p - 32).cast("float"))
+    return F.struct(samples.alias("array"), F.lit(RATE).alias("sampling_rate")).alias("audio")
+
+
 def raw_audio(spark: SparkSession, sf: str) -> DataFrame:
-    samples = F.transform(T.code_points(F.col("text")), lambda p: (p - 32).cast("float"))
-    audio = F.struct(samples.alias("array"), F.lit(RATE).alias("sampling_rate"))
-    return R.utterances(spark, sf).withColumn("audio", audio).drop("text")
+    return R.utterances(spark, sf).withColumn("audio", audio_of("text")).drop("text")
 
 
 @query("curate_flow", CURATE_FLOW)
@@ -110,6 +116,10 @@ def curate_flow(spark: SparkSession, sf: str) -> DataFrame:
     out = work_path(spark, "curated")
     curate_corpus(raw_audio(spark, sf), Model(load, transcribe), Model(load, encode_audio), out, spec=SPEC)
     stored = read_processed(spark, out)
+    return shown(stored)
+
+
+def shown(stored: DataFrame, *more: Column) -> DataFrame:
     return stored.select(
         "config",
         "shard",
@@ -117,4 +127,76 @@ def curate_flow(spark: SparkSession, sf: str) -> DataFrame:
         "text",
         R.joined("speech_tokens").alias("speech_tokens"),
         F.col("global_embedding")[0].cast("bigint").alias("dim_one"),
+        *more,
+    )
+
+
+LIMIT = 20
+
+
+@query("curate_limited", f"SELECT * FROM ({CURATE_FLOW}) ORDER BY config, shard, CAST(split_part(id, '_', 1) AS BIGINT) LIMIT {LIMIT}")
+def curate_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """The first accepted rows of the run, in a dry run: the models see a part of the corpus only."""
+    run = curate_corpus(
+        raw_audio(spark, sf), Model(load, transcribe), Model(load, encode_audio), "", spec=SPEC, limit=LIMIT, dry_run=True
+    )
+    return shown(run.shards)
+
+
+# Two channels whose mean is the signal; the encoder hands back what it heard, at half its rate.
+def encode_and_return(model: dict, batch: pd.DataFrame) -> pd.DataFrame:
+    made = encode_audio(model, batch)
+    made["audio"] = [{"array": list(a["array"]), "sampling_rate": int(a["sampling_rate"]) // 2} for a in batch["audio"]]
+    return made
+
+
+@query("curate_flow_stereo", f"""SELECT *, len(string_split(speech_tokens, ',')) AS samples, {RATE // 2} AS rate
+  FROM ({CURATE_FLOW})""")
+def curate_flow_stereo(spark: SparkSession, sf: str) -> DataFrame:
+    raw = raw_audio(spark, sf)
+    channels = F.transform("audio.array", lambda x: F.array(x - 1, x + 1))
+    stereo = raw.withColumn("audio", F.struct(channels.alias("array"), F.col("audio.sampling_rate").alias("sampling_rate")))
+    encoder = Model(load, encode_and_return, gives_audio=True)
+    run = curate_corpus(
+        stereo, Model(load, transcribe), encoder, work_path(spark, "stereo"), spec=replace(SPEC, keep_audio=True)
     )
+    samples = F.size("audio.array").cast("bigint").alias("samples")
+    return shown(run.shards, samples, F.col("audio.sampling_rate").alias("rate"))
+
+
+SAMPLES = Y.StructType([Y.StructField("samples", FLOATS)])
+
+
+def decode_tokens(model: dict, batch: pd.DataFrame) -> pd.DataFrame:
+    pairs = zip(batch["tokens"], batch["voice"])
+    return pd.DataFrame({"samples": [np.float32(np.asarray(t) + v[0]) for t, v in pairs]})
+
+
+@query("decode_stage", f"""SELECT doc_id, length(text) AS n,
+    CAST(list_sum(list_transform({R.sql_tokens('text')}, lambda t: t + n_chars % 7)) AS BIGINT) AS total FROM documents""")
+def decode_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens and a voice back to samples by a caller's decoder."""
+    voice = F.array((F.col("n_chars") % 7).cast("float"))
+    spoken = R.documents(spark, sf).select("doc_id", R.tokens().alias("tokens"), voice.alias("voice"))
+    decoded = infer(spoken, load, decode_tokens, SAMPLES, ["tokens", "voice"], ["doc_id"], "decode")
+    total = F.aggregate("samples", F.lit(0.0).cast("double"), lambda a, x: a + x).cast("bigint")
+    return decoded.select("doc_id", F.size("samples").cast("bigint").alias("n"), total.alias("total"))
+
+
+# A vector is four positions of sixteen logits; the labels count up from the row's own, the first unscored.
+@query("evaluation_report", f"""WITH rows AS (SELECT label, [embedding[1:16], embedding[17:32], embedding[33:48],
+      embedding[49:64]] AS logits, [{S.IGNORED_LABEL}, label, (label + 1) % 16, (label + 2) % 16] AS labels FROM embeddings),
+  preds AS (SELECT *, list_transform(logits, lambda x: list_position(x, list_max(x)) - 1) AS p FROM rows),
+  hits AS (SELECT p[i] = labels[i + 1] AS hit FROM preds, unnest(range(1, 4)) AS r(i)
+    WHERE labels[i + 1] <> {S.IGNORED_LABEL})
+  SELECT count(*) FILTER (hit) AS correct, count(*) AS scored,
+    round(count(*) FILTER (hit) / CAST(count(*) AS DOUBLE), 6) AS audio_token_accuracy,
+    (SELECT round(exp(avg(label / CAST(10 AS DOUBLE))), 6) FROM embeddings) AS eval_perplexity FROM hits""")
+def evaluated(spark: SparkSession, sf: str) -> DataFrame:
+    """Logits to one report of accuracy and perplexity."""
+    vectors = R.table(spark, sf, "embeddings")
+    logits = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice("embedding", i * 16 + 1, 16))
+    label = F.col("label").cast("int")
+    labels = F.array(F.lit(S.IGNORED_LABEL), label, (label + 1) % 16, (label + 2) % 16)
+    report = evaluation_report(vectors.select(logits.alias("logits"), labels.alias("labels"), (label / F.lit(10.0)).alias("loss")))
+    return report.withColumns({c: F.round(c, 6) for c in ("audio_token_accuracy", "eval_perplexity")})

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 
 from registry import tables as R
 from registry.base import collector
+from registry.models import CURATE_FLOW, SPEC, audio_of, encode_audio, load, shown, transcribe
 from registry.speakers import PRESET_ROWS, long_form
 from uttera import settings as S
 from uttera.functions import text as T
 from uttera.operators import filters
+from uttera.plans.curation import Model, accepted_rows, process_rows, select_rows
 from uttera.session import work_path
 from uttera.sources.corpus import stream_corpus
 from uttera.streaming import flows as W
@@ -41,6 +43,26 @@ def stream_curate(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query("stream_models", f"""SELECT config, id, text, speech_tokens, dim_one FROM ({CURATE_FLOW})""")
+def stream_models(spark: SparkSession, sf: str) -> DataFrame:
+    """The curation with its models over a stream of files."""
+    out, checkpoint = work_path(spark, "stream"), work_path(spark, "offsets")
+
+    def curate(docs: DataFrame) -> DataFrame:
+        rows = docs.select(
+            F.col("doc_id").alias("UtteranceSequenceID"), F.concat(F.lit("SPK_"), "lang").alias("speakerID"),
+            F.lit(None).cast("string").alias("gender"), F.col("source").alias("district"), F.col("lang").alias("language"),
+            (F.col("n_chars") / R.CHARS_PER_SECOND).alias("duration"), F.col("source").alias("config"), audio_of("text"),
+        )
+        models = Model(load, transcribe), Model(load, encode_audio)
+        done = process_rows(select_rows(rows, SPEC), *models, SPEC, carry=("config",))
+        return accepted_rows(done.where(F.col("error").isNull()), SPEC, carry=("config",))
+
+    W.run_available(W.stream_curate(document_stream(spark, sf), curate, out, checkpoint))
+    stored = spark.read.parquet(out).withColumn("shard", F.lit(0))
+    return shown(stored).drop("shard")
+
+
 @query("stream_shards", f"""WITH {CLEANED}, sharded AS (SELECT *, doc_id % 2 AS worker, (row_number() OVER (
     PARTITION BY config, doc_id % 2 ORDER BY doc_id) - 1) // 7 AS shard FROM kept)
   SELECT doc_id, config || '_w' || worker || '_b0_s' || shard AS shard_name, text FROM sharded""")

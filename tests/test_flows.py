@@ -309,3 +309,95 @@ def test_id_ranges_do_not_overlap(spark):
     df = spark.createDataFrame([("1", "a", [S.TOKEN_RANGE])], "id string, text string, speech_tokens array<int>")
     with pytest.raises(Exception, match="outside the range"):
         E.encode_examples(df, E.vocabulary(df)).collect()
+
+
+def counting(path, model):
+    def apply(loaded, batch):
+        with open(path, "a") as log:
+            log.write(f"{len(batch)}\n")
+        return model(loaded, batch)
+
+    return apply
+
+
+def test_a_limit_bounds_what_the_models_run_on(spark, tmp_path):
+    df = raw(spark, 3000)
+    # Slices of 64 and 256 rows are enough of the 3000; batches with a failing row are heard again in halves.
+    for options in ({"limit": 8}, {"max_shards": 2}, {"limit": 8, "config_order": ["c2", "c1"]}, {}):
+        log = tmp_path / "-".join(options)
+        heard = Model(load_nothing, counting(str(log), hear))
+        run = curate_corpus(df, heard, Model(load_nothing, encode), "", spec=SPEC, dry_run=True, **options)
+        whole = curate_corpus(df, Model(load_nothing, hear), Model(load_nothing, encode), "", spec=SPEC, dry_run=True)
+        got = {(r.config, r.source_index, r.shard) for r in run.shards.collect()}
+        every = sorted((r.config, r.source_index, r.shard) for r in whole.shards.collect())
+        if "max_shards" in options:
+            every = [r for r in every if r[2] < 2]
+        if "config_order" in options:
+            every.sort(key=lambda r: (options["config_order"].index(r[0]), r[1]))
+        assert got == set(every[: options.get("limit")])
+        heard_rows = sum(map(int, log.read_text().split()))
+        assert heard_rows <= 2 * (64 + 256) if options else heard_rows > 2000
+        if not options:
+            report = {r.config: (r.accepted, r.failed) for r in run.report().collect()}
+            assert sum(a for a, _ in report.values()) == len(got) and all(f for _, f in report.values())
+
+
+def test_another_number_of_workers_is_refused(spark, tmp_path):
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    curate(spark, raw(spark), out, progress=progress, num_workers=3, worker_id=0, quarantine=str(tmp_path / "bad"))
+    assert spark.read.parquet(str(tmp_path / "bad")).count() > 0
+    with pytest.raises(ValueError, match="3 workers"):
+        curate(spark, raw(spark), out, progress=progress, num_workers=2)
+
+
+def test_unreadable_progress_is_not_a_first_run(spark, tmp_path):
+    (tmp_path / "progress").mkdir()
+    (tmp_path / "progress" / "part-0.parquet").write_text("broken")
+    with pytest.raises(Exception):
+        load_progress(spark, str(tmp_path / "progress")).collect()
+
+
+def test_a_model_that_breaks_its_contract_fails_the_job(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, text string")
+    for broken in (lambda m, b: pd.DataFrame({"other": [1] * len(b)}), lambda m, b: pd.DataFrame({"n": [1]})):
+        with pytest.raises(Exception, match="are wanted"):
+            infer(df.coalesce(1), load_nothing, broken, LENGTHS, ["text"], ["id"]).collect()
+
+
+def test_stereo_is_averaged(spark):
+    df = raw(spark)
+    channels = F.transform("audio.array", lambda x: F.array(x - 2, x + 2))
+    stereo = df.withColumn("audio", F.when(F.col("audio").isNotNull(), F.struct(channels.alias("array"), F.col("audio.sampling_rate").alias("sampling_rate"))))
+    got = [curate(spark, d, "", dry_run=True).shards.select("id", "text", "speech_tokens").collect() for d in (df, stereo)]
+    assert sorted(map(tuple, got[0])) == sorted(map(tuple, got[1])) and got[0]
+
+
+def test_requests_without_text_and_turns_without_content(spark):
+    from uttera.plans.synthesis import prepare_requests
+
+    presets = spark.createDataFrame([("s", [1.0])], "speakerID string, embedding array<float>")
+    asked = spark.createDataFrame([(1, None, "s", None), (2, "hi", "s", None)], "request_id int, text string, speaker string, ref_embedding array<float>")
+    got = {r.request_id: r for r in prepare_requests(asked, presets).collect()}
+    assert got[1].error == "no text" and got[1].prompt is None and got[2].error is None and "hi" in got[2].prompt
+    shown = spark.range(1).select(T.chatml(T.build_messages(F.lit(None).cast("string"), F.lit("x"))).alias("c")).first().c
+    assert shown.count("<|im_start|>") == 2
+
+
+def test_ragged_vectors_are_an_error_in_both_forms(spark):
+    from uttera.operators.presets import presets_from_sums, vector_sums
+
+    df = spark.createDataFrame([("s", [1.0, 2.0]), ("s", [1.0])], "speakerID string, global_embedding array<float>")
+    for made in (lambda: speaker_presets(df), lambda: presets_from_sums(vector_sums(df))):
+        with pytest.raises(Exception):
+            made().collect()
+
+
+def test_skipped_files_are_named(spark, tmp_path):
+    from uttera.sources.shards import skipped_files
+
+    path = str(tmp_path / "shards")
+    df = spark.createDataFrame([("c", 0, i, f"x{i}") for i in range(2)], "config string, worker int, shard int, id string")
+    write_shards(df, path)
+    broken = tmp_path / "shards" / "config=c" / "worker=0" / "shard=1" / "part-bad.parquet"
+    broken.write_text("broken")
+    assert [r.path.rsplit("/", 1)[1] for r in skipped_files(spark, path).collect()] == ["part-bad.parquet"]

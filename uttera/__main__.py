@@ -13,7 +13,8 @@ from uttera.operators import examples, presets
 from uttera.operators.shards import samples, shard_sizes
 from uttera.plans.curation import Curation, curate_corpus
 from uttera.plans.synthesis import parse_generated, prepare_requests
-from uttera.plans.training import training_set
+from uttera.plans.training import padded_batches, training_set
+from uttera.schemas import Columns
 from uttera.session import CONF, materialize
 from uttera.sources.corpus import read_corpus
 from uttera.sources.presets import read_presets, write_presets
@@ -28,7 +29,22 @@ def named(name: str):
 def curate(spark: SparkSession, args: argparse.Namespace) -> None:
     configs = args.config or None
     raw = read_corpus(spark, args.corpus, configs, args.split, indexed=True)
-    spec = Curation(language=args.language, state=args.state or None, rows_per_shard=args.rows_per_shard)
+    names = dict(pair.split("=", 1) for pair in args.column)
+    spec = Curation(
+        columns=Columns(**names),
+        language=args.language,
+        state=args.state or None,
+        min_duration=args.min_duration,
+        max_duration=args.max_duration,
+        min_chars=args.min_chars,
+        max_chars=args.max_chars,
+        keep_class=args.keep_class,
+        script=args.script,
+        pauses_enabled=not args.no_pauses,
+        keep_audio=args.keep_audio,
+        transcript_source=args.transcript_source,
+        rows_per_shard=args.rows_per_shard,
+    )
     run = curate_corpus(
         raw,
         named(args.transcriber),
@@ -42,10 +58,13 @@ def curate(spark: SparkSession, args: argparse.Namespace) -> None:
         max_shards=args.max_shards,
         config_order=configs,
         dry_run=args.no_push,
+        quarantine=args.quarantine,
     )
+    run.report().show(truncate=False)
+    run.rejected.select("config", "source_index", "error").show(truncate=False)
     if args.no_push:
         shard_sizes(run.shards).show(truncate=False)
-        samples(run.shards).show(truncate=False)
+        samples(run.shards, config_order=configs).show(truncate=False)
 
 
 def build_presets(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -60,6 +79,9 @@ def build_training_set(spark: SparkSession, args: argparse.Namespace) -> None:
     vocab.write.mode("overwrite").parquet(f"{args.out}/vocabulary")
     made.train.write.mode("overwrite").parquet(f"{args.out}/train")
     made.evaluation.write.mode("overwrite").parquet(f"{args.out}/eval")
+    if args.batch_rows:
+        for name, batches in zip(("train", "eval"), padded_batches(made, args.batch_rows)):
+            batches.write.mode("overwrite").parquet(f"{args.out}/{name}_batches")
     made.sizes.show()
 
 
@@ -74,6 +96,7 @@ def parse(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="uttera")
+    parser.add_argument("--shuffle-partitions", type=int, default=None, help="partitions a shuffle starts from; AQE merges them")
     flows = parser.add_subparsers(required=True)
 
     def flow(name: str, run, *paths: str) -> argparse.ArgumentParser:
@@ -88,6 +111,17 @@ def arguments() -> argparse.ArgumentParser:
     c.add_argument("--split", default="train")
     c.add_argument("--language", default=S.LANGUAGE)
     c.add_argument("--state", default=S.STATE)
+    c.add_argument("--column", action="append", default=[], help="a source column's name, as speaker=speakerID")
+    c.add_argument("--min-duration", type=float, default=S.MIN_DURATION_S)
+    c.add_argument("--max-duration", type=float, default=S.MAX_DURATION_S)
+    c.add_argument("--min-chars", type=int, default=S.MIN_CHARS)
+    c.add_argument("--max-chars", type=int, default=S.MAX_CHARS)
+    c.add_argument("--keep-class", default=S.KEPT_CLASS, help="characters a transcript keeps, as in a regular expression's brackets")
+    c.add_argument("--script", default=S.SCRIPT_CLASS, help="characters of which a transcript must have one")
+    c.add_argument("--no-pauses", action="store_true")
+    c.add_argument("--keep-audio", action="store_true")
+    c.add_argument("--transcript-source", default=S.TRANSCRIPT_SOURCE)
+    c.add_argument("--quarantine", default=None, help="folder for the rows a model failed on")
     c.add_argument("--rows-per-shard", type=int, default=S.ROWS_PER_SHARD)
     c.add_argument("--worker-id", type=int, default=None, help="keep one worker's rows (default: all workers')")
     c.add_argument("--num-workers", type=int, default=1)
@@ -102,6 +136,7 @@ def arguments() -> argparse.ArgumentParser:
     t = flow("training-set", build_training_set, "processed")
     t.add_argument("--max-seq-len", type=int, default=S.MAX_SEQ_LEN)
     t.add_argument("--eval-ratio", type=float, default=S.EVAL_RATIO)
+    t.add_argument("--batch-rows", type=int, default=None, help="also write padded batches of so many rows")
     t.add_argument("--seed", type=int, default=S.SEED)
 
     flow("prompts", prompts, "requests", "presets")
@@ -115,6 +150,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         builder = SparkSession.builder.appName("uttera")
         for key, value in CONF.items():
             builder = builder.config(key, value)
+        if args.shuffle_partitions:
+            builder = builder.config("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
         spark = builder.getOrCreate()
     args.run(spark, args)
 

@@ -63,8 +63,12 @@ def insert_pause_tags(text: Column, gaps: Column, tag: str = S.PAUSE_TAG) -> Col
 def tokens_to_str(ids: Column, template: str = S.TOKEN_TEMPLATE) -> Column:
     """``[12, 5]`` to ``<|s_12|><|s_5|>``."""
     before, after = template.split("{}")
-    joined = F.concat(F.lit(before), F.array_join(ids.cast("array<string>"), after + before), F.lit(after))
-    return F.when(F.size(ids) > 0, joined).when(ids.isNotNull(), F.lit(""))
+
+    def joined(t: Column) -> Column:
+        listed = F.concat(F.lit(before), F.array_join(t.cast("array<string>"), after + before), F.lit(after))
+        return F.when(F.size(t) > 0, listed).when(t.isNotNull(), F.lit(""))
+
+    return let(ids, joined)
 
 
 def parse_speech_tokens(text: Column, pattern: str = S.TOKEN_PATTERN) -> Column:
@@ -87,10 +91,10 @@ def user_message(text: Column) -> Column:
 
 
 def chatml(messages: Column, generation_prompt: bool = False) -> Column:
-    """Render ordered messages as ChatML; the prompt form ends with an opened assistant turn."""
+    """Render ordered messages as ChatML; no turn is left out, and the prompt form ends with an opened assistant turn."""
     turns = F.transform(
         messages,
-        lambda m: F.concat(F.lit(S.TURN_START), m["role"], F.lit("\n"), m["content"], F.lit(S.TURN_END + "\n")),
+        lambda m: F.concat(F.lit(S.TURN_START), m["role"], F.lit("\n"), F.coalesce(m["content"], F.lit("")), F.lit(S.TURN_END + "\n")),
     )
     rendered = F.array_join(turns, "")
     return F.concat(rendered, F.lit(f"{S.TURN_START}assistant\n")) if generation_prompt else rendered

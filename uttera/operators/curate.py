@@ -17,6 +17,7 @@ def build_rows(
     vector: str = "global_embedding",
     keep: tuple[str, ...] = (),
     audio: str | None = None,
+    transcript_source: str = S.TRANSCRIPT_SOURCE,
 ) -> DataFrame:
     """The twelve columns of a processed row, then ``keep``, then the audio if it is wanted."""
     c = columns
@@ -29,7 +30,7 @@ def build_rows(
         F.col(c.duration).cast("double").alias("duration"),
         F.col(text).alias("text"),
         F.col(text).alias("transcript"),
-        F.lit(S.TRANSCRIPT_SOURCE).alias("transcript_source"),
+        F.lit(transcript_source).alias("transcript_source"),
         F.col(tokens).cast("array<int>").alias("speech_tokens"),
         F.size(tokens).alias("num_speech_tokens"),
         F.col(vector).cast("array<float>").alias("global_embedding"),

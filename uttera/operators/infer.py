@@ -24,7 +24,8 @@ def infer(
     """Add the ``outputs`` columns that ``apply(model, batch)`` returns for the ``inputs`` columns, and ``error``.
 
     ``load`` runs once per task. ``apply`` sees up to ``batch_rows`` rows; if it raises, the batch is repeated in
-    halves, so that only the failing rows end up with an ``error`` and null outputs. Rows that an earlier stage gave an error
+    halves, so that only the failing rows end up with an ``error`` and null outputs. Wrong columns or a wrong number of
+    rows fail the job. Rows that an earlier stage gave an error
     pass through untouched. ``keep`` lists the columns to carry along: select no more than is needed, since they all
     cross into Python.
     """
@@ -37,11 +38,17 @@ def infer(
 
     def run(model: Any, batch: pd.DataFrame) -> tuple[pd.DataFrame, list[str | None]]:
         try:
-            return apply(model, batch[inputs])[names].set_axis(batch.index), [None] * len(batch)
+            made = apply(model, batch[inputs])
         except Exception as failure:
             if len(batch) == 1:
                 empty = pd.DataFrame({n: [None] for n in names}, index=batch.index, dtype=object)
                 return empty, [f"{stage}: {failure}"]
+        else:
+            # A function that breaks its contract fails the job: its rows are not at fault.
+            if len(made) != len(batch) or not set(names) <= set(made.columns):
+                got = f"{len(made)} rows of {sorted(made.columns)}"
+                raise TypeError(f"{stage} returned {got} for {len(batch)} rows; {sorted(names)} are wanted")
+            return made[names].set_axis(batch.index), [None] * len(batch)
         half = len(batch) // 2
         first, first_errors = run(model, batch.iloc[:half])
         second, second_errors = run(model, batch.iloc[half:])

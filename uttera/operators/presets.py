@@ -47,7 +47,10 @@ def vector_sums(df: DataFrame, speaker: str = "speakerID", vector: str = "global
 def presets_from_sums(sums: DataFrame, speaker: str = "speakerID") -> DataFrame:
     """Presets from ``vector_sums``; what is gathered per speaker is one vector."""
     cells = F.sort_array(F.collect_list(F.struct("pos", (F.col("sum") / F.col("n")).alias("mean"))))
-    means = sums.groupBy(speaker).agg(cells.alias("_cells"), F.max("n").alias("n"))
+    least, most = F.min("n").alias("_least"), F.max("n").alias("n")
+    means = sums.groupBy(speaker).agg(cells.alias("_cells"), least, most)
+    ragged = F.raise_error(F.lit("vectors of different lengths have no mean")).cast("bigint")
+    means = means.withColumn("n", F.when(F.col("_least") == F.col("n"), F.col("n")).otherwise(ragged))
     return mean_presets(means, speaker, F.col("_cells.mean"))
 
 

@@ -81,10 +81,12 @@ def shard_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy("config", "worker", "shard", "shard_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def samples(df: DataFrame, n: int = 3, index: str = "source_index", prefix: int = 60) -> DataFrame:
-    """The first ``n`` accepted rows with the start of their text, for a dry run's display."""
+def samples(
+    df: DataFrame, n: int = 3, index: str = "source_index", prefix: int = 60, config_order: list[str] | None = None
+) -> DataFrame:
+    """The first ``n`` accepted rows, in the order of the run, with the start of their text, for a dry run's display."""
     return (
-        df.orderBy("config", index)
+        df.orderBy(config_place(config_order), index)
         .limit(n)
         .select(
             F.col("speakerID").alias("sid"),

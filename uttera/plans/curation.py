@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +15,9 @@ from uttera.functions import arrays as A
 from uttera.functions import signal
 from uttera.functions import text as X
 from uttera.operators import curate, filters, shards
-from uttera.operators.infer import infer, quarantine
-from uttera.schemas import FLOATS, INTS, Columns
+from uttera.operators.infer import infer
+from uttera.schemas import AUDIO, FLOATS, INTS, Columns
+from uttera.session import materialize
 from uttera.sources.progress import load_progress, save_progress
 from uttera.sources.shards import write_shards
 
@@ -24,11 +26,13 @@ from uttera.sources.shards import write_shards
 class Model:
     """``load()`` gives the model, once per task; ``apply(model, batch)`` maps the ``audio`` column to outputs.
 
-    A transcriber returns ``transcript`` (string), an encoder ``speech_tokens`` and ``global_embedding``.
+    A transcriber returns ``transcript`` (string), an encoder ``speech_tokens`` and ``global_embedding``, and with
+    ``gives_audio`` also the ``audio`` it encoded, at its own rate, which is then what ``keep_audio`` keeps.
     """
 
     load: Callable[[], Any]
     apply: Callable[[Any, pd.DataFrame], pd.DataFrame]
+    gives_audio: bool = False
 
 
 @dataclass(frozen=True)
@@ -51,11 +55,18 @@ class Curation:
     frame_length: int = S.FRAME_LENGTH
     hop: int = S.HOP_LENGTH
     keep_audio: bool = False
+    transcript_source: str = S.TRANSCRIPT_SOURCE
     rows_per_shard: int = S.ROWS_PER_SHARD
-    bucket_rows: int = S.BUCKET_ROWS
+    # Rows ordered by one task; None: few where they carry audio.
+    bucket_rows: int | None = None
     batch_rows: int = 64
 
 
+    @property
+    def ordered_rows(self) -> int:
+        return self.bucket_rows or (S.AUDIO_BUCKET_ROWS if self.keep_audio else S.BUCKET_ROWS)
+
+
 TRANSCRIPT = T.StructType([T.StructField("transcript", T.StringType())])
 ENCODING = T.StructType([T.StructField("speech_tokens", INTS), T.StructField("global_embedding", FLOATS)])
 
@@ -69,6 +80,14 @@ def select_rows(raw: DataFrame, spec: Curation = Curation()) -> DataFrame:
     return filters.audio_present(df, c.audio)
 
 
+def mono(df: DataFrame, audio: str) -> Column:
+    """The audio column; samples of several channels are averaged."""
+    column, kind = F.col(audio), df.schema[audio].dataType
+    if isinstance(kind["array"].dataType.elementType, T.ArrayType):
+        return F.struct(A.downmix(column["array"]).alias("array"), column["sampling_rate"].alias("sampling_rate"))
+    return column
+
+
 def process_rows(
     selected: DataFrame, transcribe: Model, encode: Model, spec: Curation = Curation(), carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -78,7 +97,7 @@ def process_rows(
     """
     c = spec.columns
     named = [c.sequence, c.speaker, c.gender, c.district, c.language, c.duration, *carry]
-    source = selected.withColumn("_audio", A.normalize_audio(F.col(c.audio)))
+    source = selected.withColumn("_audio", A.normalize_audio(mono(selected, c.audio)))
 
     pauses = spec.pauses_enabled and spec.pause_tags
 
@@ -94,7 +113,8 @@ def process_rows(
         return heard
 
     def speak(model: Any, batch: pd.DataFrame) -> pd.DataFrame:
-        return encode.apply(model, batch.rename(columns={"_audio": "audio"}))
+        spoken = encode.apply(model, batch.rename(columns={"_audio": "audio", "_heard": "audio"}))
+        return spoken.rename(columns={"audio": "_audio"})
 
     hearing = T.StructType([*TRANSCRIPT.fields, *([T.StructField("gaps", T.IntegerType())] if pauses else [])])
     heard = infer(
@@ -107,14 +127,18 @@ def process_rows(
         heard = heard.where(failed | X.valid_transcript(F.col("text"), spec.min_chars, spec.max_chars, spec.script))
     if pauses:
         heard = heard.withColumn("text", X.insert_pause_tags(F.col("text"), F.col("gaps"), spec.pause_tag))
-    kept = [*named, "text", *(["_audio"] if spec.keep_audio else [])]
-    encoded = infer(heard, encode.load, speak, ENCODING, ["_audio"], kept, "encode", spec.batch_rows)
+    returned = spec.keep_audio and encode.gives_audio
+    kept = [*named, "text", *(["_audio"] if spec.keep_audio and not returned else [])]
+    encoding = T.StructType([*ENCODING.fields, *([T.StructField("_audio", AUDIO)] if returned else [])])
+    if returned:
+        heard = heard.withColumnRenamed("_audio", "_heard")
+    encoded = infer(heard, encode.load, speak, encoding, ["_heard" if returned else "_audio"], kept, "encode", spec.batch_rows)
     return encoded.where(failed | (F.size("speech_tokens") > 0))
 
 
 def accepted_rows(processed: DataFrame, spec: Curation = Curation(), carry: tuple[str, ...] = ()) -> DataFrame:
     audio = "_audio" if spec.keep_audio else None
-    return curate.build_rows(processed, spec.columns, keep=carry, audio=audio)
+    return curate.build_rows(processed, spec.columns, keep=carry, audio=audio, transcript_source=spec.transcript_source)
 
 
 @dataclass
@@ -122,6 +146,62 @@ class CurationRun:
     shards: DataFrame
     rejected: DataFrame
 
+    def report(self) -> DataFrame:
+        """Rows accepted and rows a model failed on, per config."""
+        accepted = self.shards.groupBy("config").agg(F.count(F.lit(1)).alias("accepted"))
+        failed = self.rejected.groupBy("config").agg(F.count(F.lit(1)).alias("failed"))
+        both = accepted.join(failed, "config", "full")
+        return both.select("config", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("accepted", "failed")])
+
+
+def _reached(extent: list, accepted: dict, hi: int, most: int | None, limit: int | None, order: list[str] | None) -> bool:
+    """Are the rows before index ``hi`` enough for every worker? ``extent``: its configs with their last indexes."""
+    place = {config: at for at, config in enumerate(order or [])}
+    workers: dict = {}
+    for config, worker, last in sorted(extent, key=lambda e: (place.get(e[0], -1), str(e[0]))):
+        workers.setdefault(worker, []).append((config, last))
+    for worker, configs in workers.items():
+        total = 0
+        for config, last in configs:
+            count = min(accepted.get((config, worker), 0), most or (1 << 62))
+            total += count
+            if limit and total >= limit:
+                break
+            if last >= hi and not (most and count >= most):
+                return False
+    return True
+
+
+def infer_rows(
+    selected: DataFrame,
+    transcribe: Model,
+    encode: Model,
+    spec: Curation,
+    carry: tuple[str, ...],
+    limit: int | None = None,
+    max_shards: int | None = None,
+    config_order: list[str] | None = None,
+) -> DataFrame:
+    """``process_rows``, stored. With a limit or a number of shards the rows go through the models in slices of their
+    index, each four times the one before, until there are enough: what is run is bounded by what is wanted.
+    """
+    most = max_shards * spec.rows_per_shard if max_shards else None
+    if not limit and not most:
+        return materialize(process_rows(selected, transcribe, encode, spec, carry), "inferred")
+    # One row per config and worker.
+    seen = selected.groupBy("config", "worker").agg(F.min("source_index").alias("first"), F.max("source_index").alias("last")).collect()
+    extent = [(r["config"], r["worker"], r["last"]) for r in seen]
+    lo = min((r["first"] for r in seen), default=0)
+    width, parts = max(S.FIRST_SLICE, 2 * min(x for x in (limit, most) if x)), []
+    while True:
+        part = selected.where((F.col("source_index") >= lo) & (F.col("source_index") < lo + width))
+        parts.append(materialize(process_rows(part, transcribe, encode, spec, carry), "inferred"))
+        lo, width = lo + width, 4 * width
+        stored = reduce(DataFrame.unionByName, parts)
+        counts = stored.where(F.col("error").isNull()).groupBy("config", "worker").count().collect()
+        if _reached(extent, {(r[0], r[1]): r[2] for r in counts}, lo, most, limit, config_order):
+            return stored
+
 
 def curate_corpus(
     raw: DataFrame,
@@ -136,36 +216,39 @@ def curate_corpus(
     max_shards: int | None = None,
     config_order: list[str] | None = None,
     dry_run: bool = False,
+    quarantine: str | None = None,
 ) -> CurationRun:
     """Run the whole curation of ``raw`` (with ``config`` and ``source_index``) into shards under ``out``.
 
     With ``progress`` the run skips what earlier runs consumed and records how far it came, after the shards are
-    written. A dry run writes neither. The models run once per row: their output is written under the shared folder
-    before rows are numbered.
+    written. ``quarantine`` is a folder for the rows a model failed on. A dry run writes none of them. The models run
+    once per row, and with a limit on no more rows than it takes to reach it.
     """
     carry = ("config", "worker", "source_index")
     spark: SparkSession = raw.sparkSession
     split = filters.worker_split(raw, num_workers, worker_id)
     if progress:
-        split = shards.skip_consumed(split, load_progress(spark, progress))
+        split = shards.skip_consumed(split, load_progress(spark, progress, num_workers))
         carry = (*carry, "first_shard")
-    inferred = process_rows(select_rows(split, spec), transcribe, encode, spec, carry)
-    done, rejected = quarantine(inferred)
+    inferred = infer_rows(select_rows(split, spec), transcribe, encode, spec, carry, limit, max_shards, config_order)
+    done, rejected = inferred.where(F.col("error").isNull()).drop("error"), inferred.where(F.col("error").isNotNull())
     rows = accepted_rows(done, spec, carry)
     sharded = shards.assign_shards(
         rows,
         spec.rows_per_shard,
         max_shards,
         first_shard="first_shard" if progress else None,
-        bucket_rows=spec.bucket_rows,
+        bucket_rows=spec.ordered_rows,
     )
     if limit:
-        sharded = shards.limit_accepted(sharded, limit, config_order, bucket_rows=spec.bucket_rows)
+        sharded = shards.limit_accepted(sharded, limit, config_order, bucket_rows=spec.ordered_rows)
     if dry_run:
         return CurationRun(sharded, rejected)
     write_shards(sharded, out)
+    if quarantine:
+        rejected.write.mode("append").parquet(quarantine)
     if progress:
         sizes = raw.groupBy("config").agg((F.max("source_index") + 1).alias("source_rows"))
         state = shards.progress_of(sharded, spec.rows_per_shard, sizes, limit, config_order)
-        save_progress(state, progress)
+        save_progress(state, progress, num_workers)
     return CurationRun(sharded, rejected)

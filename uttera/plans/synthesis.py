@@ -12,14 +12,17 @@ from uttera.operators import presets as P
 def prepare_requests(requests: DataFrame, presets: DataFrame) -> DataFrame:
     """Add the rendered ``prompt``, the ``embedding`` to speak with, and ``error`` where there is none."""
     voiced = P.attach_preset(requests, presets)
-    return voiced.withColumn("prompt", T.chatml(T.user_message(F.col("text")), generation_prompt=True))
+    prompt = T.chatml(T.user_message(F.col("text")), generation_prompt=True)
+    return voiced.withColumns({
+        "prompt": F.when(F.col("text").isNotNull(), prompt),
+        "error": F.when(F.col("text").isNull(), F.lit("no text")).otherwise(F.col("error")),
+    })
 
 
 def parse_generated(df: DataFrame, text: str = "generated", rate_hz: float = S.TOKEN_RATE_HZ) -> DataFrame:
     """Add ``tokens``, their ``seconds``, and ``error`` for output that holds no token."""
-    pattern = S.TOKEN_PATTERN
-    found = F.coalesce(F.col(text).rlike(pattern), F.lit(False))
-    parsed = df.withColumn("tokens", T.parse_speech_tokens(F.col(text), pattern))
+    parsed = df.withColumn("tokens", T.parse_speech_tokens(F.col(text), S.TOKEN_PATTERN))
+    found = F.coalesce(F.size("tokens"), F.lit(0)) > 0
     return parsed.withColumns({
         "seconds": A.token_duration(F.col("tokens"), rate_hz),
         "error": F.when(~found, F.lit("no speech tokens")),

@@ -44,6 +44,7 @@ PROGRESS = T.StructType([
     T.StructField("worker", T.IntegerType()),
     T.StructField("completed_shards", T.IntegerType()),
     T.StructField("streamed_consumed", T.LongType()),
+    T.StructField("num_workers", T.IntegerType()),
 ])
 
 PRESETS = T.StructType([

@@ -47,6 +47,11 @@ SPACES = (
 
 # Rows of one ordered bucket: what a single task sorts at most (operators.ranking).
 BUCKET_ROWS = 65536
+AUDIO_BUCKET_ROWS = 1024
+# Source rows of the first slice that goes through the models when only some are wanted (plans.curation).
+FIRST_SLICE = 64
+# Files of one micro-batch (sources.corpus).
+FILES_PER_BATCH = 64
 # Largest lookup table, in bytes, that is broadcast (operators.lookup).
 BROADCAST_BYTES = 64 << 20
 # Words looked up in a broadcast table before the rest of a large vocabulary is joined, and their length in bytes.

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from uttera import settings as S
 from uttera.operators.ranking import with_source_index
 from uttera.schemas import RAW_UTTERANCE
 
@@ -35,9 +36,9 @@ def read_corpus(
 
 
 def stream_corpus(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_UTTERANCE, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType = RAW_UTTERANCE, files_per_batch: int | None = S.FILES_PER_BATCH
 ) -> DataFrame:
-    """The corpus as a stream of its files: ``path`` is a folder or a glob."""
+    """The corpus as a stream of its files, so many at a time: ``path`` is a folder or a glob."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

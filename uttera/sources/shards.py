@@ -2,11 +2,13 @@
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from uttera.schemas import PROCESSED
+from uttera.sources.progress import is_absent
 
 SHARD_KEYS = ("config", "worker", "shard")
 SHARD_FIELDS = [
@@ -32,7 +34,8 @@ def read_processed(
 ) -> DataFrame:
     """All shards under the given folders as one table.
 
-    Shards that cannot be read are skipped; it is an error if no folder can be.
+    Folders that are not there and files that cannot be read are passed over, unless ``skip_bad`` is off; it is an error
+    if no folder is there. ``skipped_files`` names the files left out.
     """
     listed = [paths] if isinstance(paths, str) else list(paths)
     fields = [*schema.fields, *[f for f in SHARD_FIELDS if f.name not in schema.names]]
@@ -43,9 +46,17 @@ def read_processed(
     for path in listed:
         try:
             parts.append(reader.parquet(path))
-        except AnalysisException:
-            if not skip_bad:
+        except AnalysisException as failure:
+            if not (skip_bad and is_absent(failure)):
                 raise
     if not parts:
         raise RuntimeError(f"no processed data could be read from {listed}")
     return reduce(DataFrame.unionByName, parts)
+
+
+def skipped_files(spark: SparkSession, path: str, schema: T.StructType = PROCESSED) -> DataFrame:
+    """Files under ``path`` that ``read_processed`` gets no row from: unreadable ones, and empty ones."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    there = listed.load(path).select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
+    read = read_processed(spark, path, schema).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return there.join(read.select(F.regexp_replace("path", "^file:/+", "/").alias("path")), "path", "left_anti")

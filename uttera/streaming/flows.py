@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from uttera import settings as S
 from uttera.operators import presets as P
 from uttera.operators.shards import assign_shards
+from uttera.session import materialize
 from uttera.sources.shards import write_shards
 
 BATCH_KEYS = ("config", "worker", "batch", "shard")
@@ -46,13 +47,10 @@ def stream_shards(
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # Numbering scans the batch twice; its transforms, models among them, run once.
-        batch.persist()
-        try:
-            sharded = assign_shards(batch, rows_per_shard).withColumn("batch", F.lit(batch_id).cast("long"))
-            write_shards(sharded, out, BATCH_KEYS)
-        finally:
-            batch.unpersist()
+        # Numbering scans the batch twice; its transforms, models among them, run once, into the shared folder.
+        stored = materialize(batch, "batch")
+        sharded = assign_shards(stored, rows_per_shard).withColumn("batch", F.lit(batch_id).cast("long"))
+        write_shards(sharded, out, BATCH_KEYS)
 
     return (
         rows.writeStream.foreachBatch(sink)
