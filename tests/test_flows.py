@@ -324,7 +324,7 @@ def test_a_limit_bounds_what_the_models_run_on(spark, tmp_path):
     df = raw(spark, 3000)
     # Slices of 64 and 256 rows are enough of the 3000; batches with a failing row are heard again in halves.
     for options in ({"limit": 8}, {"max_shards": 2}, {"limit": 8, "config_order": ["c2", "c1"]}, {}):
-        log = tmp_path / "-".join(options)
+        log = tmp_path / "-".join(["log", *options])
         heard = Model(load_nothing, counting(str(log), hear))
         run = curate_corpus(df, heard, Model(load_nothing, encode), "", spec=SPEC, dry_run=True, **options)
         whole = curate_corpus(df, Model(load_nothing, hear), Model(load_nothing, encode), "", spec=SPEC, dry_run=True)
