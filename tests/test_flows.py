@@ -401,3 +401,33 @@ def test_skipped_files_are_named(spark, tmp_path):
     broken = tmp_path / "shards" / "config=c" / "worker=0" / "shard=1" / "part-bad.parquet"
     broken.write_text("broken")
     assert [r.path.rsplit("/", 1)[1] for r in skipped_files(spark, path).collect()] == ["part-bad.parquet"]
+
+
+def test_shards_that_share_a_folder_are_replaced_one_by_one(spark, tmp_path):
+    path = str(tmp_path / "shards")
+
+    def rows(shards, mark):
+        listed = [("c", w, s, f"{mark}{i}") for s in shards for w in (0, 1) for i in range(3)]
+        return spark.createDataFrame(listed, "config string, worker int, shard int, id string")
+
+    for shards, mark in ((range(6), "a"), ([5, 6], "b"), ([9], "c"), ([5], "d")):
+        write_shards(rows(shards, mark), path, per_folder=4)
+    got = {(r.worker, r.shard): set() for r in read_processed(spark, path).collect()}
+    for r in read_processed(spark, path).collect():
+        got[r.worker, r.shard].add(r.id[0])
+    marks = dict.fromkeys(range(5), "a") | {5: "d", 6: "b", 9: "c"}
+    assert got == {(w, s): {m} for s, m in marks.items() for w in (0, 1)}
+    assert read_processed(spark, path).count() == 2 * 3 * len(marks)
+    assert {p.name for p in (tmp_path / "shards" / "config=c" / "worker=0").iterdir()} == {"shards=0", "shards=1", "shards=2"}
+
+
+def test_stored_folders_are_discarded(spark):
+    from pathlib import Path
+
+    from uttera.session import STORED, discard, materialize
+
+    materialize(spark.range(3), "gone")
+    path = STORED.pop()
+    assert Path(path.removeprefix("file:")).exists()
+    discard(spark, path)
+    assert not Path(path.removeprefix("file:")).exists()

@@ -15,7 +15,7 @@ from uttera.plans.curation import Curation, curate_corpus
 from uttera.plans.synthesis import parse_generated, prepare_requests
 from uttera.plans.training import padded_batches, training_set
 from uttera.schemas import Columns
-from uttera.session import CONF, materialize
+from uttera.session import CONF, discard_stored, materialize
 from uttera.sources.corpus import read_corpus
 from uttera.sources.presets import read_presets, write_presets
 from uttera.sources.shards import read_processed
@@ -153,7 +153,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         if args.shuffle_partitions:
             builder = builder.config("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
         spark = builder.getOrCreate()
-    args.run(spark, args)
+    try:
+        args.run(spark, args)
+    finally:
+        discard_stored(spark)
 
 
 if __name__ == "__main__":

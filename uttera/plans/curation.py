@@ -57,6 +57,7 @@ class Curation:
     keep_audio: bool = False
     transcript_source: str = S.TRANSCRIPT_SOURCE
     rows_per_shard: int = S.ROWS_PER_SHARD
+    shards_per_folder: int = S.SHARDS_PER_FOLDER
     # Rows ordered by one task; None: few where they carry audio.
     bucket_rows: int | None = None
     batch_rows: int = 64
@@ -244,7 +245,7 @@ def curate_corpus(
         sharded = shards.limit_accepted(sharded, limit, config_order, bucket_rows=spec.ordered_rows)
     if dry_run:
         return CurationRun(sharded, rejected)
-    write_shards(sharded, out)
+    write_shards(sharded, out, per_folder=spec.shards_per_folder)
     if quarantine:
         rejected.write.mode("append").parquet(quarantine)
     if progress:

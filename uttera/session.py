@@ -18,6 +18,10 @@ CONF = {
 }
 
 
+#: Paths written by ``materialize`` in this process.
+STORED: list[str] = []
+
+
 def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
@@ -57,10 +61,23 @@ def work_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write once, read back: later steps may scan it again without repeating the work behind it."""
     path = work_path(df.sparkSession, name)
+    STORED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a flow has done with."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def discard_stored(spark: SparkSession) -> None:
+    """Delete what ``materialize`` stored so far: at the end of a flow whose results are written."""
+    while STORED:
+        discard(spark, STORED.pop())
+
+
 ROW = "_row"
 
 

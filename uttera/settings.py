@@ -50,6 +50,8 @@ BUCKET_ROWS = 65536
 AUDIO_BUCKET_ROWS = 1024
 # Source rows of the first slice that goes through the models when only some are wanted (plans.curation).
 FIRST_SLICE = 64
+# Consecutive shards that share a folder (sources.shards).
+SHARDS_PER_FOLDER = 256
 # Files of one micro-batch (sources.corpus).
 FILES_PER_BATCH = 64
 # Largest lookup table, in bytes, that is broadcast (operators.lookup).

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uttera.schemas import PROCESSED
+from uttera.session import materialize
 from uttera.sources.progress import is_absent
 
 SHARD_KEYS = ("config", "worker", "shard")
+#: Folder of a run of shards.
+FOLDER = "shards"
 SHARD_FIELDS = [
     T.StructField("config", T.StringType()),
     T.StructField("worker", T.IntegerType()),
@@ -18,15 +21,39 @@ SHARD_FIELDS = [
 ]
 
 
-def write_shards(df: DataFrame, path: str, keys: tuple[str, ...] = SHARD_KEYS) -> None:
-    """Write each shard as its own folder; a shard that exists already is replaced, others stay.
+def write_shards(df: DataFrame, path: str, keys: tuple[str, ...] = SHARD_KEYS, per_folder: int = 1) -> None:
+    """Write shards; one that exists already is replaced, others stay.
 
-    ``assign_shards`` leaves a shard's rows side by side in one task, or two where a bucket ends, so they are written
-    from there without another shuffle.
+    With ``per_folder`` 1 each shard is a folder of its own. With more, so many consecutive shards share a folder and
+    tell themselves apart by their last key, a column: at any scale there are as many files as there are bytes to fill
+    them. Folders are replaced whole, so what they hold of other shards is read first; that is the one folder per config
+    and worker that an earlier run left half full.
     """
-    df.drop("shard_name", "first_shard").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*keys).parquet(path)
+    rows, shard = df.drop("shard_name", "first_shard"), keys[-1]
+    if per_folder == 1:
+        folders = keys
+    else:
+        folders = (*keys[:-1], FOLDER)
+        rows = rows.withColumn(FOLDER, F.floor(F.col(shard) / per_folder).cast("int"))
+        # A folder's rows meet in the tasks that write it; AQE divides what is too much for one.
+        rows = _with_neighbours(rows, path, keys, folders).hint("rebalance", *folders)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+
+
+def _with_neighbours(rows: DataFrame, path: str, keys: tuple[str, ...], folders: tuple[str, ...]) -> DataFrame:
+    """``rows`` and the stored rows of other shards in the folders that ``rows`` will replace."""
+    spark = rows.sparkSession
+    try:
+        stored = spark.read.schema(rows.schema).parquet(path)
+    except AnalysisException as failure:
+        if not is_absent(failure):
+            raise
+        return rows
+    new = materialize(rows, "shards")
+    same = new.select(*folders).distinct()
+    others = stored.join(same, list(folders), "left_semi").join(new.select(*keys).distinct(), list(keys), "left_anti")
+    # Stored elsewhere before their folder is replaced.
+    return new.unionByName(materialize(others.select(new.columns), "neighbours"))
 
 
 def read_processed(
@@ -51,7 +78,7 @@ def read_processed(
                 raise
     if not parts:
         raise RuntimeError(f"no processed data could be read from {listed}")
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [part.select([f.name for f in fields]) for part in parts])
 
 
 def skipped_files(spark: SparkSession, path: str, schema: T.StructType = PROCESSED) -> DataFrame:

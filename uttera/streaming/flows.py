@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from uttera import settings as S
 from uttera.operators import presets as P
 from uttera.operators.shards import assign_shards
-from uttera.session import materialize
+from uttera.session import discard, work_path
 from uttera.sources.shards import write_shards
 
 BATCH_KEYS = ("config", "worker", "batch", "shard")
@@ -39,18 +39,21 @@ def stream_curate(
 
 
 def stream_shards(
-    rows: DataFrame, out: str, checkpoint: str, rows_per_shard: int = S.ROWS_PER_SHARD
+    rows: DataFrame, out: str, checkpoint: str, rows_per_shard: int = S.ROWS_PER_SHARD, shards_per_folder: int = 1
 ) -> StreamingQuery:
-    """Cut each micro-batch of curated rows into shards named by batch.
+    """Cut each micro-batch of curated rows into shards named by batch; a table keeps one number of shards per folder.
 
     A batch that is run again, because its end was not recorded, has the same rows and id and so replaces its shards.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Numbering scans the batch twice; its transforms, models among them, run once, into the shared folder.
-        stored = materialize(batch, "batch")
+        path = work_path(batch.sparkSession, "batch")
+        batch.write.parquet(path)
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(path)
         sharded = assign_shards(stored, rows_per_shard).withColumn("batch", F.lit(batch_id).cast("long"))
-        write_shards(sharded, out, BATCH_KEYS)
+        write_shards(sharded, out, BATCH_KEYS, shards_per_folder)
+        discard(batch.sparkSession, path)
 
     return (
         rows.writeStream.foreachBatch(sink)
