@@ -16,11 +16,18 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, db, name):
     assert difference(entry.queries()[name](spark, SF), db, entry.oracle_sql()[name]) is None
 
 
+def test_sql_checks_every_query_of_the_registry():
+    import registry
+
+    assert all(area.QUERIES.keys() == area.ORACLES.keys() for area in registry.AREAS)
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
+
+
 def test_entry_gives_rows(spark):
     assert entry.entry(spark).count() > 0
 
