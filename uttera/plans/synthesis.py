@@ -22,7 +22,8 @@ def prepare_requests(requests: DataFrame, presets: DataFrame) -> DataFrame:
 def parse_generated(df: DataFrame, text: str = "generated", rate_hz: float = S.TOKEN_RATE_HZ) -> DataFrame:
     """Add ``tokens``, their ``seconds``, and ``error`` for output that holds no token."""
     parsed = df.withColumn("tokens", T.parse_speech_tokens(F.col(text), S.TOKEN_PATTERN))
-    found = F.coalesce(F.size("tokens"), F.lit(0)) > 0
+    # A search stops at the first token; a filter on the error need not collect them all.
+    found = F.coalesce(F.col(text).rlike(S.TOKEN_PATTERN), F.lit(False))
     return parsed.withColumns({
         "seconds": A.token_duration(F.col("tokens"), rate_hz),
         "error": F.when(~found, F.lit("no speech tokens")),
