@@ -9,7 +9,7 @@ The steps through a segment are one small matrix of least costs from state to st
 conversation, then each segment is repaired between the states so found. So the longest conversation is shared by many
 tasks, and a row is given per turn, never one per conversation.
 
-Defined results. Turns are ordered by number, role and text, nulls first; equal rows stay as many. Role names are taken
+Defined results. Turns are ordered by number, role and a hash of the text, nulls first; equal rows stay as many. Role names are taken
 in lower case without outer spaces; a null or unknown role may become either role at no cost beyond that of relabelling. A
 null text renders as an empty one. A null conversation id is an id. A conversation of system turns alone gets an empty
 user and an empty assistant turn. Other columns are not read.
@@ -171,7 +171,9 @@ def format_chats(turns: DataFrame, key: str = "conv_id", turn: str = "turn", rol
     """
     code = F.coalesce(F.array_position(F.array(*map(F.lit, ROLES)), F.lower(F.trim(F.col("role")))) - 1, F.lit(-1)).cast("int")
     rows = turns.select(F.col(key).alias("key"), F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
-    order = ["key", "turn", "role", "text"]
+    # Range partitioning samples its keys to the driver, so whole texts are none of them.
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    order = ["key", "turn", "role", "tie"]
     count = max(1, int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = rows.repartitionByRange(count, *order).withColumn("part", F.spark_partition_id()).withColumn("code", code)
     # What a range partition holds may differ between runs of a plan, so it is written before it is read twice.
