@@ -1,7 +1,7 @@
 """Language identification by nearest centroid over TF-IDF vectors of letter trigrams.
 
 Document frequencies are counted over all labelled texts, in Spark. Centroids are fitted on ``PER_LANGUAGE`` labelled
-texts of each language at most: k-means splits them into ``CLUSTERS`` per language. A text gets the language of the
+texts of each language at most: their mean and the ``CLUSTERS`` that k-means splits them into. A text gets the language of the
 centroid with the largest cosine. It is rejected when that cosine, over the root of its number of different trigrams, is
 below ``FAR`` times the first percentile of fitted texts of like size: a short text is far from any centroid.
 
@@ -19,7 +19,7 @@ from uttera.llm.common import over_texts
 from uttera.session import materialize
 
 DIMENSIONS = 4096
-PER_LANGUAGE = 300
+PER_LANGUAGE = 600
 CLUSTERS = 4
 ROUNDS = 12
 FAR = 0.3
@@ -107,7 +107,7 @@ class Centroids:
         self.idf, self.languages = idf.astype(np.float32), []
         centres, nearness, sizes = [], [], []
         for language in sorted(samples):
-            own = cluster(samples[language], CLUSTERS)
+            own = np.vstack([cluster(samples[language], 1), cluster(samples[language], CLUSTERS)])
             cosines = np.max(samples[language] @ own.T, axis=1)
             centres.append(own)
             self.languages += [language] * len(own)
