@@ -256,6 +256,24 @@ def test_stream_presets_follow_the_batch_form(spark, tmp_path):
     assert running == {r.speakerID: (r.n, pytest.approx(r.embedding)) for r in whole}
 
 
+def test_running_sums_are_compacted(spark, tmp_path):
+    path, out, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    for lo in range(0, 50, 10):
+        schema = write_part(spark, path, lo, lo + 10)
+        rows = stream_corpus(spark, path, schema, files_per_batch=1)
+        W.run_available(W.stream_preset_sums(rows, "config", "v", out, offsets, compact_every=2))
+    stored = spark.read.parquet(out)
+    # Batch 4 came after batches 0 to 3 were folded.
+    assert sorted(r.part for r in stored.select("part").distinct().collect()) == [8, 9]
+    whole = {r.speakerID: (r.n, pytest.approx(r.embedding)) for r in speaker_presets(spark.read.parquet(path), "config", "v").collect()}
+    assert {r.speakerID: (r.n, r.embedding) for r in W.running_presets(spark, out, "config").collect()} == whole
+    # A run lost after the folded part was written: what it left is only deleted.
+    W._write_part(W.newest_sums(stored, "config").withColumn("sum", F.lit(0.0)), 7, out)
+    W.compact_sums(spark, out, "config", 8)
+    assert {r.speakerID: (r.n, r.embedding) for r in W.running_presets(spark, out, "config").collect()} == whole
+    W.compact_sums(spark, str(tmp_path / "none"), "config", 2)
+
+
 HEARER, SPEAKER = Model(load_nothing, hear), Model(load_nothing, encode)
 
 

@@ -72,6 +72,13 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder; nothing if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in system.listStatus(folder)] if system.exists(folder) else []
+
+
 def discard_stored(spark: SparkSession) -> None:
     """Delete what ``materialize`` stored so far: at the end of a flow whose results are written."""
     while STORED:

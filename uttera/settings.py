@@ -52,6 +52,8 @@ AUDIO_BUCKET_ROWS = 1024
 FIRST_SLICE = 64
 # Consecutive shards that share a folder (sources.shards).
 SHARDS_PER_FOLDER = 256
+# Micro-batches after which running sums are folded together (streaming.flows).
+COMPACT_BATCHES = 16
 # Files of one micro-batch (sources.corpus).
 FILES_PER_BATCH = 64
 # Largest lookup table, in bytes, that is broadcast (operators.lookup).

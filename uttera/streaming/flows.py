@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from uttera import settings as S
 from uttera.operators import presets as P
 from uttera.operators.shards import assign_shards
-from uttera.session import discard, work_path
+from uttera.session import discard, folder_names, work_path
 from uttera.sources.shards import write_shards
 
 BATCH_KEYS = ("config", "worker", "batch", "shard")
@@ -67,13 +67,19 @@ def batch_shard_name() -> Column:
     return F.format_string("%s_w%d_b%d_s%d", *[F.col(c) for c in BATCH_KEYS])
 
 
-def stream_preset_sums(rows: DataFrame, speaker: str, vector: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Keep running sums and counts per speaker and position; a micro-batch writes those it changed."""
+def stream_preset_sums(
+    rows: DataFrame, speaker: str, vector: str, out: str, checkpoint: str, compact_every: int = S.COMPACT_BATCHES
+) -> StreamingQuery:
+    """Keep running sums and counts per speaker and position; a micro-batch writes those it changed.
+
+    Micro-batch b is part 2b + 1 of the table. Before every ``compact_every``-th one, all that is stored is folded into
+    part 2b, so the table holds no more than one row per sum and what a few batches changed.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch").parquet(out)
+        if batch_id and batch_id % compact_every == 0:
+            compact_sums(batch.sparkSession, out, speaker, 2 * batch_id)
+        _write_part(batch, 2 * batch_id + 1, out)
 
     return (
         P.vector_sums(rows, speaker, vector)
@@ -85,9 +91,31 @@ def stream_preset_sums(rows: DataFrame, speaker: str, vector: str, out: str, che
     )
 
 
+def _write_part(sums: DataFrame, part: int, out: str) -> None:
+    """Replace one part of the table; it appears whole or not at all."""
+    sums.withColumn("part", F.lit(part).cast("long")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("part").parquet(out)
+
+
+def newest_sums(stored: DataFrame, speaker: str) -> DataFrame:
+    return stored.groupBy(speaker, "pos").agg(F.max_by("sum", "part").alias("sum"), F.max_by("n", "part").alias("n"))
+
+
+def compact_sums(spark: SparkSession, out: str, speaker: str, part: int) -> None:
+    """Fold all earlier parts into ``part`` and delete them.
+
+    The new part is newer than what it holds, so until the others are gone they do no harm; a run that was lost in
+    between is taken up where it ended.
+    """
+    parts = [int(name.removeprefix("part=")) for name in folder_names(spark, out) if name.startswith("part=")]
+    earlier = [p for p in parts if p < part]
+    if earlier and part not in parts:
+        _write_part(newest_sums(spark.read.parquet(out).where(F.col("part") < part), speaker), part, out)
+    for old in earlier:
+        discard(spark, f"{out}/part={old}")
+
+
 def running_presets(spark: SparkSession, out: str, speaker: str) -> DataFrame:
     """Presets from the newest sums."""
-    newest = spark.read.parquet(out).groupBy(speaker, "pos").agg(
-        F.max_by("sum", "batch").alias("sum"), F.max_by("n", "batch").alias("n")
-    )
-    return P.presets_from_sums(newest, speaker)
+    return P.presets_from_sums(newest_sums(spark.read.parquet(out), speaker), speaker)
