@@ -113,6 +113,20 @@ def test_decontamination_in_the_middle_with_changes(spark):
     assert got[2]["first_word"] == 77 and got[2]["similarity"] == round(51 / 61, 6)
 
 
+def test_decontamination_near_the_limit(spark):
+    """Windows that share 50 of 56 shingles with their item, 0.806: fingerprints differ in about ten bits, some in more."""
+    items = [(n, sentence(1000 + n, 60)) for n in range(150)]
+    docs = [(n, " ".join([sentence(2000 + n, 40), *text.split()[:54], sentence(3000 + n, 40)])) for n, text in items]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    known = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(frame, known).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(n, n) for n, _ in items}
+    # Rows that are there many times give what one of them gives.
+    many = frame.filter("doc_id < 3").crossJoin(spark.range(200)).drop("id")
+    again = decontaminate.contaminated(many, known).collect()
+    assert sorted(again) == sorted(r for r in got if r["doc_id"] < 3)
+
+
 def test_quality_rules_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (2, 0), (5, 1), (5, 1), (8, None), (None, 0), (99, 0)], "doc_id long, quality int")
     for known in (labels, labels.limit(0)):
