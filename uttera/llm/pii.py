@@ -2,7 +2,9 @@
 
 An Aho-Corasick automaton finds anchors: at-signs, schemes, digits, plus signs and identifier cues. A deterministic
 local parser expands each anchor to the boundaries of an email, address, number or account and validates it. Spans are
-code points, end exclusive. Within a kind spans do not overlap; a failing candidate uses up its text.
+code points, end exclusive. Within a kind spans do not overlap; a failing candidate uses up its text. A run of digits
+that fails as a whole is searched again for the cards and the phone number in it, which are kinds of their own: a card
+may stand right beside another number.
 
 Defined results. A null or empty text has no spans. Columns other than the text are not touched; the results replace
 columns of their names. Rows are judged one by one, so repeated rows give repeated results.
@@ -20,7 +22,7 @@ from uttera.llm.common import over_texts
 
 #: Kinds in the order in which spans that start together are listed. The first four are the base kinds.
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "obfuscated_email", "url_user", "iban", "national_id", "account", "secret")
+KINDS = (*BASE, "card_in_run", "phone_in_run", "obfuscated_email", "url_user", "iban", "national_id", "account", "secret")
 
 # Cues before which or at which an identifier stands, by kind.
 CUES = {
@@ -36,6 +38,7 @@ _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+_CARD_FORM = re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SPELT = re.compile(r"\s?[A-Za-z0-9-]+(?:(?:\.|\s?[\[({]dot[\])}]\s?)[A-Za-z0-9-]+)+")
 _USER = re.compile(r"://[^\s/@:]+:[^\s/@]+@")
@@ -43,7 +46,7 @@ _AFTER_CUE = re.compile(r"(?:\s?(?:no|nr|number|num|id)\b\.?)?\s?[:#=]?\s?")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _NATIONAL = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])|[A-Z0-9]{8,9}(?![A-Za-z0-9])")
 _ACCOUNT = re.compile(r"[0-9](?:[ -]?[0-9]){6,17}(?![0-9])")
-_SECRET = re.compile(r"\s?[:=]\s?[\"']?([A-Za-z0-9+/_.-]{8,})")
+_SECRET = re.compile(r"[\"']?\s?[:=]\s?[\"']?([A-Za-z0-9+/_.-]{8,})")
 _ACCESS_KEY = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 
 Span = tuple[int, int, str]
@@ -87,6 +90,28 @@ def iban_valid(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def cards_in(text: str, start: int, end: int) -> Iterator[Span]:
+    """Cards of a usual form inside a run that is none as a whole; after a wrong one the search goes on behind its first digit."""
+    while m := _CARD_FORM.search(text, start, end):
+        if luhn(re.sub("[ -]", "", m[0])):
+            yield m.start(), m.end(), "card_in_run"
+            start = m.end()
+        else:
+            start = m.start() + 1
+
+
+def phone_in(text: str, start: int, end: int) -> Iterator[Span]:
+    """The longest beginning of a run that is too long for a phone number, of whole groups of digits and 9 to 15 of these."""
+    digits = last = 0
+    for group in re.compile("[0-9]+").finditer(text, start, end):
+        digits += group.end() - group.start()
+        if digits > 15:
+            break
+        last = group.end() if digits >= 9 else 0
+    if last:
+        yield start, last, "phone_in_run"
+
+
 def _local_start(text: str, at: int, least: int) -> int:
     """Where the run of characters of a mailbox name that ends before ``at`` begins, not before ``least``."""
     start = at
@@ -113,7 +138,10 @@ def spans(text: str | None) -> list[Span]:
         if kind == "digit":
             if at >= used["card"] and (m := _CARD.match(text, at)):
                 digits = re.sub("[ -]", "", m[0])
-                take("card", m, 12 <= len(digits) <= 19 and luhn(digits))
+                valid = 12 <= len(digits) <= 19 and luhn(digits)
+                take("card", m, valid)
+                if not valid:
+                    found.extend(cards_in(text, at, m.end()))
             if at >= used["ip"] and (at == used["ip"] or not "0" <= text[at - 1] <= "9") and (m := _IP.match(text, at)):
                 take("ip", m, all(int(part) <= 255 for part in m.groups()))
             continue
@@ -125,7 +153,10 @@ def spans(text: str | None) -> list[Span]:
                 take("email", _DOMAIN.match(text, at), start=start)
         elif kind == "phone":
             if m := _PHONE.match(text, at):
-                take("phone", m, 9 <= sum("0" <= c <= "9" for c in m[0]) <= 15)
+                digits = sum("0" <= c <= "9" for c in m[0])
+                take("phone", m, 9 <= digits <= 15)
+                if digits > 15:
+                    found.extend(phone_in(text, at, m.end()))
         elif kind == "obfuscated_email":
             end = at - 1 if at > 0 and text[at - 1] == " " else at
             start = _local_start(text, end, used[kind])
@@ -160,7 +191,7 @@ def redacted(text: str, found: list[Span]) -> str:
     pieces, at = [], 0
     for start, end, kind in found:
         if start >= at:
-            pieces += [text[at:start], f"<{kind.upper()}>"]
+            pieces += [text[at:start], f"<{kind.removesuffix('_in_run').upper()}>"]
         at = max(at, end)
     return "".join([*pieces, text[at:]])
 
