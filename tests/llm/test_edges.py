@@ -11,7 +11,8 @@ import corpus_pipeline as pipeline
 from tests.llm.test_contracts import SF, plain_fingerprint
 from uttera.llm import byte_network, chat, components, decontaminate, language, licenses, mixing, pii, quality_rules, reputation, simhash
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, key string, host string, row string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, key string, host string, row string, "
+DOCS += "rejected string, topic string, _source string, _found string, _clean string, _pii string, _host string"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 
 
@@ -29,7 +30,7 @@ def odd(spark):
         (8, "123 456", "de", "a"), (9, "é", "fr", "a"), (1, sentence(9, 50), "en", "c"), (None, None, None, None),
         (12, "mail a@b.de general public license cc by", "en", "a"),
     ]
-    full = [(d, t, lang, s, None if t is None else len(t), "x", None, "h", "r") for d, t, lang, s in rows]
+    full = [(d, t, lang, s, None if t is None else len(t), "x", None, "h", "r", "j", "t", *"abcde") for d, t, lang, s in rows]
     return spark.createDataFrame(full, DOCS)
 
 
@@ -49,6 +50,8 @@ def test_stages_take_odd_and_empty_tables(spark, odd, empty, name, stage):
         out = stage(spark, docs, SF)
         assert out.columns[: len(docs.columns)] == docs.columns
         assert out.count() <= docs.count()
+    kept = stage(spark, odd, SF).select("score", "host", "row", "rejected", "_source", "_found", "_clean", "_pii", "_host").distinct()
+    assert [tuple(r) for r in kept.collect()] == [("x", "h", "r", "j", *"abcde")]
 
 
 def test_near_duplicates_keep_one_of_each_group(odd):

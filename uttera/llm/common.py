@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """The name, with so many underscores behind it that the table has no such column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z only; letters outside ASCII stay as they are."""
     return F.translate(text, UPPER, LOWER)

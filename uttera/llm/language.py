@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uttera.llm.common import over_texts
+from uttera.llm.common import over_texts, spare
 from uttera.session import materialize
 
 DIMENSIONS = 4096
@@ -161,5 +161,6 @@ def identify(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame
         return map(model.predict, texts)
 
     found = over_texts(docs.sparkSession, batch, "lang_pred string, score double, rejected boolean")(F.col(text))
-    named = {name: F.col(f"_found.{name}") for name in ("lang_pred", "score", "rejected")}
-    return docs.withColumn("_found", found).withColumns(named).drop("_found")
+    held = spare(docs, "_found")
+    named = {name: F.col(f"{held}.{name}") for name in ("lang_pred", "score", "rejected")}
+    return docs.withColumn(held, found).withColumns(named).drop(held)

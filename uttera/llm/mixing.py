@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from uttera.llm.common import WHITESPACE, words
+from uttera.llm.common import WHITESPACE, spare, words
 from uttera.session import materialize
 
 AXES = ("source", "lang", "topic")
@@ -75,7 +75,8 @@ def mix(docs: DataFrame, tokens: str = "n_tokens", key: str = "doc_id", temperat
     cells = materialize(docs.groupBy(*temperatures).agg(F.sum(tokens).alias("tokens")), "cells")
     rates = rake(cells, temperatures, budget)
     rate = F.when(F.col("tokens") > 0, F.round(F.col("weight") / F.col("tokens"), 6)).otherwise(0.0)
-    rates = materialize(rates.select(*[F.col(a).alias(f"_{a}") for a in temperatures], rate.alias("probability")), "rates")
-    same = [docs[a].eqNullSafe(rates[f"_{a}"]) for a in temperatures]
-    joined = docs.drop("probability").join(rates, same).drop(*[f"_{a}" for a in temperatures])
+    own = {a: spare(docs, f"_{a}") for a in temperatures}
+    rates = materialize(rates.select(*[F.col(a).alias(name) for a, name in own.items()], rate.alias("probability")), "rates")
+    same = [docs[a].eqNullSafe(rates[name]) for a, name in own.items()]
+    joined = docs.drop("probability").join(rates, same).drop(*own.values())
     return joined.withColumn("sampled", draw(F.col(key)) < F.col("probability"))

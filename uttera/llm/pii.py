@@ -18,7 +18,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uttera.llm.common import over_texts
+from uttera.llm.common import over_texts, spare
 
 #: Kinds in the order in which spans that start together are listed. The first four are the base kinds.
 BASE = ("email", "ip", "card", "phone")
@@ -211,8 +211,9 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
             counts = [sum(s[2] == kind for s in base) for kind in BASE]
             yield (*counts, hashlib.sha256(listed(base).encode()).hexdigest(), listed(found))
 
-    results = docs.withColumn("_pii", over_texts(docs.sparkSession, batch, schema)(F.col(text)))
-    return results.withColumns({f.split()[0]: F.col(f"_pii.{f.split()[0]}") for f in schema.split(", ")}).drop("_pii")
+    held = spare(docs, "_pii")
+    results = docs.withColumn(held, over_texts(docs.sparkSession, batch, schema)(F.col(text)))
+    return results.withColumns({f.split()[0]: F.col(f"{held}.{f.split()[0]}") for f in schema.split(", ")}).drop(held)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -223,4 +224,5 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     clean = over_texts(docs.sparkSession, batch, "clean string")(F.col(text))["clean"]
     # The call must not stand in a branch of its own: Python runs for every row, the branch is on its result.
-    return docs.withColumn("_clean", clean).withColumn(text, F.when(F.col(text).isNotNull(), F.col("_clean"))).drop("_clean")
+    held = spare(docs, "_clean")
+    return docs.withColumn(held, clean).withColumn(text, F.when(F.col(text).isNotNull(), F.col(held))).drop(held)

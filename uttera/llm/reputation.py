@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from uttera.llm.common import ascii_lower
+from uttera.llm.common import ascii_lower, spare
 from uttera.session import materialize
 
 STRENGTH = 20.0
@@ -81,9 +81,10 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]], u
     unknown = placed.select("host", F.lit(None).cast("int").alias("bad"))
     known = outcomes.select(host_of(F.col("url")).alias("host"), F.col("bad").cast("int").alias("bad"))
     known = with_levels(known.unionByName(unknown))
-    rated = reputations(known).select(F.col("host").alias("_host"), F.col("mean").alias("bad_mean"), F.col("bound").alias("bad_bound"))
+    own_host = spare(pages, "_host")
+    rated = reputations(known).select(F.col("host").alias(own_host), F.col("mean").alias("bad_mean"), F.col("bound").alias("bad_bound"))
     rated = materialize(rated, "reputations")
     rule, said = rule_of(F.col("host"), F.col("path"), rules)
-    seen = placed.drop("bad_mean", "bad_bound").join(rated, F.col("host") == F.col("_host"), "left").drop("_host")
+    seen = placed.drop("bad_mean", "bad_bound").join(rated, F.col("host") == F.col(own_host), "left").drop(own_host)
     own = F.when(F.col("bad_bound") > BLOCK_ABOVE, "block").otherwise("allow")
     return seen.withColumns({"rule": rule, "verdict": F.coalesce(said, own)})
