@@ -15,6 +15,8 @@ CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
+    # Partial mean vectors are held per speaker: more than Spark's 128 groups fit in a task before it sorts instead.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 
