@@ -5,6 +5,7 @@ import itertools
 import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
@@ -88,6 +89,44 @@ def test_ball_links_equal_brute_force(spark):
     assert {p: got.get(p, p) for p in signed} == want
 
 
+def plain_family(text, family):
+    """The fingerprint of a family in plain integers."""
+    words = text.lower().split()
+    mask, hashes = (1 << 64) - 1, []
+    for i in range(max(1, len(words) - 2)) if words else ():
+        h = xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), 42)
+        if family:
+            h = (h + 0x9E3779B97F4A7C15 * family) & mask
+            h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) & mask
+            h = ((h ^ h >> 27) * 0x94D049BB133111EB) & mask
+            h ^= h >> 31
+        hashes.append(h)
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_families_equal_brute_force(spark):
+    texts = {}
+    for i in range(12):
+        words = sentence(i, 150).split()
+        for j in range(5):
+            texts[len(texts)] = " ".join(words)
+            words[(37 * j + 11 * i) % 150] = f"other{i}{j}"
+    texts |= {60: "", 61: " ", 62: "one two", 63: "one two", 64: "three"}
+    families = 4
+    prints = {d: [plain_family(t, k) for k in range(families)] for d, t in texts.items()}
+    root = {d: d for d in texts}
+    for _ in texts:
+        for a, b in itertools.combinations(texts, 2):
+            if any((x ^ y).bit_count() <= 2 for x, y in zip(prints[a], prints[b], strict=True)):
+                root[a] = root[b] = min(root[a], root[b])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = simhash.near_duplicates(docs, families=families).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == root
+    alone = simhash.near_duplicates(docs).select("component_id").distinct().count()
+    assert len(set(root.values())) < alone
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs, families=families).collect()) == sorted(set(root.values()))
+
+
 def test_fingerprints_of_few_words():
     for text in ("", "a", "a b", "A B c", "a b c d", "x " * 200_000):
         value = simhash.fingerprint(text.encode(), 3)
