@@ -61,6 +61,18 @@ def test_near_duplicates_keep_one_of_each_group(odd):
     assert sorted((r["doc_id"] or 0) for r in kept) == [0, 0, 1, 2, 5, 8, 9, 12]
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, odd):
+    kept = pipeline.drop_near_duplicates(spark, odd, SF).select("doc_id", "text").collect()
+    # 1 stands for its repeated row and for 6, its other text for itself; 2 for all wordless rows, the one without an id too.
+    want = {(1, sentence(1, 60)), (1, sentence(9, 50)), (2, None), (5, sentence(5, 30_000)), (None, sentence(7, 40)), (8, "123 456"), (9, "é")}
+    want.add((12, "mail a@b.de general public license cc by"))
+    assert len(kept) == len(want) and set(map(tuple, kept)) == want
+    # An id with a copy and another text loses the copy only; of rows without an id one of each text stays.
+    rows = [(1, sentence(1, 60)), (2, sentence(1, 60)), (2, sentence(2, 60)), (None, sentence(3, 60)), (None, sentence(3, 60))]
+    kept = simhash.keep_one_row(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
+
+
 def test_components_of_chains_stars_and_rings(spark):
     chosen = random.Random(3)
     links = [(i, i + 1) for i in range(100, 400)] + [(7, i) for i in range(1000, 1500)] + [(2000 + i, 2000 + (i + 1) % 50) for i in range(50)]

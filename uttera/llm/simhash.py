@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from uttera.llm.common import over_texts
+from uttera.llm.common import over_texts, spare
 from uttera.llm.components import components
-from uttera.session import materialize
+from uttera.session import ROW, materialize
 
 SEED = 42
 #: Shingles whose bits are counted at once.
@@ -135,7 +135,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, families: int = FAMILIES) -> DataFrame:
-    """Rows of the smallest id of each component.
+    """Rows of the smallest id of each component; judged by id, which ``keep_one_row`` is not.
 
     Of rows that repeat a surviving id one stays. Rows without an id cannot be named and stay.
     """
@@ -145,3 +145,16 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     repeated = docs.join(odd.filter("not copy").select(key), key, "left_semi").dropDuplicates([key])
     once = docs.join(odd.select(key), key, "left_anti")
     return once.unionByName(repeated.select(once.columns))
+
+
+def keep_one_row(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, families: int = FAMILIES) -> DataFrame:
+    """One row of each component: that of the smallest id, rows without one last, of equal ids the first stored.
+
+    Rows are told apart by a number given when they are stored; the id only chooses which of them survives.
+    """
+    row, rank = spare(docs, ROW), spare(docs, "_rank")
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    placed = F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("id"), F.col(row).alias("row"))
+    found = near_duplicates(rows.withColumn(rank, placed), rank, text, size, families)
+    copies = found.filter(F.col(f"{rank}.row") != F.col("component_id.row")).select(F.col(f"{rank}.row").alias(row))
+    return rows.join(materialize(copies, "copies"), row, "left_anti").select(*docs.columns)
