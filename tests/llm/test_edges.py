@@ -153,6 +153,14 @@ def test_decontamination_of_odd_rows(odd, empty, items):
     assert decontaminate.without_contaminated(odd, items).filter("doc_id is null or doc_id = 1").count() == 0
 
 
+def test_decontamination_stage_drops_rows_not_ids(spark, odd, items, monkeypatch):
+    monkeypatch.setattr(pipeline, "table", lambda *_: items)
+    kept = pipeline.drop_benchmark(spark, odd, SF).select("doc_id", "text").collect()
+    # The items' own texts go; the null row without an id, and the other rows of id 1, do not hold them.
+    want = [tuple(r) for r in odd.select("doc_id", "text").collect() if r["text"] not in (sentence(7, 40), sentence(9, 50))]
+    assert len(want) == 11 and sorted(map(tuple, kept), key=str) == sorted(want, key=str)
+
+
 def test_decontamination_in_the_middle_with_changes(spark):
     item = sentence(20, 60).split()
     changed = [*item[:30], "other", *item[31:]]
