@@ -358,3 +358,15 @@ def test_personal_data_of_odd_rows(odd, empty):
     rows = pii.find(odd).select("text", "n_email", "spans").collect()
     assert all(r["spans"] == "" for r in rows if not r["text"]) and sum(r["n_email"] for r in rows) == 1
     assert pii.redact(odd).filter("text is null").count() == 2 and pii.redact(empty).count() == 0
+
+
+def test_language_of_mostly_copies_is_learned(spark, monkeypatch):
+    """Few different texts among many copies of one that the hash would not draw."""
+    monkeypatch.setattr(language, "PER_LANGUAGE", 5)
+    texts = [sentence(n, 12) for n in range(40)]
+    hashed = spark.createDataFrame([(t,) for t in texts], "text string").select("text", F.pmod(F.xxhash64("text"), F.lit(1 << 20)).alias("at"))
+    by_hash = [r["text"] for r in hashed.orderBy("at").collect()]
+    rows = [(t, "xx") for t in by_hash[20:]] + [(by_hash[-1], "xx")] * 20_000 + [("bonjour le monde " + str(n), "fr") for n in range(4)]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(model.languages) == {"xx", "fr"}
+    assert model.predict(by_hash[20].encode())[0] == "xx"

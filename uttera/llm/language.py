@@ -12,7 +12,7 @@ columns of their names. Repeated rows each count.
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uttera.llm.common import over_texts, spare
@@ -133,13 +133,22 @@ def fit(docs: DataFrame, text: str = "text", language: str = "lang") -> Centroid
     spark = docs.sparkSession
     known = docs.select(F.col(text).alias("text"), F.col(language).alias("lang")).filter("text is not null and lang is not null")
     idf = inverse_frequencies(known)
-    sizes = dict(known.groupBy("lang").count().collect())
+    # Copies count once: the share is of different texts, as is what it draws.
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)
+    texts = materialize(known.select("lang", F.xxhash64("text").alias("h"), place.alias("draw")).distinct().drop("h"), "texts")
+    sizes = dict(texts.groupBy("lang").count().collect())
     if not sizes:
         return Centroids({}, idf)
+
+    def share(sizes: dict[str, int]) -> Column:
+        return F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, 2.0 * PER_LANGUAGE / n)])[F.col("lang")]
+
     # Twice as many as needed by hash, then exactly as many: no language is ever gathered whole.
-    shares = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, 2.0 * PER_LANGUAGE / n)])
-    drawn = known.withColumn("draw", F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20))
-    drawn = drawn.filter((F.col("draw") < shares[F.col("lang")]) | (shares[F.col("lang")] >= 1))
+    got = dict(texts.filter(F.col("draw") < share(sizes)).groupBy("lang").count().collect())
+    # Where the hash draws too few, all are taken.
+    sizes = {lang: n if got.get(lang, 0) >= PER_LANGUAGE else min(n, PER_LANGUAGE) for lang, n in sizes.items()}
+    drawn = known.withColumn("draw", place)
+    drawn = drawn.filter((F.col("draw") < share(sizes)) | (share(sizes) >= 1))
 
     def batch(texts):
         return ((vector(gram_counts(t), idf).astype(np.float32).tobytes(),) for t in texts)
