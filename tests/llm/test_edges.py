@@ -370,3 +370,18 @@ def test_language_of_mostly_copies_is_learned(spark, monkeypatch):
     model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
     assert set(model.languages) == {"xx", "fr"}
     assert model.predict(by_hash[20].encode())[0] == "xx"
+
+
+@pytest.mark.parametrize("text,want", [
+    ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "IBAN <IBAN> BIC COBADEFFXXX"),
+    ("Iban: NO93 8601 1117 947 OK", "Iban: <IBAN> OK"),
+    ("IBAN DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX", "IBAN DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX"),
+    ("Social Security 078-05-1120", "Social Security <NATIONAL_ID>"),
+    ("National Id: X1234567", "National Id: <NATIONAL_ID>"),
+    ("SSN Number: 078-05-1120", "SSN Number: <NATIONAL_ID>"),
+    ("Account Number: 12345678", "Account Number: <ACCOUNT>"),
+    ("ACCOUNT NO 12345678", "ACCOUNT NO <ACCOUNT>"),
+    ("\u0130 Api_Key: k3yk3yk3yk3y", "\u0130 Api_Key: <SECRET>"),
+])
+def test_personal_data_after_cues_of_any_case(text, want):
+    assert pii.redacted(text, pii.spans(text)) == want

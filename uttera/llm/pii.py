@@ -18,7 +18,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uttera.llm.common import over_texts, spare
+from uttera.llm.common import LOWER, UPPER, over_texts, spare
 
 #: Kinds in the order in which spans that start together are listed. The first four are the base kinds.
 BASE = ("email", "ip", "card", "phone")
@@ -34,6 +34,15 @@ CUES = {
     "secret": ("password", "passwd", "api_key", "apikey", "api-key", "secret", "token", "AKIA"),
 }
 
+#: Characters of an IBAN, by country.
+_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_LENGTHS = {country: length for length, countries in _COUNTRIES.items() for country in countries.split()}
+
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
@@ -42,17 +51,20 @@ _CARD_FORM = re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SPELT = re.compile(r"\s?[A-Za-z0-9-]+(?:(?:\.|\s?[\[({]dot[\])}]\s?)[A-Za-z0-9-]+)+")
 _USER = re.compile(r"://[^\s/@:]+:[^\s/@]+@")
-_AFTER_CUE = re.compile(r"(?:\s?(?:no|nr|number|num|id)\b\.?)?\s?[:#=]?\s?")
+_AFTER_CUE = re.compile(r"(?:\s?(?:no|nr|number|num|id)\b\.?)?\s?[:#=]?\s?", re.IGNORECASE)
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _NATIONAL = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])|[A-Z0-9]{8,9}(?![A-Za-z0-9])")
 _ACCOUNT = re.compile(r"[0-9](?:[ -]?[0-9]){6,17}(?![0-9])")
 _SECRET = re.compile(r"[\"']?\s?[:=]\s?[\"']?([A-Za-z0-9+/_.-]{8,})")
 _ACCESS_KEY = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 
+_ASCII_LOWER = str.maketrans(UPPER, LOWER)
+
 Span = tuple[int, int, str]
 
 
 def automaton() -> ahocorasick.Automaton:
+    """Finds anchors in folded text."""
     found = ahocorasick.Automaton()
     for digit in "0123456789":
         found.add_word(digit, ("digit", 1))
@@ -60,8 +72,7 @@ def automaton() -> ahocorasick.Automaton:
     found.add_word("+", ("phone", 1))
     for kind, cues in CUES.items():
         for cue in cues:
-            for form in {cue, cue.upper(), cue.capitalize()}:
-                found.add_word(form, (kind, len(form)))
+            found.add_word(cue.lower(), (kind, len(cue)))
     found.make_automaton()
     return found
 
@@ -76,6 +87,12 @@ def _anchors() -> ahocorasick.Automaton:
     return _ANCHORS[0]
 
 
+def folded(text: str) -> str:
+    """Lower case, character by character: where lower() makes more of one, only ASCII is folded."""
+    lower = text.lower()
+    return lower if len(lower) == len(text) else text.translate(_ASCII_LOWER)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -90,6 +107,16 @@ def iban_valid(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def iban_at(text: str, at: int) -> re.Match | None:
+    """The match cut at its country's length, else as far as capitals and digits go; the first that is valid, else the last tried."""
+    whole = _IBAN.match(text, at)
+    if whole and (length := IBAN_LENGTHS.get(whole[0][:2])):
+        cut = re.compile(f"[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{{length - 4}}}").match(text, at)
+        if cut and iban_valid(cut[0]):
+            return cut
+    return whole
+
+
 def cards_in(text: str, start: int, end: int) -> Iterator[Span]:
     """Cards of a usual form inside a run that is none as a whole; after a wrong one the search goes on behind its first digit."""
     while m := _CARD_FORM.search(text, start, end):
@@ -133,7 +160,7 @@ def spans(text: str | None) -> list[Span]:
             if valid:
                 found.append((match.start() if start is None else start, match.end(), kind))
 
-    for last, (kind, length) in _anchors().iter(text):
+    for last, (kind, length) in _anchors().iter(folded(text)):
         at = last + 1 - length
         if kind == "digit":
             if at >= used["card"] and (m := _CARD.match(text, at)):
@@ -172,7 +199,7 @@ def spans(text: str | None) -> list[Span]:
         else:
             after = _AFTER_CUE.match(text, last + 1).end()
             if kind == "iban":
-                m = _IBAN.match(text, after)
+                m = iban_at(text, after)
                 take(kind, m, bool(m) and iban_valid(m[0]))
             elif kind == "national_id":
                 m = _NATIONAL.match(text, after)
