@@ -1,11 +1,25 @@
-"""The queries of the ten operators over their whole tables, with SQL where SQL can express them."""
+"""The queries of the thirteen operators over their whole tables, with SQL where SQL can express them."""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uttera.llm import byte_network, chat, decontaminate, language, licenses, mixing, pii, quality_rules, reputation, simhash
+from uttera.llm import (
+    byte_network,
+    chat,
+    cover_codes,
+    decontaminate,
+    language,
+    licenses,
+    merkle,
+    mixing,
+    pii,
+    quality_rules,
+    reputation,
+    simhash,
+    sketch,
+)
 from uttera.llm.common import held_out, learnable, table
 from uttera.session import materialize
 
@@ -99,6 +113,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op11_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, codebooks = cover_codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.withColumn("codebooks_sha256", F.lit(cover_codes.digest(codebooks)))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edit_check(table(spark, sf_dir, "documents"))
+
+
 def _licenses_sql() -> str:
     pairs = []
     for phrase, source in (("true", licenses.PHRASES), ("false", licenses.TEMPLATES)):
@@ -193,6 +223,89 @@ FROM t JOIN (SELECT *, CASE WHEN tokens > 0 THEN round(weight / tokens, 6) ELSE
 """
 
 
+def _cover_codes_sql() -> str:
+    """Every vector against every entry, one common table expression a round."""
+    rounds, books = [], "b0"
+    for i in range(cover_codes.ROUNDS + 1):
+        # Integers below 2^53 are exact in the doubles of the inner product.
+        rounds.append(f"""a{i} AS MATERIALIZED (SELECT rn, p.part, min({{'d': p.norm - 2 * list_inner_product(p.x, b.x) + b.norm, 'e': entry}}) AS near
+    FROM pieces p JOIN {books} b ON p.part = b.part GROUP BY ALL)""")
+        if i < cover_codes.ROUNDS:
+            rounds.append(f"""m{i} AS MATERIALIZED (SELECT part, entry, list(mean ORDER BY place) AS x FROM (
+    SELECT part, near.e AS entry, place, floor(sum(v) / count(*)) AS mean FROM (
+        SELECT a.part, near, unnest(x) AS v, generate_subscripts(x, 1) AS place FROM a{i} a JOIN pieces p ON a.rn = p.rn AND a.part = p.part)
+    GROUP BY ALL) GROUP BY ALL)""")
+            rounds.append(f"""b{i + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x, list_inner_product(coalesce(m.x, b.x), coalesce(m.x, b.x)) AS norm
+    FROM {books} b LEFT JOIN m{i} m ON b.part = m.part AND b.entry = m.entry)""")
+            books = f"b{i + 1}"
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rn, vec_id, label,
+    list_transform(embedding, lambda x: floor({cover_codes.SCALE} * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0),
+pieces AS MATERIALIZED (SELECT *, list_inner_product(x, x) AS norm FROM (
+    SELECT rn, part, v[part * len(v) // {cover_codes.PARTS} + 1 : (part + 1) * len(v) // {cover_codes.PARTS}] AS x
+    FROM kept, range({cover_codes.PARTS}) r(part))),
+seeds AS (SELECT rn, row_number() OVER (ORDER BY rn) - 1 AS entry
+    FROM (SELECT min(rn) AS rn FROM kept GROUP BY vec_id) ORDER BY rn LIMIT {cover_codes.ENTRIES}),
+b0 AS MATERIALIZED (SELECT part, entry, x, norm FROM pieces JOIN seeds USING (rn)), {', '.join(rounds)},
+coded AS (SELECT rn, string_agg(printf('%02x', near.e), '' ORDER BY part) AS code, sum(near.d)::BIGINT AS error FROM a{cover_codes.ROUNDS} GROUP BY rn)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT sha256(string_agg(
+    array_to_string(list_transform(x, lambda c: c::BIGINT::VARCHAR), ','), ',' ORDER BY part, entry)) FROM {books}) AS codebooks_sha256
+FROM coded JOIN kept USING (rn)
+"""
+
+
+#: Levels that the SQL of the manifest unrolls: enough for eight to this power leaves a group.
+SQL_LEVELS = 8
+
+
+def _merkle_sql() -> str:
+    f = merkle.FANOUT
+
+    def levels(name: str, leaves: str) -> str:
+        """Nodes (t, i, h) and runs (t, p, hs) of every level; ``n`` is the nodes of the tree at the level."""
+        out = [f"{name}0 AS MATERIALIZED ({leaves})"]
+        for k in range(SQL_LEVELS):
+            out.append(f"""{name}r{k} AS MATERIALIZED (SELECT t, i // {f} AS p, list(h ORDER BY i) AS hs, max(n) AS n FROM {name}{k} WHERE n > 1 GROUP BY ALL)""")
+            out.append(f"""{name}{k + 1} AS MATERIALIZED (SELECT t, p AS i, sha256(array_to_string(hs, '')) AS h, (n + {f - 1}) // {f} AS n
+    FROM {name}r{k} UNION ALL SELECT t, i, h, n FROM {name}{k} WHERE n = 1)""")
+        return ", ".join(out)
+
+    def steps(name: str, tree: str, idx: str) -> tuple[str, list[str], list[str]]:
+        joins = " ".join(f"LEFT JOIN {name}r{k} {name}j{k} ON {name}j{k}.t = {tree} AND {name}j{k}.p = {idx} // {f ** (k + 1)}" for k in range(SQL_LEVELS))
+        slots = [f"({idx} // {f ** k} % {f})" for k in range(SQL_LEVELS)]
+        left = [f"array_to_string({name}j{k}.hs[1:{s}], '')" for k, s in enumerate(slots)]
+        right = [f"array_to_string({name}j{k}.hs[{s} + 2:], '')" for k, s in enumerate(slots)]
+        return joins, left, right
+
+    fields = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in merkle.FIELDS)
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    changed = fields.replace("text::VARCHAR", f"(CASE WHEN crc % 3 = 0 THEN {low} ELSE text END)")
+    # CRC-32 bit by bit: each byte is met at its first of eight shifts.
+    crc = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c:
+        [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda a, b: CASE WHEN xor(a, b) % 2 = 1 THEN xor(xor(a, b) // 2, 3988292384) ELSE xor(a, b) // 2 END), 4294967295)"""
+    joins, left, right = steps("g", "d.t", "d.i")
+    more, upper_left, upper_right = steps("u", "0", "d.t")
+    proof = " || ".join(f"coalesce({a} || {b}, '')" for a, b in zip(left + upper_left, right + upper_right, strict=True))
+    path = ", ".join(f"{{'l': {a}, 'r': {b}}}" for a, b in zip(left + upper_left, right + upper_right, strict=True))
+    start = "{'l': changed, 'r': ''}"
+    return f"""
+WITH read AS MATERIALIZED (SELECT *, {crc} AS crc FROM documents),
+leaves AS MATERIALIZED (SELECT doc_id, lang, sha256({fields}) AS leaf, sha256({changed}) AS changed FROM read),
+trees AS (SELECT lang, count(*) AS n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM leaves GROUP BY lang),
+placed AS MATERIALIZED (SELECT doc_id, t, n, leaf, changed, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+    FROM leaves l JOIN trees g ON l.lang IS NOT DISTINCT FROM g.lang),
+{levels('g', 'SELECT t, i, leaf AS h, n FROM placed')},
+{levels('u', f'SELECT 0 AS t, t AS i, h, (SELECT count(*) FROM trees) AS n FROM g{SQL_LEVELS}')},
+found AS (SELECT doc_id, leaf, s.h AS subroot, r.h AS root, sha256({proof}) AS proof_sha256, list_reduce(list_filter([{path}], lambda s: s.l IS NOT NULL),
+        lambda a, s: {{'l': sha256(s.l || a.l || s.r), 'r': ''}}, {start}).l AS folded_root
+    FROM placed d JOIN g{SQL_LEVELS} s ON s.t = d.t CROSS JOIN u{SQL_LEVELS} r {joins} {more})
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM found
+"""
+
+
+ORACLES["op11_cover_codes"] = _cover_codes_sql()
+ORACLES["op12_merkle"] = _merkle_sql()
 ORACLES["op5_licenses"] = _licenses_sql()
 ORACLES["op6_url_reputation"] = _reputation_sql()
 ORACLES["op9_mixing"] = _mixing_sql()
