@@ -26,12 +26,18 @@ from uttera.session import materialize
 
 FANOUT = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-#: The step of a proof at one level: the hashes left and right of the node.
-STEPS = "array<struct<left:string,right:string>>"
+#: The step of a proof at one level: the digests left and right of the node, side by side. Digests travel as 32 bytes.
+STEP = "struct<left:binary,right:binary>"
 
 
-def hashed(*inputs: Column) -> Column:
-    return F.sha2(F.concat(*inputs), 256)
+def written(digests: Column) -> Column:
+    """Digests as the hex text that is hashed and returned."""
+    return F.lower(F.hex(digests))
+
+
+def hashed(*digests: Column) -> Column:
+    """The digest of digests, which are joined as hex text."""
+    return F.unhex(F.sha2(written(F.concat(*digests)), 256))
 
 
 def field(value: Column) -> Column:
@@ -41,7 +47,7 @@ def field(value: Column) -> Column:
 
 
 def leaf(columns: dict[str, Column]) -> Column:
-    return hashed(*[field(c) for c in columns.values()])
+    return F.unhex(F.sha2(F.concat(*[field(c) for c in columns.values()]), 256))
 
 
 def tampered(key: Column, text: Column) -> Column:
@@ -69,24 +75,27 @@ def placed(rows: DataFrame, by: str, order: list[str]) -> DataFrame:
 
 
 def siblings(idx: Column, fanout: int) -> Column:
-    """The indices of a node's run, its own among them, from the next slot on."""
+    """The indices of a node's siblings, from the next slot of its run on."""
     if fanout == 2:
-        return F.array(idx, idx.bitwiseXOR(F.lit(1)))
+        return F.array(idx.bitwiseXOR(F.lit(1)))
     slot = idx % fanout
-    return F.transform(F.sequence(F.lit(0), F.lit(fanout - 1)), lambda shift: idx - slot + (slot + shift) % fanout)
+    return F.transform(F.sequence(F.lit(1), F.lit(fanout - 1)), lambda shift: idx - slot + (slot + shift) % fanout)
 
 
 def climb(nodes: DataFrame, fanout: int) -> DataFrame:
-    """``nodes`` (tree, idx, n, hash), n being the nodes of the tree at this level, each with its run: the siblings' hashes."""
-    wanted = nodes.select("tree", "idx", "n", F.explode(siblings(F.col("idx"), fanout)).alias("sibling")).filter("sibling < n")
-    known = nodes.select("tree", F.col("idx").alias("sibling"), "hash")
-    met = wanted.join(known, ["tree", "sibling"])
-    return met.groupBy("tree", "idx", "n").agg(F.sort_array(F.collect_list(F.struct("sibling", "hash"))).alias("run"))
+    """``nodes`` (tree, idx, n, hash), n being the nodes of the tree at this level, each with its siblings in ``run``.
+
+    A node is sent to its siblings' indices and met there; what is then gathered per node is where the join left it.
+    """
+    sent = nodes.select("tree", F.explode(siblings(F.col("idx"), fanout)).alias("idx"), F.struct(F.col("idx").alias("sibling"), "hash").alias("sent"))
+    # Both sides grow with the data; a merge join holds neither in memory.
+    met = nodes.join(sent.hint("merge"), ["tree", "idx"], "left")
+    return met.groupBy("tree", "idx").agg(F.any_value("n").alias("n"), F.any_value("hash").alias("hash"), F.sort_array(F.collect_list("sent")).alias("run"))
 
 
 def _joined(run: Column, which: Callable[[Column], Column]) -> Column:
-    """The hashes of some of a run, side by side."""
-    return F.array_join(F.transform(F.filter(run, which), lambda s: s["hash"]), "")
+    """The digests of some of a run, side by side."""
+    return F.aggregate(F.filter(run, which), F.lit(b""), lambda acc, s: F.concat(acc, s["hash"]))
 
 
 def _levels(leaves: DataFrame, fanout: int) -> tuple[list[DataFrame], DataFrame]:
@@ -100,10 +109,11 @@ def _levels(leaves: DataFrame, fanout: int) -> tuple[list[DataFrame], DataFrame]
         roots.append(nodes.filter("n = 1").select("tree", "hash"))
         met = climb(nodes.filter("n > 1"), fanout)
         left, right = (_joined(F.col("run"), test) for test in (lambda s: s["sibling"] < F.col("idx"), lambda s: s["sibling"] > F.col("idx")))
-        parent = F.when(F.col("idx") % fanout == 0, hashed(_joined(F.col("run"), lambda s: F.lit(True))))
-        level = materialize(met.select("tree", "idx", "n", F.struct(left.alias("left"), right.alias("right")).alias("step"), parent.alias("parent")), "level")
-        levels.append(level)
+        level = met.select("tree", "idx", "n", "hash", left.alias("left"), right.alias("right"))
         # Slot zero of every run emits the parent.
+        parent = F.when(F.col("idx") % fanout == 0, hashed(F.col("hash"), F.col("right")))
+        level = materialize(level.select("tree", "idx", "n", F.struct("left", "right").alias("step"), parent.alias("parent")), "level")
+        levels.append(level)
         up = _parent(level.filter("parent is not null"), fanout)
         up = up.select("tree", F.col("up").alias("idx"), F.expr(f"(n + {fanout - 1}) div {fanout}").alias("n"), F.col("parent").alias("hash"))
         nodes, widest = materialize(up, "nodes"), -(-widest // fanout)
@@ -137,8 +147,8 @@ def _proved(leaves: DataFrame, levels: list[DataFrame], above: DataFrame, fanout
     if levels:
         rows = rows.join(levels[0].select("tree", "idx", "step"), ["tree", "idx"], "left")
     else:
-        rows = rows.withColumn("step", F.lit(None).cast("struct<left:string,right:string>"))
-    own = F.when(F.col("step").isNull(), F.array().cast(STEPS)).otherwise(F.array("step"))
+        rows = rows.withColumn("step", F.lit(None).cast(STEP))
+    own = F.when(F.col("step").isNull(), F.array().cast(f"array<{STEP}>")).otherwise(F.array("step"))
     found = rows.join(_paths(levels, above, fanout).withColumnRenamed("path", "_above"), ["tree", "up"])
     return found.withColumn("path", F.concat(own, "_above")).drop("step", "up", "_above")
 
@@ -150,13 +160,13 @@ def folded(path: Column, start: Column) -> Column:
 
 def proof(path: Column) -> Column:
     """The hash of all siblings on the path, level by level."""
-    return hashed(F.array_join(F.transform(path, lambda step: F.concat(step["left"], step["right"])), ""))
+    return hashed(F.aggregate(path, F.lit(b""), lambda acc, step: F.concat(acc, step["left"], step["right"])))
 
 
 def manifest(
     rows: DataFrame, key: str = "doc_id", by: str = "lang", text: str = "text", fields: tuple[str, ...] = FIELDS, fanout: int = FANOUT
-) -> tuple[DataFrame, str | None]:
-    """A row per row of ``rows``: (key, ``by``, idx, leaf, changed, subroot, path), and the root of the whole.
+) -> tuple[DataFrame, bytes | None]:
+    """A row per row of ``rows``: (key, ``by``, idx, leaf, changed, subroot, path), and the root of the whole; digests as bytes.
 
     ``changed`` is the leaf as tampering makes it. A reader checks a row with ``folded(path, leaf) == root``.
     """
@@ -171,22 +181,23 @@ def manifest(
     levels, roots = _levels(leaves.withColumnRenamed("leaf", "hash"), fanout)
 
     number = trees.count()
-    tops = roots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("idx"), F.lit(number).cast("long").alias("n"), "hash")
+    tops = materialize(roots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("idx"), F.lit(number).cast("long").alias("n"), "hash"), "tops")
     upper, whole = _levels(tops, fanout)
     root = whole.first()
-    nothing = trees.limit(1).select(F.lit(0).cast("long").alias("tree"), F.lit(number).cast("long").alias("n"), F.array().cast(STEPS).alias("path"))
+    nothing = tops.filter("idx = 0").select("tree", "n", F.array().cast(f"array<{STEP}>").alias("path"))
     above = _proved(tops, upper, nothing, fanout).select(F.col("idx").alias("tree"), F.col("hash").alias("subroot"), "path")
     above = materialize(above.join(trees.select("tree", "n"), "tree"), "tops")
     found = _proved(leaves, levels, above.select("tree", "n", "path"), fanout)
     named = lookup_join(found, above.select("tree", "subroot"), "tree")
     result = named.select(F.col("key").alias(key), F.col("by").alias(by), "idx", "leaf", "changed", "subroot", "path")
-    return result, root["hash"] if root else None
+    return result, bytes(root["hash"]) if root else None
 
 
 def verified(rows: DataFrame, key: str = "doc_id", by: str = "lang", text: str = "text", fields: tuple[str, ...] = FIELDS, fanout: int = FANOUT) -> DataFrame:
     """Per row its leaf, roots, the hash of its proof, and whether what a tamperer left of it still leads to the root."""
     found, root = manifest(rows, key, by, text, fields, fanout)
-    return found.select(
-        key, "leaf", "subroot", F.lit(root).cast("string").alias("root"), proof(F.col("path")).alias("proof_sha256"),
-        folded(F.col("path"), F.col("changed")).alias("folded_root"),
-    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+    digests = {
+        "leaf": F.col("leaf"), "subroot": F.col("subroot"), "root": F.lit(root).cast("binary"),
+        "proof_sha256": proof(F.col("path")), "folded_root": folded(F.col("path"), F.col("changed")),
+    }
+    return found.select(key, *[written(d).alias(name) for name, d in digests.items()]).withColumn("verified", F.col("folded_root") == F.col("root"))
