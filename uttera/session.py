@@ -60,11 +60,11 @@ def work_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Write once, read back: later steps may scan it again without repeating the work behind it."""
     path = work_path(df.sparkSession, name)
     STORED.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
