@@ -95,9 +95,14 @@ def resemblance(one: np.ndarray, other: np.ndarray, scaled: int = SCALED, floor:
     return both / (mine + others - both) if mine + others else 1.0
 
 
+def packed(found: np.ndarray) -> bytes:
+    """Eight bytes a hash, ascending."""
+    return found.astype(">u8").tobytes()
+
+
 def written(found: np.ndarray) -> str:
     """Sixteen hex digits a hash, ascending."""
-    return found.astype(">u8").tobytes().hex()
+    return packed(found).hex()
 
 
 def read(fingerprint: str) -> np.ndarray:
@@ -123,8 +128,8 @@ def edited(text: str, following: str) -> str:
 RESULT = {
     "n_chars": ("bigint", pa.int64()),
     "edited_sha256": ("string", pa.string()),
-    "fingerprint": ("string", pa.string()),
-    "edited_fingerprint": ("string", pa.string()),
+    "fingerprint": ("binary", pa.binary()),
+    "edited_fingerprint": ("binary", pa.binary()),
     "near_edited": ("double", pa.float64()),
     "near_next": ("double", pa.float64()),
 }
@@ -143,8 +148,8 @@ class Row:
         return {
             "n_chars": len(self.text),
             "edited_sha256": hashlib.sha256(changed).hexdigest(),
-            "fingerprint": written(self.sketch),
-            "edited_fingerprint": written(other),
+            "fingerprint": packed(self.sketch),
+            "edited_fingerprint": packed(other),
             "near_edited": containment(self.sketch, other),
             "near_next": containment(self.sketch, following.sketch),
         }
@@ -191,7 +196,7 @@ def edit_check(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         if before is not None:
             yield results([(before.key, *nothing, part, "last", before.text.encode())], key_type, edge)
 
-    found = materialize(rows.mapInArrow(neighbours, f"key {kind}, {shape}, part int, edge string, text binary"), "neighbours")
+    found = materialize(rows.mapInArrow(neighbours, f"key {kind}, {shape}, part int, edge string, text binary"), "neighbours", "zstd")
     inner = found.filter("edge is null").select("key", *names)
 
     # One row per partition: which partition comes next; the last is followed by the first.
@@ -207,5 +212,6 @@ def edit_check(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             yield results(out, batch.schema.field(0).type)
 
     edges = lasts.mapInArrow(across, f"key {kind}, {shape}")
-    return inner.unionByName(edges).withColumnRenamed("key", key)
+    shown = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return inner.unionByName(edges).withColumns(shown).withColumnRenamed("key", key)
 
