@@ -5,12 +5,11 @@ import itertools
 import random
 
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from tests.llm.test_contracts import SF, plain_fingerprint
-from uttera.llm import byte_network, chat, components, decontaminate, language, licenses, mixing, pii, quality_rules, reputation, simhash
+from uttera.llm import byte_network, chat, components, decontaminate, language, licenses, mixing, near_copies, pii, quality_rules, reputation, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, key string, host string, row string, "
 DOCS += "rejected string, topic string, _source string, _found string, _clean string, _pii string, _host string"
@@ -55,12 +54,6 @@ def test_stages_take_odd_and_empty_tables(spark, odd, empty, name, stage):
     assert [tuple(r) for r in kept.collect()] == [("x", "h", "r", "j", *"abcde")]
 
 
-def test_near_duplicates_keep_one_of_each_group(odd):
-    kept = simhash.keep_one(odd).select("doc_id", "text").collect()
-    # 1 stands for its repeated row and for 6; 2 for the wordless 3 and 4; rows without an id stay.
-    assert sorted((r["doc_id"] or 0) for r in kept) == [0, 0, 1, 2, 5, 8, 9, 12]
-
-
 def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, odd):
     kept = pipeline.drop_near_duplicates(spark, odd, SF).select("doc_id", "text").collect()
     # 1 stands for its repeated row and for 6, its other text for itself; 2 for all wordless rows, the one without an id too.
@@ -69,7 +62,7 @@ def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, odd):
     assert len(kept) == len(want) and set(map(tuple, kept)) == want
     # An id with a copy and another text loses the copy only; of rows without an id one of each text stays.
     rows = [(1, sentence(1, 60)), (2, sentence(1, 60)), (2, sentence(2, 60)), (None, sentence(3, 60)), (None, sentence(3, 60))]
-    kept = simhash.keep_one_row(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = near_copies.keep_one_row(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, kept), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
 
 
@@ -101,42 +94,80 @@ def test_ball_links_equal_brute_force(spark):
     assert {p: got.get(p, p) for p in signed} == want
 
 
-def plain_family(text, family):
-    """The fingerprint of a family in plain integers."""
-    words = text.lower().split()
-    mask, hashes = (1 << 64) - 1, []
-    for i in range(max(1, len(words) - 2)) if words else ():
-        h = xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), 42)
-        if family:
-            h = (h + 0x9E3779B97F4A7C15 * family) & mask
-            h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) & mask
-            h = ((h ^ h >> 27) * 0x94D049BB133111EB) & mask
-            h ^= h >> 31
-        hashes.append(h)
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+def jaccard(one, other):
+    one, other = set(plain_grams(one)), set(plain_grams(other))
+    return len(one & other) / len(one | other) if one | other else 1.0
+
+
+def plain_grams(text):
+    words = (text or "").encode().lower().split()
+    return [b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))] if words else []
+
+
+def plain_groups(texts, similarity=0.8):
+    """Components of all pairs that are similar enough; texts by id."""
+    root = {d: d for d in texts}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
 
+    grams = {d: set(plain_grams(t)) for d, t in texts.items()}
+    for a, b in itertools.combinations(sorted(texts), 2):
+        both = len(grams[a] & grams[b])
+        if both >= similarity * (len(grams[a]) + len(grams[b]) - both) - 1e-9:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return {d: find(d) for d in texts}
 
-def test_families_equal_brute_force(spark):
-    texts = {}
-    for i in range(12):
+
+def edited_texts():
+    """Copies changed in ever more words, texts that share a passage alone, and short ones."""
+    texts, passage = {}, sentence(99, 60)
+    for i in range(10):
         words = sentence(i, 150).split()
-        for j in range(5):
+        for j in range(6):
             texts[len(texts)] = " ".join(words)
             words[(37 * j + 11 * i) % 150] = f"other{i}{j}"
-    texts |= {60: "", 61: " ", 62: "one two", 63: "one two", 64: "three"}
-    families = 4
-    prints = {d: [plain_family(t, k) for k in range(families)] for d, t in texts.items()}
-    root = {d: d for d in texts}
-    for _ in texts:
-        for a, b in itertools.combinations(texts, 2):
-            if any((x ^ y).bit_count() <= 2 for x, y in zip(prints[a], prints[b], strict=True)):
-                root[a] = root[b] = min(root[a], root[b])
+    for i in range(80):
+        texts[100 + i] = f"{sentence(500 + i, 20)} {passage} {sentence(900 + i, 30)}"
+    return texts | {200: "", 201: " ", 202: "one two", 203: "One  two", 204: "three", 205: None}
+
+
+def test_near_copies_equal_all_pairs(spark):
+    texts = edited_texts()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r["doc_id"] for r in near_copies.keep_one_row(docs).collect()}
+    assert kept == set(plain_groups(texts).values())
+
+
+def test_near_copies_divide_a_bucket_of_strangers(spark, monkeypatch):
+    """With one shingle a sample, texts of a common passage fill buckets of strangers; pairs are found in later rounds."""
+    texts = {i: t for i, t in edited_texts().items() if i >= 100}
+    for i in range(0, 80, 4):
+        texts[300 + i] = texts[100 + i].replace(" ", " new ", 1)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    found = simhash.near_duplicates(docs, families=families).collect()
-    assert {r["doc_id"]: r["component_id"] for r in found} == root
-    alone = simhash.near_duplicates(docs).select("component_id").distinct().count()
-    assert len(set(root.values())) < alone
-    assert sorted(r["doc_id"] for r in simhash.keep_one(docs, families=families).collect()) == sorted(set(root.values()))
+    contents = near_copies.contents_of(docs, "doc_id", "text", 16, 1)
+    found = components.components(near_copies.links(docs, contents, "text", 16, 0.8)).count()
+    groups = plain_groups(texts)
+    # Wordless texts are one content.
+    pairs = sum(d != r for d, r in groups.items()) - 2
+    assert 0.9 * pairs <= found <= pairs
+
+
+def test_samples_are_simhashes_of_the_least_shingles():
+    hashes = near_copies.different(sentence(3, 100).encode())
+    for family, found in enumerate(near_copies.samples(hashes, 4, 5), 1):
+        own = []
+        for h in map(int, hashes):
+            mask = (1 << 64) - 1
+            h = (h + 0x9E3779B97F4A7C15 * family) & mask
+            h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) & mask
+            h = ((h ^ h >> 27) * 0x94D049BB133111EB) & mask
+            own.append(h ^ h >> 31)
+        least = sorted(own)[:5]
+        assert found & (1 << 64) - 1 == sum(1 << b for b in range(64) if sum(h >> b & 1 for h in least) > 2)
 
 
 def test_fingerprints_of_few_words():

@@ -4,10 +4,6 @@ Every fingerprint emits itself and all variants at one differing bit. Two finger
 share such a variant, and all that share one are within two bits. The shuffle is on variants, of which each is shared
 by at most 65 different fingerprints however many copies a document has: copies are folded into their fingerprint before.
 
-A document may have fingerprints of several families, each from shingle hashes mixed anew. Documents link if they are
-within two bits in any of them, so more families find more of the copies that were changed in a few words; two bits of 64
-stay too few to be met by chance.
-
 Defined results. Null and empty texts, and texts without a word, have fingerprint zero and link like any other. A text
 with fewer words than a shingle is one shingle. Rows with equal ids are kept as they are; a component's id is the
 smallest non-null id in it, null if there is none. An empty table gives an empty one. Columns other than id and text
@@ -20,15 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from uttera.llm.common import over_texts, spare
+from uttera.llm.common import over_texts
 from uttera.llm.components import components
-from uttera.session import ROW, materialize
+from uttera.session import materialize
 
 SEED = 42
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 16
-#: Fingerprints of a document where copies are to be removed.
-FAMILIES = 6
 
 
 def shingle_hashes(text: bytes | None, size: int) -> list[int]:
@@ -45,40 +39,24 @@ def shingle_hashes(text: bytes | None, size: int) -> list[int]:
     return [digest(line[a:b], SEED) for a, b in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)]
 
 
-def mixed(hashes: np.ndarray, family: int) -> np.ndarray:
-    """Other hashes for the same shingles: family 0 are the hashes themselves, the others a 64-bit mix of hash and family."""
-    if not family:
-        return hashes
-    # Increment and multipliers of the SplitMix64 generator.
-    out = hashes + np.uint64(0x9E3779B97F4A7C15 * family % (1 << 64))
-    out = (out ^ out >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    out = (out ^ out >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return out ^ out >> np.uint64(31)
-
-
-def fingerprints(text: bytes | None, size: int, families: int = 1) -> list[int]:
-    """Per family the bits set in over half the shingle hashes, as a signed 64-bit number."""
-    hashes = np.array(shingle_hashes(text, size), "<u8")
-    counts = np.zeros((families, 64), np.int64)
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the hashes, as a signed 64-bit number."""
+    counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), CHUNK):
-        for family in range(families):
-            part = np.ascontiguousarray(mixed(hashes[at : at + CHUNK], family)).view(np.uint8).reshape(-1, 8)
-            counts[family] += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > len(hashes), axis=1, bitorder="little").view("<i8")[:, 0].tolist()
+        part = np.ascontiguousarray(hashes[at : at + CHUNK]).view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
 def fingerprint(text: bytes | None, size: int) -> int:
-    return fingerprints(text, size)[0]
-
+    return majority(np.array(shingle_hashes(text, size), "<u8"))
 
-def with_fingerprints(docs: DataFrame, size: int = 3, families: int = 1, text: str = "text", into: str = "simhash") -> DataFrame:
-    """Adds the fingerprint of family 0, and ``others``: those of the other families."""
 
+def with_fingerprints(docs: DataFrame, size: int = 3, text: str = "text", into: str = "simhash") -> DataFrame:
     def batch(texts):
-        return ((first, others) for first, *others in (fingerprints(t, size, families) for t in texts))
+        return ((fingerprint(t, size),) for t in texts)
 
-    found = over_texts(docs.sparkSession, batch, f"{into} bigint, others array<bigint>")(F.col(text))
-    return docs.withColumn("_found", found).withColumns({into: F.col(f"_found.{into}"), "others": F.col("_found.others")}).drop("_found")
+    return docs.withColumn(into, over_texts(docs.sparkSession, batch, f"{into} bigint")(F.col(text))[into])
 
 
 def ball(value: Column) -> Column:
@@ -99,32 +77,12 @@ def close_fingerprints(prints: DataFrame) -> DataFrame:
     )
 
 
-def close_in_others(narrow: DataFrame) -> DataFrame:
-    """Links (a, b) of family 0 fingerprints whose documents are within two bits in another family.
-
-    Those equal in the other family link to their smallest, which alone emits variants: a variant's bucket holds 65 at most.
-    """
-    placed = narrow.select("simhash", F.posexplode("others").alias("family", "other")).distinct()
-    placed = materialize(placed, "families")
-    firsts = placed.groupBy("family", "other").agg(F.min("simhash").alias("first"), F.max("simhash").alias("last"))
-    several = firsts.filter("first != last").drop("last")
-    equal = placed.join(several, ["family", "other"]).select(F.col("simhash").alias("a"), F.col("first").alias("b"))
-    variants = firsts.select("family", F.struct("first", "other").alias("node"), F.explode(ball(F.col("other"))).alias("variant"))
-    smallest = F.min("node").over(Window.partitionBy("family", "variant")).alias("least")
-    met = variants.select("node", smallest).filter("node != least")
-    met = met.filter(F.bit_count(F.col("node.other").bitwiseXOR(F.col("least.other"))) <= 2)
-    return equal.unionByName(met.select(F.col("node.first").alias("a"), F.col("least.first").alias("b"))).filter("a != b").distinct()
-
-
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, families: int = 1) -> DataFrame:
-    """A row (key, simhash, component_id) per row of ``docs``: components of fingerprints within two bits in any family."""
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
+    """A row (key, simhash, component_id) per row of ``docs``: components of fingerprints within two bits."""
     read = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    narrow = materialize(with_fingerprints(read, size, families).select("key", "simhash", "others"), "simhash")
+    narrow = materialize(with_fingerprints(read, size).select("key", "simhash"), "simhash")
     prints = narrow.groupBy("simhash").agg(F.min("key").alias("first"))
-    links = close_fingerprints(prints)
-    if families > 1:
-        links = links.unionByName(close_in_others(narrow))
-    roots = components(links)
+    roots = components(close_fingerprints(prints))
     linked = prints.join(roots.withColumnRenamed("node", "simhash"), "simhash", "left")
     linked = materialize(linked.withColumn("root", F.coalesce("root", "simhash")), "linked")
     # Only components of several fingerprints need another look for their smallest id.
@@ -132,29 +90,3 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     least = linked.join(joined, "root").groupBy("root").agg(F.min("first").alias("least"))
     named = linked.join(least, "root", "left").select("simhash", F.coalesce("least", "first").alias("component_id"))
     return narrow.join(named, "simhash").select(F.col("key").alias(key), "simhash", "component_id")
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, families: int = FAMILIES) -> DataFrame:
-    """Rows of the smallest id of each component; judged by id, which ``keep_one_row`` is not.
-
-    Of rows that repeat a surviving id one stays. Rows without an id cannot be named and stay.
-    """
-    found = near_duplicates(docs, key, text, size, families).filter(F.col(key).isNotNull())
-    ids = found.groupBy(key).agg(F.count("*").alias("n"), F.max(F.col(key) != F.col("component_id")).alias("copy"))
-    odd = materialize(ids.filter("n > 1 or copy").select(key, "copy"), "copies")
-    repeated = docs.join(odd.filter("not copy").select(key), key, "left_semi").dropDuplicates([key])
-    once = docs.join(odd.select(key), key, "left_anti")
-    return once.unionByName(repeated.select(once.columns))
-
-
-def keep_one_row(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, families: int = FAMILIES) -> DataFrame:
-    """One row of each component: that of the smallest id, rows without one last, of equal ids the first stored.
-
-    Rows are told apart by a number given when they are stored; the id only chooses which of them survives.
-    """
-    row, rank = spare(docs, ROW), spare(docs, "_rank")
-    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    placed = F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("id"), F.col(row).alias("row"))
-    found = near_duplicates(rows.withColumn(rank, placed), rank, text, size, families)
-    copies = found.filter(F.col(f"{rank}.row") != F.col("component_id.row")).select(F.col(f"{rank}.row").alias(row))
-    return rows.join(materialize(copies, "copies"), row, "left_anti").select(*docs.columns)
