@@ -15,8 +15,8 @@ from uttera.plans.curation import Curation, curate_corpus
 from uttera.plans.synthesis import parse_generated, prepare_requests
 from uttera.plans.training import padded_batches, training_set
 from uttera.schemas import Columns
-from uttera.session import CONF, discard_stored, materialize
-from uttera.sources.corpus import read_corpus
+from uttera.session import CONF, discard_stored, materialize, work_path
+from uttera.sources.manifest import open_corpus
 from uttera.sources.presets import read_presets, write_presets
 from uttera.sources.shards import read_processed
 
@@ -28,7 +28,9 @@ def named(name: str):
 
 def curate(spark: SparkSession, args: argparse.Namespace) -> None:
     configs = args.config or None
-    raw = read_corpus(spark, args.corpus, configs, args.split, indexed=True)
+    # Runs that go on where others stopped keep their numbering of the rows beside their progress.
+    manifest = f"{args.progress.rstrip('/')}_files" if args.progress else work_path(spark, "files")
+    raw = open_corpus(spark, args.corpus, manifest, configs, args.split)
     names = dict(pair.split("=", 1) for pair in args.column)
     spec = Curation(
         columns=Columns(**names),

@@ -58,12 +58,15 @@ def with_source_index(df: DataFrame, by: str | None = None, out: str = "source_i
     files = df.select(*groups, F.col("_metadata.file_path").alias("_file")).groupBy(*groups, "_file").count()
     earlier = Window.partitionBy(*groups).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("_file", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
+    return number_rows(df, offsets, F.col("_metadata.file_path"), out=out)
+
+
+def number_rows(df: DataFrame, offsets: DataFrame, file: Column, out: str = "source_index") -> DataFrame:
+    """Add ``out``: a row's number in its file plus the file's offset, by (``_file``, ``_offset``)."""
     # A name's hash is looked up, so a few million files fit into a broadcast table.
-    offsets = materialize(offsets.withColumn("_file", F.xxhash64("_file")), "files")
+    offsets = materialize(offsets.select(F.xxhash64("_file").alias("_file"), "_offset"), "files")
     if offsets.groupBy("_file").count().where("count > 1").limit(1).count():
         raise RuntimeError("two file names share a hash")
-    placed = df.select(
-        "*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
-    )
+    placed = df.select("*", F.xxhash64(file).alias("_file"), F.col("_metadata.row_index").alias("_row"))
     joined = lookup_join(placed, offsets, "_file")
     return joined.withColumn(out, F.col("_offset") + F.col("_row")).drop("_file", "_row", "_offset")

@@ -18,6 +18,7 @@ from uttera.operators import curate, filters, shards
 from uttera.operators.infer import infer
 from uttera.schemas import AUDIO, FLOATS, INTS, Columns
 from uttera.session import materialize
+from uttera.sources.manifest import IndexedCorpus
 from uttera.sources.progress import load_progress, save_progress
 from uttera.sources.shards import write_shards
 
@@ -174,38 +175,44 @@ def _reached(extent: list, accepted: dict, hi: int, most: int | None, limit: int
 
 
 def infer_rows(
-    selected: DataFrame,
-    transcribe: Model,
-    encode: Model,
+    slice_of: Callable[[int, int], DataFrame],
+    extent_of: Callable[[], list],
+    run: Callable[[DataFrame], DataFrame],
     spec: Curation,
-    carry: tuple[str, ...],
+    first: int = 0,
     limit: int | None = None,
     max_shards: int | None = None,
     config_order: list[str] | None = None,
 ) -> DataFrame:
-    """``process_rows``, stored. With a limit or a number of shards the rows go through the models in slices of their
-    index, each four times the one before, until there are enough: what is run is bounded by what is wanted.
+    """The rows of ``slice_of(lo, hi)`` through the models, slice by slice from index ``first``, each four times the one
+    before, until there are enough for a limit or a number of shards: what is run is bounded by what is wanted.
+
+    ``extent_of()`` gives (config, worker, last index) as far as it is known after a slice.
     """
     most = max_shards * spec.rows_per_shard if max_shards else None
-    if not limit and not most:
-        return materialize(process_rows(selected, transcribe, encode, spec, carry), "inferred")
-    # One row per config and worker.
-    seen = selected.groupBy("config", "worker").agg(F.min("source_index").alias("first"), F.max("source_index").alias("last")).collect()
-    extent = [(r["config"], r["worker"], r["last"]) for r in seen]
-    lo = min((r["first"] for r in seen), default=0)
-    width, parts = max(S.FIRST_SLICE, 2 * min(x for x in (limit, most) if x)), []
+    lo, width, parts = first, max(S.FIRST_SLICE, 2 * min(x for x in (limit, most) if x)), []
     while True:
-        part = selected.where((F.col("source_index") >= lo) & (F.col("source_index") < lo + width))
-        parts.append(materialize(process_rows(part, transcribe, encode, spec, carry), "inferred"))
+        parts.append(materialize(run(slice_of(lo, lo + width)), "inferred"))
         lo, width = lo + width, 4 * width
         stored = reduce(DataFrame.unionByName, parts)
         counts = stored.where(F.col("error").isNull()).groupBy("config", "worker").count().collect()
-        if _reached(extent, {(r[0], r[1]): r[2] for r in counts}, lo, most, limit, config_order):
+        if _reached(extent_of(), {(r[0], r[1]): r[2] for r in counts}, lo, most, limit, config_order):
             return stored
 
 
+def _first_fresh(corpus: IndexedCorpus, done: DataFrame | None, workers: int) -> int:
+    """The first index that some worker of some config has not consumed."""
+    if done is None:
+        return 0
+    corpus.extend(1)
+    state = done.groupBy("config").agg(F.min("streamed_consumed").alias("done"), F.count("*").alias("workers"))
+    known = corpus.sizes().join(state, "config", "left")
+    fresh = F.when(F.col("workers") >= workers, F.col("done")).otherwise(F.lit(0))
+    return known.agg(F.min(F.coalesce(fresh, F.lit(0)))).first()[0] or 0
+
+
 def curate_corpus(
-    raw: DataFrame,
+    raw: DataFrame | IndexedCorpus,
     transcribe: Model,
     encode: Model,
     out: str,
@@ -223,15 +230,41 @@ def curate_corpus(
 
     With ``progress`` the run skips what earlier runs consumed and records how far it came, after the shards are
     written. ``quarantine`` is a folder for the rows a model failed on. A dry run writes none of them. The models run
-    once per row, and with a limit on no more rows than it takes to reach it.
+    once per row, and with a limit on no more rows than it takes to reach it. An ``IndexedCorpus`` as ``raw`` opens no
+    more files than these rows lie in, and files that appear between runs do not shift the numbers of earlier ones.
     """
     carry = ("config", "worker", "source_index")
-    spark: SparkSession = raw.sparkSession
-    split = filters.worker_split(raw, num_workers, worker_id)
+    corpus = raw if isinstance(raw, IndexedCorpus) else None
+    spark: SparkSession = corpus.spark if corpus else raw.sparkSession
+    done_before = load_progress(spark, progress, num_workers) if progress else None
     if progress:
-        split = shards.skip_consumed(split, load_progress(spark, progress, num_workers))
         carry = (*carry, "first_shard")
-    inferred = infer_rows(select_rows(split, spec), transcribe, encode, spec, carry, limit, max_shards, config_order)
+
+    def selected(rows: DataFrame) -> DataFrame:
+        split = filters.worker_split(rows, num_workers, worker_id)
+        return select_rows(shards.skip_consumed(split, done_before) if progress else split, spec)
+
+    def run(rows: DataFrame) -> DataFrame:
+        return process_rows(rows, transcribe, encode, spec, carry)
+
+    workers = range(num_workers) if worker_id is None else [worker_id]
+    if not limit and not max_shards:
+        inferred = materialize(run(selected(corpus.rows() if corpus else raw)), "inferred")
+    elif corpus:
+        inferred = infer_rows(
+            lambda lo, hi: selected(corpus.rows(lo, hi)),
+            lambda: [(config, worker, last) for config, last in corpus.extent() for worker in workers],
+            run, spec, _first_fresh(corpus, done_before, len(workers)), limit, max_shards, config_order,
+        )
+    else:
+        rows = selected(raw)
+        # One row per config and worker.
+        seen = rows.groupBy("config", "worker").agg(F.min("source_index").alias("first"), F.max("source_index").alias("last")).collect()
+        extent = [(r["config"], r["worker"], r["last"]) for r in seen]
+        inferred = infer_rows(
+            lambda lo, hi: rows.where((F.col("source_index") >= lo) & (F.col("source_index") < hi)),
+            lambda: extent, run, spec, min((r["first"] for r in seen), default=0), limit, max_shards, config_order,
+        )
     done, rejected = inferred.where(F.col("error").isNull()).drop("error"), inferred.where(F.col("error").isNotNull())
     rows = accepted_rows(done, spec, carry)
     sharded = shards.assign_shards(
@@ -249,7 +282,7 @@ def curate_corpus(
     if quarantine:
         rejected.write.mode("append").parquet(quarantine)
     if progress:
-        sizes = raw.groupBy("config").agg((F.max("source_index") + 1).alias("source_rows"))
+        sizes = corpus.sizes() if corpus else raw.groupBy("config").agg((F.max("source_index") + 1).alias("source_rows"))
         state = shards.progress_of(sharded, spec.rows_per_shard, sizes, limit, config_order)
         save_progress(state, progress, num_workers)
     return CurationRun(sharded, rejected)

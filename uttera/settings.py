@@ -50,6 +50,8 @@ BUCKET_ROWS = 65536
 AUDIO_BUCKET_ROWS = 1024
 # Source rows of the first slice that goes through the models when only some are wanted (plans.curation).
 FIRST_SLICE = 64
+# Files of each folder that enter a corpus' manifest first (sources.manifest).
+FIRST_FILES = 4
 # Consecutive shards that share a folder (sources.shards).
 SHARDS_PER_FOLDER = 256
 # Micro-batches after which running sums are folded together (streaming.flows).

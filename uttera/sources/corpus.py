@@ -9,6 +9,16 @@ from uttera.operators.ranking import with_source_index
 from uttera.schemas import RAW_UTTERANCE
 
 
+def reader(spark: SparkSession, path: str, split: str | None, schema: T.StructType, config_column: str) -> DataFrame:
+    """All configs of a corpus; ``config`` and ``split`` are partition folders, or columns in ``schema``."""
+    fields = list(schema.fields)
+    for name in (config_column, "split") if split else (config_column,):
+        if name not in schema.names:
+            fields.append(T.StructField(name, T.StringType()))
+    df = spark.read.schema(T.StructType(fields)).parquet(path)
+    return df.where(F.col("split") == split) if split else df
+
+
 def read_corpus(
     spark: SparkSession,
     path: str,
@@ -23,15 +33,9 @@ def read_corpus(
     ``config`` and ``split`` are partition folders of the corpus (or columns in ``schema``), so that other configs are
     not read. ``indexed`` adds ``source_index``, each row's position in its config.
     """
-    fields = list(schema.fields)
-    for name in (config_column, "split") if split else (config_column,):
-        if name not in schema.names:
-            fields.append(T.StructField(name, T.StringType()))
-    df = spark.read.schema(T.StructType(fields)).parquet(path)
+    df = reader(spark, path, split, schema, config_column)
     if configs:
         df = df.where(F.col(config_column).isin(*configs))
-    if split:
-        df = df.where(F.col("split") == split)
     return with_source_index(df, by=config_column) if indexed else df
 
 
