@@ -143,6 +143,29 @@ def curate_limited(spark: SparkSession, sf: str) -> DataFrame:
     return shown(run.shards)
 
 
+def encode_some(model: dict, batch: pd.DataFrame) -> pd.DataFrame:
+    """Some signals cannot be encoded, others give no tokens, by their lengths."""
+    if any(len(a["array"]) % 11 == 0 for a in batch["audio"]):
+        raise ValueError("unreadable")
+    made = encode_audio(model, batch)
+    made["speech_tokens"] = [t[:0] if len(t) % 7 == 0 else t for t in made["speech_tokens"]]
+    return made
+
+
+@query("curate_funnel", f"""WITH {R.UTTERANCES}, plain AS (SELECT *, coalesce(language = '{R.LANGUAGE}', false) AS lang_ok,
+    coalesce(duration IS NULL OR duration BETWEEN {S.MIN_DURATION_S} AND {S.MAX_DURATION_S}, false) AS duration_ok FROM utterances),
+  staged AS (SELECT *, CASE WHEN NOT lang_ok THEN 'language' WHEN NOT duration_ok THEN 'duration' WHEN text IS NULL THEN 'audio'
+      WHEN contains(text, '|') THEN 'transcribe' WHEN NOT coalesce({R.sql_valid(R.sql_clean('text'))}, false) THEN 'validity'
+      WHEN length(text) % 11 = 0 THEN 'encode' WHEN length(text) % 7 = 0 THEN 'no_tokens' ELSE 'accepted' END AS stage FROM plain)
+  SELECT count(*) AS seen, {', '.join(f"count(*) FILTER (stage = '{s}') AS dropped_{s}" for s in
+      ('language', 'duration', 'audio', 'transcribe', 'validity', 'encode', 'no_tokens'))},
+    count(*) FILTER (stage = 'accepted') AS accepted FROM staged""")
+def curate_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of every row of a run, the models' part counted while they ran."""
+    run = curate_corpus(raw_audio(spark, sf), Model(load, transcribe), Model(load, encode_some), "", spec=SPEC, dry_run=True)
+    return run.funnel()
+
+
 # Two channels whose mean is the signal; the encoder hands back what it heard, at half its rate.
 def encode_and_return(model: dict, batch: pd.DataFrame) -> pd.DataFrame:
     made = encode_audio(model, batch)

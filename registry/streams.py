@@ -32,6 +32,9 @@ CLEANED = f"""cleaned AS (SELECT doc_id, source AS config, {R.sql_clean('text')}
   kept AS (SELECT * FROM cleaned WHERE {R.sql_valid('text')})"""
 
 
+BATCHES = 4
+
+
 def document_stream(spark: SparkSession, sf: str) -> DataFrame:
     return stream_corpus(spark, f"{sf}/documents.parquet*", R.documents(spark, sf).schema)
 
@@ -75,10 +78,28 @@ def stream_shards(spark: SparkSession, sf: str) -> DataFrame:
     return stored.select(F.col("source_index").alias("doc_id"), W.batch_shard_name().alias("shard_name"), "text")
 
 
+@query("stream_shards_filled", f"""WITH {CLEANED}, sharded AS (SELECT *, doc_id % 2 AS worker, (row_number() OVER (
+    PARTITION BY config, doc_id % 2 ORDER BY doc_id) - 1) // 7 AS shard FROM kept)
+  SELECT doc_id, config, CAST(worker AS INTEGER) AS worker, CAST(shard AS INTEGER) AS shard, text FROM sharded""")
+def stream_shards_filled(spark: SparkSession, sf: str) -> DataFrame:
+    """Several micro-batches give the shards of one run over all rows."""
+    root, out, checkpoint = (work_path(spark, n) for n in ("files", "stream", "offsets"))
+    docs = R.documents(spark, sf)
+    most = docs.agg(F.max("doc_id")).first()[0]
+    for part in range(BATCHES):
+        # Files are taken in the order in which they were written.
+        docs.where(F.floor(F.col("doc_id") * BATCHES / F.lit(most + 1)) == part).write.mode("append").parquet(f"{root}/{part}")
+        rows = select_and_clean(stream_corpus(spark, f"{root}/*", docs.schema))
+        rows = filters.worker_split(rows, 2, index="doc_id").withColumnRenamed("doc_id", "source_index")
+        W.run_available(W.stream_shards(rows, out, checkpoint, rows_per_shard=7))
+    stored = spark.read.parquet(out)
+    return stored.select(F.col("source_index").alias("doc_id"), "config", F.col("worker").cast("int"), F.col("shard").cast("int"), "text")
+
+
 @query("stream_presets", PRESET_ROWS)
 def stream_presets(spark: SparkSession, sf: str) -> DataFrame:
     out, checkpoint = work_path(spark, "stream"), work_path(spark, "offsets")
     schema = R.table(spark, sf, "embeddings").schema
     rows = stream_corpus(spark, f"{sf}/embeddings.parquet*", schema)
-    W.run_available(W.stream_preset_sums(rows, "label", "embedding", out, checkpoint))
+    W.run_available(W.stream_means(rows, "label", "embedding", out, checkpoint))
     return long_form(W.running_presets(spark, out, "label"))

@@ -13,7 +13,7 @@ from uttera.functions import text as T
 from uttera.operators import examples as E
 from uttera.operators import filters
 from uttera.operators.infer import infer, quarantine
-from uttera.operators.presets import speaker_presets
+from uttera.operators.presets import speaker_presets, vector_means
 from uttera.operators.shards import assign_shards
 from uttera.plans.curation import Curation, Model, curate_corpus
 from uttera.plans.training import training_set
@@ -241,8 +241,14 @@ def test_stream_shards_and_replayed_batches(spark, tmp_path):
     assert stored.where("batch = 0").select("name").distinct().count() == 6
     # The second batch again, as after a crash before its end was recorded.
     batch = spark.read.schema(schema).parquet(path).where("source_index >= 20").withColumn("worker", F.lit(0)).drop("v")
-    write_shards(assign_shards(batch, 4).withColumn("batch", F.lit(1).cast("long")), out, W.BATCH_KEYS)
+    W.write_batch(batch, 1, out, f"{offsets}/rows", 4)
     assert spark.read.parquet(out).count() == 50
+    # Over both batches the shards are those of one run.
+    every = spark.read.schema(schema).parquet(path).withColumn("worker", F.lit(0))
+    want = {(r.config, r.source_index): r.shard for r in assign_shards(every, 4).collect()}
+    assert {(r.config, r.source_index): r.shard for r in spark.read.parquet(out).collect()} == want
+    sizes = spark.read.parquet(out).groupBy("config", "shard").count().collect()
+    assert sum(r["count"] < 4 for r in sizes) <= len({r.config for r in sizes})
 
 
 def test_stream_presets_follow_the_batch_form(spark, tmp_path):
@@ -250,10 +256,12 @@ def test_stream_presets_follow_the_batch_form(spark, tmp_path):
     for lo, hi in ((0, 20), (20, 50), (50, 53)):
         schema = write_part(spark, path, lo, hi)
         rows = stream_corpus(spark, path, schema, files_per_batch=1)
-        W.run_available(W.stream_preset_sums(rows, "config", "v", out, offsets))
+        W.run_available(W.stream_means(rows, "config", "v", out, offsets))
     running = {r.speakerID: (r.n, r.embedding) for r in W.running_presets(spark, out, "config").collect()}
     whole = speaker_presets(spark.read.parquet(path), "config", "v").collect()
     assert running == {r.speakerID: (r.n, pytest.approx(r.embedding)) for r in whole}
+    state = vector_means(stream_corpus(spark, path, schema), "config", "v")
+    assert "Generate" not in state._jdf.queryExecution().analyzed().toString()
 
 
 def test_running_sums_are_compacted(spark, tmp_path):
@@ -261,17 +269,17 @@ def test_running_sums_are_compacted(spark, tmp_path):
     for lo in range(0, 50, 10):
         schema = write_part(spark, path, lo, lo + 10)
         rows = stream_corpus(spark, path, schema, files_per_batch=1)
-        W.run_available(W.stream_preset_sums(rows, "config", "v", out, offsets, compact_every=2))
+        W.run_available(W.stream_means(rows, "config", "v", out, offsets, compact_every=2))
     stored = spark.read.parquet(out)
     # Batch 4 came after batches 0 to 3 were folded.
     assert sorted(r.part for r in stored.select("part").distinct().collect()) == [8, 9]
     whole = {r.speakerID: (r.n, pytest.approx(r.embedding)) for r in speaker_presets(spark.read.parquet(path), "config", "v").collect()}
     assert {r.speakerID: (r.n, r.embedding) for r in W.running_presets(spark, out, "config").collect()} == whole
     # A run lost after the folded part was written: what it left is only deleted.
-    W._write_part(W.newest_sums(stored, "config").withColumn("sum", F.lit(0.0)), 7, out)
-    W.compact_sums(spark, out, "config", 8)
+    W._write_part(W.newest_means(stored, "config").withColumn("mean", F.array(F.lit(0.0))), 7, out)
+    W.compact_means(spark, out, "config", 8)
     assert {r.speakerID: (r.n, r.embedding) for r in W.running_presets(spark, out, "config").collect()} == whole
-    W.compact_sums(spark, str(tmp_path / "none"), "config", 2)
+    W.compact_means(spark, str(tmp_path / "none"), "config", 2)
 
 
 HEARER, SPEAKER = Model(load_nothing, hear), Model(load_nothing, encode)
@@ -360,6 +368,15 @@ def test_a_limit_bounds_what_the_models_run_on(spark, tmp_path):
             assert sum(a for a, _ in report.values()) == len(got) and all(f for _, f in report.values())
 
 
+def test_a_funnel_adds_up(spark, tmp_path):
+    for options in ({}, {"limit": 8}):
+        run = curate(spark, raw(spark), "", dry_run=True, **options)
+        funnel = run.funnel().first().asDict()
+        assert funnel["seen"] == sum(n for name, n in funnel.items() if name != "seen") > 0
+        assert funnel["dropped_transcribe"] + funnel["dropped_encode"] == run.rejected.count()
+        assert funnel["accepted"] == run.shards.count() or options
+
+
 def test_another_number_of_workers_is_refused(spark, tmp_path):
     out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
     curate(spark, raw(spark), out, progress=progress, num_workers=3, worker_id=0, quarantine=str(tmp_path / "bad"))
@@ -401,13 +418,10 @@ def test_requests_without_text_and_turns_without_content(spark):
     assert shown.count("<|im_start|>") == 2
 
 
-def test_ragged_vectors_are_an_error_in_both_forms(spark):
-    from uttera.operators.presets import presets_from_sums, vector_sums
-
+def test_ragged_vectors_are_an_error(spark):
     df = spark.createDataFrame([("s", [1.0, 2.0]), ("s", [1.0])], "speakerID string, global_embedding array<float>")
-    for made in (lambda: speaker_presets(df), lambda: presets_from_sums(vector_sums(df))):
-        with pytest.raises(Exception):
-            made().collect()
+    with pytest.raises(Exception):
+        speaker_presets(df).collect()
 
 
 def test_skipped_files_are_named(spark, tmp_path):

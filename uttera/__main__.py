@@ -62,6 +62,7 @@ def curate(spark: SparkSession, args: argparse.Namespace) -> None:
         dry_run=args.no_push,
         quarantine=args.quarantine,
     )
+    run.funnel().show(truncate=False, vertical=True)
     run.report().show(truncate=False)
     run.rejected.select("config", "source_index", "error").show(truncate=False)
     if args.no_push:

@@ -28,9 +28,12 @@ def duration_between(
     return df.where(duration_ok(column, lo, hi))
 
 
+def audio_ok(column: str = "audio") -> Column:
+    return F.col(column)["array"].isNotNull() & (F.col(column)["sampling_rate"] > 0)
+
+
 def audio_present(df: DataFrame, column: str = "audio") -> DataFrame:
-    audio = F.col(column)
-    return df.where(audio["array"].isNotNull() & (audio["sampling_rate"] > 0))
+    return df.where(audio_ok(column))
 
 
 def transcript_valid(

@@ -17,41 +17,28 @@ def usable_vectors(df: DataFrame, speaker: str = "speakerID", vector: str = "glo
     )
 
 
-def mean_presets(means: DataFrame, speaker: str, mean: Column) -> DataFrame:
-    return means.select(
-        F.col(speaker).alias("speakerID"), A.l2_normalize(mean).cast("array<float>").alias("embedding"), "n"
-    )
-
-
-def speaker_presets(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:
-    """L2-normalised mean vector per speaker and how many vectors went into it.
+def vector_means(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:
+    """(speaker, mean, n), over a table or a stream.
 
-    Each task keeps one partial mean per speaker, so a speaker with a third of the rows sends no more than any
-    other, and no vector is exploded. Vectors of different lengths are an error.
+    Each task keeps one partial mean per speaker, so a speaker with a third of the rows sends no more than any other, and
+    no vector is exploded. Over a stream that partial mean is the speaker's state, into which every micro-batch is merged.
+    Vectors of different lengths are an error.
     """
     dense = array_to_vector(F.col(vector).cast("array<double>"))
-    means = usable_vectors(df, speaker, vector).groupBy(speaker).agg(
-        Summarizer.mean(dense).alias("_mean"), F.count(F.lit(1)).alias("n")
-    )
-    return mean_presets(means, speaker, vector_to_array("_mean"))
+    return usable_vectors(df, speaker, vector).groupBy(speaker).agg(
+        Summarizer.mean(dense).alias("mean"), F.count(F.lit(1)).alias("n")
+    ).withColumn("mean", vector_to_array("mean"))
 
 
-def vector_sums(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:
-    """(speaker, pos, sum, n): sums that go on growing with a stream, where a mean could not."""
-    exploded = usable_vectors(df, speaker, vector).select(speaker, F.posexplode(vector).alias("pos", "x"))
-    return exploded.groupBy(speaker, "pos").agg(
-        F.sum(F.col("x").cast("double")).alias("sum"), F.count(F.lit(1)).alias("n")
+def presets_from_means(means: DataFrame, speaker: str = "speakerID") -> DataFrame:
+    return means.select(
+        F.col(speaker).alias("speakerID"), A.l2_normalize(F.col("mean")).cast("array<float>").alias("embedding"), "n"
     )
 
 
-def presets_from_sums(sums: DataFrame, speaker: str = "speakerID") -> DataFrame:
-    """Presets from ``vector_sums``; what is gathered per speaker is one vector."""
-    cells = F.sort_array(F.collect_list(F.struct("pos", (F.col("sum") / F.col("n")).alias("mean"))))
-    least, most = F.min("n").alias("_least"), F.max("n").alias("n")
-    means = sums.groupBy(speaker).agg(cells.alias("_cells"), least, most)
-    ragged = F.raise_error(F.lit("vectors of different lengths have no mean")).cast("bigint")
-    means = means.withColumn("n", F.when(F.col("_least") == F.col("n"), F.col("n")).otherwise(ragged))
-    return mean_presets(means, speaker, F.col("_cells.mean"))
+def speaker_presets(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:
+    """L2-normalised mean vector per speaker and how many vectors went into it."""
+    return presets_from_means(vector_means(df, speaker, vector), speaker)
 
 
 def speaker_counts(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:

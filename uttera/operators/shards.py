@@ -14,17 +14,20 @@ def assign_shards(
     first_shard: str | None = None,
     index: str = "source_index",
     bucket_rows: int = S.BUCKET_ROWS,
+    rows_before: str | None = None,
 ) -> DataFrame:
     """Consecutive accepted rows of a (config, worker) fill shard 0, 1, ...; adds ``shard`` and ``shard_name``.
 
     ``first_shard`` names a column with the number of shards already written. ``max_shards`` counts those too.
+    ``rows_before`` names one with the number of rows already written, the last shard of which may go on filling.
     """
     start: Column = F.coalesce(F.col(first_shard), F.lit(0)) if first_shard else F.lit(0)
-    below = (F.lit(max_shards) - start) * rows_per_shard if max_shards else None
+    before: Column = F.coalesce(F.col(rows_before), F.lit(0)) if rows_before else F.lit(0)
+    below = (F.lit(max_shards) - start) * rows_per_shard - before if max_shards else None
     placed = ranked(
         df, ["config", "worker"], F.col(index), index_bucket(index, bucket_rows), out="_position", below=below
     )
-    shard = (start + F.floor(F.col("_position") / rows_per_shard)).cast("int")
+    shard = (start + F.floor((before + F.col("_position")) / rows_per_shard)).cast("int")
     return placed.withColumn("shard", shard).withColumn("shard_name", shard_name()).drop("_position")
 
 

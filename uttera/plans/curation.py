@@ -6,7 +6,7 @@ from functools import reduce
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,12 +90,22 @@ def mono(df: DataFrame, audio: str) -> Column:
     return column
 
 
+#: What becomes of the rows that reach the models, in order.
+MODEL_DROPS = ("transcribe", "validity", "encode", "no_tokens")
+
+
 def process_rows(
-    selected: DataFrame, transcribe: Model, encode: Model, spec: Curation = Curation(), carry: tuple[str, ...] = ()
+    selected: DataFrame,
+    transcribe: Model,
+    encode: Model,
+    spec: Curation = Curation(),
+    carry: tuple[str, ...] = (),
+    observed: list[Observation] | None = None,
 ) -> DataFrame:
     """Transcribe, clean, validate, tag pauses, encode; rows a model failed on keep their ``error``.
 
-    ``carry`` names further columns to take along, such as the source index.
+    ``carry`` names further columns to take along, such as the source index. Into ``observed`` go counts of what is
+    dropped where, which are taken while the result is written: they cost no pass of their own. A stream has none.
     """
     c = spec.columns
     named = [c.sequence, c.speaker, c.gender, c.district, c.language, c.duration, *carry]
@@ -126,7 +136,10 @@ def process_rows(
     text = X.clean_transcript(F.col("transcript"), spec.keep_class)
     heard = heard.withColumn("text", text).drop("transcript")
     if spec.drop_empty:
-        heard = heard.where(failed | X.valid_transcript(F.col("text"), spec.min_chars, spec.max_chars, spec.script))
+        valid = F.coalesce(X.valid_transcript(F.col("text"), spec.min_chars, spec.max_chars, spec.script), F.lit(False))
+        heard = _observe(heard, observed, transcribe=failed, validity=~failed & ~valid).where(failed | valid)
+    else:
+        heard = _observe(heard, observed, transcribe=failed, validity=F.lit(False))
     if pauses:
         heard = heard.withColumn("text", X.insert_pause_tags(F.col("text"), F.col("gaps"), spec.pause_tag))
     returned = spec.keep_audio and encode.gives_audio
@@ -135,7 +148,16 @@ def process_rows(
     if returned:
         heard = heard.withColumnRenamed("_audio", "_heard")
     encoded = infer(heard, encode.load, speak, encoding, ["_heard" if returned else "_audio"], kept, "encode", spec.batch_rows)
-    return encoded.where(failed | (F.size("speech_tokens") > 0))
+    tokens = F.coalesce(F.size("speech_tokens") > 0, F.lit(False))
+    unspoken = F.coalesce(F.col("error").startswith("encode:"), F.lit(False))
+    return _observe(encoded, observed, encode=unspoken, no_tokens=~failed & ~tokens, accepted=~failed & tokens).where(failed | tokens)
+
+
+def _observe(df: DataFrame, observed: list[Observation] | None, **conditions: Column) -> DataFrame:
+    if observed is None:
+        return df
+    observed.append(Observation())
+    return df.observe(observed[-1], *[F.count_if(condition).alias(name) for name, condition in conditions.items()])
 
 
 def accepted_rows(processed: DataFrame, spec: Curation = Curation(), carry: tuple[str, ...] = ()) -> DataFrame:
@@ -145,8 +167,29 @@ def accepted_rows(processed: DataFrame, spec: Curation = Curation(), carry: tupl
 
 @dataclass
 class CurationRun:
+    """``sources`` are the rows that the run looked at, ``observed`` what the models' part of it counted."""
+
     shards: DataFrame
     rejected: DataFrame
+    spec: Curation
+    sources: list[DataFrame]
+    observed: list[Observation]
+
+    def funnel(self) -> DataFrame:
+        """One row: rows seen, rows dropped at each stage in order, rows accepted; a limit may cut the accepted ones further.
+
+        The stages on plain columns are counted by a scan of those, the others were counted when the models ran.
+        """
+        c, spec = self.spec.columns, self.spec
+        stages = curate.curation_stages(c, spec.language, spec.state, spec.min_duration, spec.max_duration)
+        plain = reduce(DataFrame.unionByName, self.sources)
+        plain = curate.funnel(plain, stages | {"audio": filters.audio_ok(c.audio)}).drop("accepted")
+        total: dict[str, int] = dict.fromkeys((*MODEL_DROPS, "accepted"), 0)
+        for observation in self.observed:
+            for name, count in observation.get.items():
+                total[name] += count
+        counted = {f"dropped_{name}": F.lit(total[name]).cast("bigint") for name in MODEL_DROPS}
+        return plain.withColumns(counted | {"accepted": F.lit(total["accepted"]).cast("bigint")})
 
     def report(self) -> DataFrame:
         """Rows accepted and rows a model failed on, per config."""
@@ -240,26 +283,30 @@ def curate_corpus(
     if progress:
         carry = (*carry, "first_shard")
 
-    def selected(rows: DataFrame) -> DataFrame:
+    sources: list[DataFrame] = []
+    observed: list[Observation] = []
+
+    def fresh(rows: DataFrame) -> DataFrame:
         split = filters.worker_split(rows, num_workers, worker_id)
-        return select_rows(shards.skip_consumed(split, done_before) if progress else split, spec)
+        return shards.skip_consumed(split, done_before) if progress else split
 
     def run(rows: DataFrame) -> DataFrame:
-        return process_rows(rows, transcribe, encode, spec, carry)
+        sources.append(rows)
+        return process_rows(select_rows(rows, spec), transcribe, encode, spec, carry, observed)
 
     workers = range(num_workers) if worker_id is None else [worker_id]
     if not limit and not max_shards:
-        inferred = materialize(run(selected(corpus.rows() if corpus else raw)), "inferred")
+        inferred = materialize(run(fresh(corpus.rows() if corpus else raw)), "inferred")
     elif corpus:
         inferred = infer_rows(
-            lambda lo, hi: selected(corpus.rows(lo, hi)),
+            lambda lo, hi: fresh(corpus.rows(lo, hi)),
             lambda: [(config, worker, last) for config, last in corpus.extent() for worker in workers],
             run, spec, _first_fresh(corpus, done_before, len(workers)), limit, max_shards, config_order,
         )
     else:
-        rows = selected(raw)
+        rows = fresh(raw)
         # One row per config and worker.
-        seen = rows.groupBy("config", "worker").agg(F.min("source_index").alias("first"), F.max("source_index").alias("last")).collect()
+        seen = select_rows(rows, spec).groupBy("config", "worker").agg(F.min("source_index").alias("first"), F.max("source_index").alias("last")).collect()
         extent = [(r["config"], r["worker"], r["last"]) for r in seen]
         inferred = infer_rows(
             lambda lo, hi: rows.where((F.col("source_index") >= lo) & (F.col("source_index") < hi)),
@@ -277,7 +324,7 @@ def curate_corpus(
     if limit:
         sharded = shards.limit_accepted(sharded, limit, config_order, bucket_rows=spec.ordered_rows)
     if dry_run:
-        return CurationRun(sharded, rejected)
+        return CurationRun(sharded, rejected, spec, sources, observed)
     write_shards(sharded, out, per_folder=spec.shards_per_folder)
     if quarantine:
         rejected.write.mode("append").parquet(quarantine)
@@ -285,4 +332,4 @@ def curate_corpus(
         sizes = corpus.sizes() if corpus else raw.groupBy("config").agg((F.max("source_index") + 1).alias("source_rows"))
         state = shards.progress_of(sharded, spec.rows_per_shard, sizes, limit, config_order)
         save_progress(state, progress, num_workers)
-    return CurationRun(sharded, rejected)
+    return CurationRun(sharded, rejected, spec, sources, observed)

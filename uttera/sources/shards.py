@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uttera.schemas import PROCESSED
-from uttera.session import materialize
+from uttera.session import folder_names, materialize
 from uttera.sources.progress import is_absent
 
 SHARD_KEYS = ("config", "worker", "shard")
@@ -43,12 +43,9 @@ def write_shards(df: DataFrame, path: str, keys: tuple[str, ...] = SHARD_KEYS, p
 def _with_neighbours(rows: DataFrame, path: str, keys: tuple[str, ...], folders: tuple[str, ...]) -> DataFrame:
     """``rows`` and the stored rows of other shards in the folders that ``rows`` will replace."""
     spark = rows.sparkSession
-    try:
-        stored = spark.read.schema(rows.schema).parquet(path)
-    except AnalysisException as failure:
-        if not is_absent(failure):
-            raise
+    if not folder_names(spark, path):
         return rows
+    stored = spark.read.schema(rows.schema).parquet(path)
     new = materialize(rows, "shards")
     same = new.select(*folders).distinct()
     others = stored.join(same, list(folders), "left_semi").join(new.select(*keys).distinct(), list(keys), "left_anti")

@@ -38,22 +38,41 @@ def stream_curate(
     )
 
 
+def write_batch(
+    batch: DataFrame, batch_id: int, out: str, counts: str, rows_per_shard: int = S.ROWS_PER_SHARD, shards_per_folder: int = 1
+) -> None:
+    """Write a micro-batch into the shards that it goes on filling.
+
+    ``counts`` is a table of the rows that each micro-batch gave a (config, worker). Those of earlier ones add up to where
+    this one begins, so a shard that a batch leaves open is filled by the next. A batch that is run again, because its end
+    was not recorded, begins where it began and has the same rows, and so replaces what it wrote.
+    """
+    spark = batch.sparkSession
+    # Numbering scans the batch twice; its transforms, models among them, run once, into the shared folder.
+    path = work_path(spark, "batch")
+    batch.write.parquet(path)
+    stored = spark.read.schema(batch.schema).parquet(path)
+    per_batch = stored.groupBy("config", "worker").agg(F.count("*").alias("rows"))
+    _write_part(per_batch, batch_id, counts)
+    earlier = spark.read.parquet(counts).where(F.col("part") < batch_id).groupBy("config", "worker").agg(F.sum("rows").alias("_before"))
+    same = F.col("config").eqNullSafe(F.col("_config")) & F.col("worker").eqNullSafe(F.col("_worker"))
+    begun = stored.join(earlier.withColumnsRenamed({"config": "_config", "worker": "_worker"}), same, "left")
+    sharded = assign_shards(begun, rows_per_shard, rows_before="_before").drop("_before", "_config", "_worker")
+    write_shards(sharded.withColumn("batch", F.lit(batch_id).cast("long")), out, BATCH_KEYS, shards_per_folder)
+    discard(spark, path)
+
+
 def stream_shards(
     rows: DataFrame, out: str, checkpoint: str, rows_per_shard: int = S.ROWS_PER_SHARD, shards_per_folder: int = 1
 ) -> StreamingQuery:
-    """Cut each micro-batch of curated rows into shards named by batch; a table keeps one number of shards per folder.
+    """Cut a stream of curated rows into shards that fill across micro-batches; a table keeps one number of shards per folder.
 
-    A batch that is run again, because its end was not recorded, has the same rows and id and so replaces its shards.
+    Rows are in their index' order within a micro-batch; if the files come in that order too, the shards are those of
+    one run over all of them.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # Numbering scans the batch twice; its transforms, models among them, run once, into the shared folder.
-        path = work_path(batch.sparkSession, "batch")
-        batch.write.parquet(path)
-        stored = batch.sparkSession.read.schema(batch.schema).parquet(path)
-        sharded = assign_shards(stored, rows_per_shard).withColumn("batch", F.lit(batch_id).cast("long"))
-        write_shards(sharded, out, BATCH_KEYS, shards_per_folder)
-        discard(batch.sparkSession, path)
+        write_batch(batch, batch_id, out, f"{checkpoint}/rows", rows_per_shard, shards_per_folder)
 
     return (
         rows.writeStream.foreachBatch(sink)
@@ -64,25 +83,27 @@ def stream_shards(
 
 
 def batch_shard_name() -> Column:
+    """The name of the part of a shard that one micro-batch wrote."""
     return F.format_string("%s_w%d_b%d_s%d", *[F.col(c) for c in BATCH_KEYS])
 
 
-def stream_preset_sums(
+def stream_means(
     rows: DataFrame, speaker: str, vector: str, out: str, checkpoint: str, compact_every: int = S.COMPACT_BATCHES
 ) -> StreamingQuery:
-    """Keep running sums and counts per speaker and position; a micro-batch writes those it changed.
+    """Keep a running mean vector and count per speaker; a micro-batch writes those it changed.
 
-    Micro-batch b is part 2b + 1 of the table. Before every ``compact_every``-th one, all that is stored is folded into
-    part 2b, so the table holds no more than one row per sum and what a few batches changed.
+    The mean is one mergeable state per speaker, in the stream's checkpoint. Micro-batch b is part 2b + 1 of the table.
+    Before every ``compact_every``-th one, all that is stored is folded into part 2b, so the table holds no more than one
+    row per speaker and what a few batches changed.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch_id and batch_id % compact_every == 0:
-            compact_sums(batch.sparkSession, out, speaker, 2 * batch_id)
+            compact_means(batch.sparkSession, out, speaker, 2 * batch_id)
         _write_part(batch, 2 * batch_id + 1, out)
 
     return (
-        P.vector_sums(rows, speaker, vector)
+        P.vector_means(rows, speaker, vector)
         .writeStream.outputMode("update")
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
@@ -91,18 +112,19 @@ def stream_preset_sums(
     )
 
 
-def _write_part(sums: DataFrame, part: int, out: str) -> None:
-    """Replace one part of the table; it appears whole or not at all."""
-    sums.withColumn("part", F.lit(part).cast("long")).write.mode("overwrite").option(
+def _write_part(rows: DataFrame, part: int, out: str) -> None:
+    """Replace one part of a table; it appears whole or not at all."""
+    rows.withColumn("part", F.lit(part).cast("long")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("part").parquet(out)
 
 
-def newest_sums(stored: DataFrame, speaker: str) -> DataFrame:
-    return stored.groupBy(speaker, "pos").agg(F.max_by("sum", "part").alias("sum"), F.max_by("n", "part").alias("n"))
+def newest_means(stored: DataFrame, speaker: str) -> DataFrame:
+    newest = F.max_by(F.struct("mean", "n"), "part").alias("newest")
+    return stored.groupBy(speaker).agg(newest).select(speaker, "newest.mean", "newest.n")
 
 
-def compact_sums(spark: SparkSession, out: str, speaker: str, part: int) -> None:
+def compact_means(spark: SparkSession, out: str, speaker: str, part: int) -> None:
     """Fold all earlier parts into ``part`` and delete them.
 
     The new part is newer than what it holds, so until the others are gone they do no harm; a run that was lost in
@@ -111,11 +133,11 @@ def compact_sums(spark: SparkSession, out: str, speaker: str, part: int) -> None
     parts = [int(name.removeprefix("part=")) for name in folder_names(spark, out) if name.startswith("part=")]
     earlier = [p for p in parts if p < part]
     if earlier and part not in parts:
-        _write_part(newest_sums(spark.read.parquet(out).where(F.col("part") < part), speaker), part, out)
+        _write_part(newest_means(spark.read.parquet(out).where(F.col("part") < part), speaker), part, out)
     for old in earlier:
         discard(spark, f"{out}/part={old}")
 
 
 def running_presets(spark: SparkSession, out: str, speaker: str) -> DataFrame:
-    """Presets from the newest sums."""
-    return P.presets_from_sums(newest_sums(spark.read.parquet(out), speaker), speaker)
+    """Presets from the newest means."""
+    return P.presets_from_means(newest_means(spark.read.parquet(out), speaker), speaker)
