@@ -32,6 +32,15 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return vocab(spark, sf)
 
 
+@query("extend_vocabulary", f"""WITH {VOCAB}, new AS (SELECT DISTINCT unnest({R.sql_words('text')}) AS word FROM documents),
+  more AS (SELECT word, CAST((SELECT coalesce(max(word_id) + 1, {M.first_word}) FROM vocab) + row_number() OVER (ORDER BY md5(word)) - 1
+    AS BIGINT) AS word_id FROM new WHERE word <> '' AND word NOT IN (SELECT word FROM vocab))
+  SELECT * FROM vocab UNION ALL SELECT * FROM more""")
+def extend_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents' words after those of the turns, whose ids stay."""
+    return E.vocabulary(R.table(spark, sf, "documents"), known=vocab(spark, sf))
+
+
 @query("encode_ids", f"WITH {R.PAIRS}, {VOCAB}, {WORD_IDS} SELECT id, {R.sql_joined('ids')} AS word_ids FROM word_ids")
 def encode_ids(spark: SparkSession, sf: str) -> DataFrame:
     encoded = E.encode_words(R.pairs(spark, sf).select("id", "text"), vocab(spark, sf))

@@ -14,7 +14,7 @@ from uttera.functions import text as T
 from uttera.operators import filters
 from uttera.operators.lookup import is_small
 from uttera.operators.ranking import index_bucket, ranked
-from uttera.session import ROW, with_row_id
+from uttera.session import ROW, materialize, with_row_id
 
 
 @dataclass(frozen=True)
@@ -37,12 +37,22 @@ class Markers:
             raise ValueError("the id ranges of markers, speech tokens and words overlap")
 
 
-def vocabulary(df: DataFrame, text: str = "text", markers: Markers = Markers()) -> DataFrame:
-    """(word, word_id) of the distinct words, numbered in the order of their MD5 so that no task sorts them all."""
+def vocabulary(df: DataFrame, text: str = "text", markers: Markers = Markers(), known: DataFrame | None = None) -> DataFrame:
+    """(word, word_id) of the distinct words, numbered in the order of their MD5 so that no task sorts them all.
+
+    ``known`` is an earlier vocabulary: its words keep their ids, and only words it lacks are numbered, after its last id.
+    What was encoded with it stays valid, and each corpus that is added appends.
+    """
     found = df.select(F.explode(T.words(F.col(text))).alias("word")).where(F.col("word") != "").distinct()
-    hashed = found.withColumn("_md5", F.md5("word"))
+    first = markers.first_word
+    if known is not None:
+        found = found.join(known, "word", "left_anti")
+        last = known.agg(F.max("word_id")).first()[0]
+        first = first if last is None else last + 1
+    hashed = materialize(found.withColumn("_md5", F.md5("word")), "words")
     numbered = ranked(hashed, [], F.struct("_md5", "word"), F.substring("_md5", 1, 3), out="_rank")
-    return numbered.select("word", (F.col("_rank") + markers.first_word).cast("bigint").alias("word_id"))
+    new = numbered.select("word", (F.col("_rank") + first).cast("bigint").alias("word_id"))
+    return new if known is None else known.select("word", "word_id").unionByName(new)
 
 
 def _look_up(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -70,12 +80,16 @@ def encode_words(
     rows = with_row_id(df)
     small = is_small(vocab, max_broadcast_bytes)
     source = rows.repartition(ROW) if small else rows
-    pieces = source.select(ROW, F.posexplode(T.words(F.col(text))).alias("_pos", "word"))
+    # The rest of a row travels with its first word, so that it need not be joined back.
+    others = [c for c in rows.columns if c != ROW]
+    pieces = source.select(ROW, F.struct(*others).alias("_rest"), F.posexplode_outer(T.words(F.col(text))).alias("_pos", "word"))
+    pieces = pieces.withColumn("_rest", F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col("_rest")))
     found = pieces.join(F.broadcast(vocab), "word", "left") if small else _look_up(pieces, vocab)
-    piece = F.struct("_pos", F.coalesce("word_id", F.lit(unknown)).alias("id"))
-    gathered = found.groupBy(ROW).agg(F.sort_array(F.collect_list(piece)).alias("_pieces"))
-    ids = gathered.select(ROW, F.col("_pieces.id").alias("word_ids"))
-    return source.join(ids, ROW, "left").drop(ROW)
+    piece = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("word_id", F.lit(unknown)).alias("id")))
+    gathered = found.groupBy(ROW).agg(F.sort_array(F.collect_list(piece)).alias("_pieces"), F.first("_rest", ignorenulls=True).alias("_rest"))
+    ids = F.when(F.size("_pieces") > 0, F.col("_pieces.id")).alias("word_ids")
+    kept = [ROW] if ROW in df.columns else []
+    return gathered.select(*[F.col("_rest")[c].alias(c) for c in others], ids, *kept)
 
 
 def prompt_ids(word_ids: Column, markers: Markers = Markers()) -> Column:
@@ -119,6 +133,16 @@ def mask_examples(
     )
 
 
+def fitting_rows(
+    df: DataFrame, key: str = "id", text: str = "text", tokens: str = "speech_tokens", max_seq_len: int = S.MAX_SEQ_LEN
+) -> DataFrame:
+    """Rows with text and tokens whose example fits, and ``pieces``, its length, which is known before it is encoded."""
+    kept = [ROW] if ROW in df.columns else []
+    present = filters.examples_present(df.select(key, text, tokens, *kept), text, tokens)
+    pieces = F.size(T.words(F.col(text))) + F.size(tokens) + FRAME_PIECES
+    return present.withColumn("pieces", pieces).where(F.col("pieces") <= max_seq_len)
+
+
 def encode_examples(
     df: DataFrame,
     vocab: DataFrame,
@@ -134,16 +158,15 @@ def encode_examples(
     An example's length is known before its words are looked up, so over-long rows leave before the shuffle and
     no more than ``max_seq_len`` words of a row are ever gathered.
     """
-    present = filters.examples_present(df.select(key, text, tokens), text, tokens)
-    pieces = F.size(T.words(F.col(text))) + F.size(tokens) + FRAME_PIECES
-    fitting = present.where(pieces <= max_seq_len)
+    fitting = fitting_rows(df, key, text, tokens, max_seq_len).drop("pieces")
     worded = encode_words(fitting, vocab, text, markers.unknown, max_broadcast_bytes)
+    kept = [c for c in (key, ROW) if c in worded.columns]
     both = worded.select(
-        key,
+        *kept,
         prompt_ids(F.col("word_ids"), markers).alias("prompt_ids"),
         full_ids(F.col("word_ids"), F.col(tokens), markers).alias("input_ids"),
     )
-    return mask_examples(both, max_seq_len=max_seq_len, keep=(key,))
+    return mask_examples(both, max_seq_len=max_seq_len, keep=tuple(kept))
 
 
 def pad_batches(
@@ -152,15 +175,17 @@ def pad_batches(
     pad_id: int = 0,
     order: str = "id",
     bucket: Column | None = None,
+    lengths: DataFrame | None = None,
 ) -> DataFrame:
     """Consecutive rows in the order of ``order``, padded to the longest of their batch; equal values keep stored order.
 
     An integer column is taken as an index. Any other is ordered by its MD5, which spreads it over buckets of its own.
     Batches and their lengths are worked out on (order, length) alone; the arrays are shuffled once, to meet them.
-    ``bucket`` as in ``ranked``.
+    ``bucket`` as in ``ranked``. ``lengths`` is a stored table (ROW, order, pieces) of the same rows, for examples that carry
+    their row's number: then the examples themselves are read, or made, once.
     """
     rows = with_row_id(examples)
-    sizes = rows.select(ROW, order, F.size("input_ids").alias("_size"))
+    sizes = rows.select(ROW, order, F.size("input_ids").alias("_size")) if lengths is None else lengths.select(ROW, order, F.col("pieces").alias("_size"))
     place = [F.col(order), F.col(ROW)]
     if bucket is None and isinstance(examples.schema[order].dataType, IntegralType):
         bucket = index_bucket(order)
@@ -223,7 +248,8 @@ def train_eval_split(df: DataFrame, ratio: float = S.EVAL_RATIO, seed: int = S.S
         last = inside.agg(F.max(ROW)).first()[0]
         mine = split_key(key, seed)
         in_test = (mine < md5) | ((mine == md5) & (F.col(ROW) <= last))
-    return rows.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train"))).drop(ROW)
+    split = rows.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
+    return split if ROW in df.columns else split.drop(ROW)
 
 
 def hash_split(df: DataFrame, ratio: float = S.EVAL_RATIO, seed: int = S.SEED, key: str = "id") -> DataFrame:

@@ -91,11 +91,12 @@ ROW = "_row"
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
-    """The rows, stored, each with a number of its own in ``ROW``.
+    """The rows, stored, each with a number of its own in ``ROW``; rows that have one already are left as they are.
 
-    The numbers are given once, when the rows are written, so every later scan sees the same ones.
+    The numbers are given once, when the rows are written, so every later scan sees the same ones. A flow numbers its rows
+    at its start and its operators carry the number along.
     """
-    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    return df if ROW in df.columns else materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
