@@ -241,5 +241,6 @@ def test_pipeline_stages(spark, texts):
                 assert r["text"] == before[d]["text"] or plain_spans(before[d]["text"]) or "<" in r["text"]
         else:
             assert 0 < len(after) < len(before)
-            draws = {d: int(hashlib.md5(f"mix:{d}".encode()).hexdigest()[:8], 16) / 2**32 for d in after}
+            marks = {d: hashlib.md5(r["text"].encode()).hexdigest() for d, r in after.items()}
+            draws = {d: int(hashlib.md5(f"mix:{d}:{marks[d]}:0".encode()).hexdigest()[:8], 16) / 2**32 for d in after}
             assert all(draws[d] < r["probability"] <= 1 for d, r in after.items())

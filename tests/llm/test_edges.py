@@ -325,10 +325,60 @@ def test_mixing_meets_its_targets(spark):
             weights[r[axis]] += r["weight"]
         scale = sum(v**power for v in sums.values())
         for value, tokens in sums.items():
+            assert tokens**power / scale * mixing.BUDGET * total < tokens
             assert abs(weights[value] / (mixing.BUDGET * total) - tokens**power / scale) < 1e-3
     assert all(0 <= r["weight"] <= r["tokens"] for r in raked)
 
 
+def plain_targets(held, power, budget):
+    """Shares of the budget; what a value does not hold goes to the others."""
+    left, goals, total = dict(held), {}, budget * sum(held.values())
+    while left:
+        scale = sum(h**power for h in left.values())
+        room = total - sum(goals.values())
+        full = {v: h for v, h in left.items() if room * h**power / scale > h}
+        if not full:
+            return goals | {v: room * h**power / scale for v, h in left.items()}
+        goals |= full
+        left = {v: h for v, h in left.items() if v not in full}
+    return goals
+
+
+def test_mixing_spreads_what_a_value_lacks(spark):
+    """Rare values hold less than their shares of the budget; margins still meet their targets with the default sweeps."""
+    chosen = random.Random(8)
+    size = {"a": 40_000, "b": 3000, "c": 200, None: 50}
+    cells = [(s, lang, t, max(1, int(n * k * chosen.uniform(0.5, 1.5)))) for s, n in size.items() for lang, k in (("en", 1), ("fr", 0.1)) for t in "xyz"]
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    raked = mixing.rake(frame)
+    total = sum(c[3] for c in cells)
+    found = {(r["axis"], r["value"]): (r["goal"], r["weight"]) for r in mixing.reached(raked).collect()}
+    exhausted = 0
+    for at, (axis, power) in enumerate(mixing.TEMPERATURES.items()):
+        held = collections.Counter()
+        for cell in cells:
+            held[cell[at]] += cell[3]
+        for value, goal in plain_targets(held, power, mixing.BUDGET).items():
+            exhausted += goal == held[value]
+            got = found[axis, value]
+            assert abs(got[0] - goal / (mixing.BUDGET * total)) < 1e-9
+            assert abs(got[1] - got[0]) < 0.01
+    assert exhausted >= 2
+
+
+def test_sampling_is_calibrated_without_ids_and_for_copies(spark, tmp_path):
+    rows = [(None if i % 3 == 0 else i, f"text {i} " + "word " * (i % 7), f"s{i % 2}", "en") for i in range(6000)]
+    rows += [(7, "the same text", "s0", "en")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(6)
+    docs.withColumns({"topic": F.lit("prose"), "n_tokens": mixing.token_count(F.col("text"))}).write.parquet(str(tmp_path / "docs"))
+    mixed = mixing.mix(spark.read.parquet(str(tmp_path / "docs")))
+    for group in ("doc_id is null", "doc_id = 7", "true"):
+        sums = mixed.filter(group).agg(F.sum(F.col("n_tokens") * F.col("sampled").cast("int")), F.sum(F.col("n_tokens") * F.col("probability"))).first()
+        assert abs(sums[0] / sums[1] - 1) < (0.02 if group == "true" else 0.08)
+    again = mixing.mix(spark.read.parquet(str(tmp_path / "docs")))
+    assert again.filter("sampled").count() == mixed.filter("sampled").count()
+
+
 def test_mixing_of_odd_rows(odd, empty):
     counted = odd.withColumns({"topic": mixing.topic_of(F.col("text")), "n_tokens": mixing.token_count(F.col("text"))})
     rows = mixing.mix(counted).collect()

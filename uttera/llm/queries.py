@@ -103,9 +103,10 @@ def op8_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     narrow = docs.select(
-        "doc_id", "source", "lang", mixing.topic_of(F.col("text")).alias("topic"), mixing.token_count(F.col("text")).alias("n_tokens")
+        "doc_id", "source", "lang", mixing.topic_of(F.col("text")).alias("topic"), mixing.token_count(F.col("text")).alias("n_tokens"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("mark"),
     )
-    return mixing.mix(materialize(narrow, "tokens")).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled")
+    return mixing.mix(materialize(narrow, "tokens"), mark=F.col("mark")).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled")
 
 
 @query
@@ -192,34 +193,40 @@ FROM levels l JOIN rated r ON l.host = r.host
 """.replace(" host = '", " l.host = '").replace("(host = '", "(l.host = '").replace("ends_with(host,", "ends_with(l.host,")
 
 
+#: Rounds in which the SQL raises the level of an axis' targets; more than its values ever need.
+SQL_ROUNDS = 12
+
+
 def _mixing_sql() -> str:
     b = mixing.BUDGET
-    steps, at = [], "w0"
+    steps = []
+    for axis, power in mixing.TEMPERATURES.items():
+        steps.append(f"h_{axis} AS MATERIALIZED (SELECT {axis}, sum(tokens)::DOUBLE AS held, pow(sum(tokens)::DOUBLE, {power}) AS share FROM cells GROUP BY {axis})")
+        steps.append(f"l_{axis}_0 AS MATERIALIZED (SELECT {b} * sum(held) / sum(share) AS level FROM h_{axis})")
+        for k in range(SQL_ROUNDS):
+            steps.append(f"""l_{axis}_{k + 1} AS MATERIALIZED (SELECT coalesce(greatest(level, ({b} * (SELECT sum(held) FROM h_{axis})
+    - coalesce(sum(held) FILTER (share * level > held), 0)) / sum(share) FILTER (share * level <= held)), level) AS level
+    FROM h_{axis}, l_{axis}_{k} GROUP BY level)""")
+        steps.append(f"g_{axis} AS MATERIALIZED (SELECT {axis}, least(share * level, held) AS goal FROM h_{axis}, l_{axis}_{SQL_ROUNDS})")
+    goals = " ".join(f"JOIN g_{a} ON c.{a} IS NOT DISTINCT FROM g_{a}.{a}" for a in mixing.AXES)
+    steps.append(f"w0 AS MATERIALIZED (SELECT c.*, {b} * tokens AS raw, {', '.join(f'g_{a}.goal AS goal_{a}' for a in mixing.AXES)} FROM cells c {goals})")
+    at = "w0"
     for i in range(mixing.SWEEPS):
         for axis in mixing.AXES:
             to = f"w{i}_{axis}"
-            steps.append(
-                f"{to} AS (SELECT * REPLACE (CASE WHEN held > 0 THEN least(weight * ({b} * total * share_{axis}) / held, tokens::DOUBLE) ELSE 0 END AS weight) "
-                f"FROM (SELECT * EXCLUDE (held), sum(weight) OVER (PARTITION BY {axis}) AS held FROM {at}))"
-            )
+            steps.append(f"""{to} AS MATERIALIZED (SELECT * EXCLUDE (held) REPLACE (CASE WHEN held > 0 THEN raw * goal_{axis} / held ELSE 0 END AS raw)
+    FROM (SELECT *, sum(least(raw, tokens)) OVER (PARTITION BY {axis}) AS held FROM {at}))""")
             at = to
-    shares = ", ".join(
-        f"s_{a} AS (SELECT {a}, pow(sum(tokens)::DOUBLE, {p}) / sum(pow(sum(tokens)::DOUBLE, {p})) OVER () AS share_{a} FROM cells GROUP BY {a})"
-        for a, p in mixing.TEMPERATURES.items()
-    )
-    joins = " ".join(f"JOIN s_{a} ON c.{a} IS NOT DISTINCT FROM s_{a}.{a}" for a in mixing.AXES)
     same = " AND ".join(f"t.{a} IS NOT DISTINCT FROM w.{a}" for a in mixing.AXES)
     return rf"""
-WITH t AS (SELECT doc_id, source, lang, CASE WHEN contains(text, ' | ') THEN 'table'
+WITH t AS (SELECT doc_id, source, lang, md5(coalesce(text, '')) AS mark, CASE WHEN contains(text, ' | ') THEN 'table'
     WHEN contains(text, 'License') OR contains(text, 'rights reserved') THEN 'licensed'
-    WHEN contains(text, '@') THEN 'contact' ELSE 'prose' END AS topic,
-    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents),
-cells AS (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens FROM t GROUP BY ALL), {shares},
-w0 AS (SELECT c.*, sum(tokens) OVER ()::DOUBLE AS total, {b} * tokens::DOUBLE AS weight, 0::DOUBLE AS held,
-    {', '.join(f'share_{a}' for a in mixing.AXES)} FROM cells c {joins}), {', '.join(steps)}
-SELECT doc_id, t.source, t.lang, t.topic, n_tokens, probability,
-    ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0 < probability AS sampled
-FROM t JOIN (SELECT *, CASE WHEN tokens > 0 THEN round(weight / tokens, 6) ELSE 0 END AS probability FROM {at}) w ON {same}
+    WHEN contains(text, '@') OR contains(text, '<EMAIL>') OR contains(text, '<OBFUSCATED_EMAIL>') THEN 'contact' ELSE 'prose' END AS topic,
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n_tokens FROM documents),
+cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens FROM t GROUP BY ALL), {', '.join(steps)}
+SELECT doc_id, t.source, t.lang, t.topic, n_tokens, probability, ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')
+    || ':' || mark || ':0'), 1, 8))::BIGINT / 4294967296.0 < probability AS sampled
+FROM t JOIN (SELECT *, CASE WHEN tokens > 0 THEN round(least(raw, tokens) / tokens, 6) ELSE 0 END AS probability FROM {at}) w ON {same}
 """
 
 
