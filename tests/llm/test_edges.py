@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import math
 import random
 
 import pytest
@@ -181,7 +182,6 @@ def test_decontamination_of_odd_rows(odd, empty, items):
     assert found == {(None, 1), (1, None)}
     assert decontaminate.contaminated(empty, items).count() == 0
     assert decontaminate.contaminated(odd, items.limit(0)).count() == 0
-    assert decontaminate.without_contaminated(odd, items).filter("doc_id is null or doc_id = 1").count() == 0
 
 
 def test_decontamination_stage_drops_rows_not_ids(spark, odd, items, monkeypatch):
@@ -192,6 +192,26 @@ def test_decontamination_stage_drops_rows_not_ids(spark, odd, items, monkeypatch
     assert len(want) == 11 and sorted(map(tuple, kept), key=str) == sorted(want, key=str)
 
 
+def test_decontamination_of_a_common_opening_grows_with_the_items(spark, monkeypatch):
+    """Items and documents that share an opening and nothing else are no candidates of each other."""
+    opening, sizes = sentence(77, 14), []
+    plain = decontaminate._candidates
+
+    def counted(*given):
+        found = plain(*given)
+        sizes.append(found.agg(F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()[0])
+        return found
+
+    monkeypatch.setattr(decontaminate, "_candidates", counted)
+    for n in (60, 240):
+        items = spark.createDataFrame([(i, f"{opening} {sentence(1000 + i, 30)}") for i in range(n)], "item_id long, text string")
+        rows = [(i, f"{opening} {sentence(9000 + i, 40)}") for i in range(n)] + [(n, f"{opening} {sentence(1000, 30)}")]
+        found = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+        assert [(r["doc_id"], r["item_id"]) for r in found] == [(n, 0)]
+    # A stranger may share the word after the opening too.
+    assert max(sizes) < 10
+
+
 def test_decontamination_in_the_middle_with_changes(spark):
     item = sentence(20, 60).split()
     changed = [*item[:30], "other", *item[31:]]
@@ -268,13 +288,15 @@ def test_network_gradient_and_pieces():
     def loss():
         return -np.log(network.probability(text))
 
-    for name, at in (("head", 3), ("shift", 0), ("bias", 2), ("filters", (5, 1))):
+    for name, at in (("head", 3), ("shift", 0), ("bias", 2), ("filters", (5, 1)), ("embedding", (ord("e"), 2)), ("embedding", (ord(" "), 0))):
         before = network.p[name].copy()
-        network.p[name] = before.astype(np.float64)
-        network.p[name][at] += 1e-4
+        # Windows are views of four-byte numbers, so the embedding stays as it is.
+        step = 1e-3 if name == "embedding" else 1e-4
+        network.p[name] = before.copy() if name == "embedding" else before.astype(np.float64)
+        network.p[name][at] += step
         up = loss()
-        network.p[name][at] -= 2e-4
-        slope = (up - loss()) / 2e-4
+        network.p[name][at] -= 2 * step
+        slope = (up - loss()) / (2 * step)
         network.p[name] = before
         assert abs(slope - gradient[name][at]) < 1e-2 + 0.05 * abs(slope)
     long = bytes(random.Random(2).choices(b"abc def", k=byte_network.PIECE * 2 + 77))
@@ -282,6 +304,67 @@ def test_network_gradient_and_pieces():
     assert np.allclose(network.maxima(long), network.blocks(codes)[0], atol=1e-5)
 
 
+def plain_probability(network, text):
+    """The forward pass window by window."""
+    p, width, stride, block = network.p, byte_network.WIDTH, byte_network.STRIDE, byte_network.BLOCK
+    size = len(text) + width
+    size += -size % (block * stride)
+    codes = list(text) + [0] * (size + width)
+    responses = []
+    for w in range(size // stride):
+        seen = [float(x) for code in codes[w * stride : w * stride + width] for x in p["embedding"][code]]
+        responses.append([sum(x * float(p["filters"][i][f]) for i, x in enumerate(seen)) for f in range(byte_network.FILTERS)])
+    blocks = [[max(r[f] for r in responses[a : a + block]) for f in range(byte_network.FILTERS)] for a in range(0, len(responses), block)]
+    chunks = [[max(a, b) for a, b in zip(x, y, strict=True)] for x, y in itertools.pairwise(blocks)] if len(blocks) > 1 else blocks
+    chunks = [[max(0.0, x + float(b)) for x, b in zip(c, p["bias"], strict=True)] for c in chunks]
+    columns = list(zip(*chunks, strict=True))
+    features = [sum(c) / len(c) for c in columns] + [max(c) for c in columns]
+    logit = sum(x * float(h) for x, h in zip(features, p["head"], strict=True)) + float(p["shift"][0])
+    return 1 / (1 + math.exp(-logit))
+
+
+@pytest.mark.parametrize("text", [b"", b"a", b"some words of a text", b"x" * 255, b"ab cd " * 120, bytes(range(256)) * 3])
+def test_network_forward_pass(text):
+    network = byte_network.Network()
+    network.fitted = True
+    network.p["head"] = network.p["head"] * 20
+    assert abs(network.probability(text) - plain_probability(network, text)) < 1e-4
+
+
+def labelled_texts(n, length=40):
+    """Good texts of words, bad ones of marks among them."""
+    chosen = random.Random(12)
+    for i in range(n):
+        words = sentence(i, chosen.randrange(5, length)).split()
+        if i % 3 == 0:
+            words = [w + chosen.choice(["##", "$|", "%%"]) if chosen.random() < 0.5 else w for w in words]
+        yield i, " ".join(words), int(i % 3 != 0)
+
+
+def test_network_on_held_out_texts_and_labels_beyond_the_table(spark):
+    rows = list(labelled_texts(500))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows if i < 350], "doc_id long, quality int")
+    network = byte_network.fit(docs, labels)
+    scores = {r["doc_id"]: r["score"] for r in byte_network.score(docs, network).collect()}
+    right = [(scores[i] >= 0.5) == (q == 1) for i, _, q in rows if i >= 350]
+    assert sum(right) / len(right) > 0.9
+    # Labels of rows that are not there change nothing.
+    others = spark.range(10_000, 60_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"))
+    again = byte_network.fit(docs, labels.unionByName(others))
+    assert again.prior == network.prior and all((again.p[k] == network.p[k]).all() for k in network.p)
+
+
+def test_network_learns_from_long_texts_only(spark):
+    rows = [(i, (t + " ") * (byte_network.FIT_BYTES * 2 // len(t)), q) for i, t, q in labelled_texts(24)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    network = byte_network.fit(docs, spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int"))
+    assert network.fitted
+    text = "".join(chr(97 + i % 26) for i in range(1000))
+    cut = docs.limit(1).select(byte_network.excerpt(F.lit(text).cast("binary"), 100, 5).alias("e")).first()["e"]
+    assert cut.decode() == "".join(text[a : a + 20] for a in (0, 245, 490, 735, 980))
+
+
 def test_licenses_of_odd_rows(odd, empty):
     rows = {(r["doc_id"], r["n_words"]): r for r in licenses.scan(odd).collect()}
     assert licenses.scan(odd).count() == odd.count() and licenses.scan(empty).count() == 0

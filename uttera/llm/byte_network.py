@@ -2,23 +2,27 @@
 
 Bytes are embedded, learned filters slide over them with a stride, each filter's maximum is taken per overlapping chunk,
 and the chunks' mean and greatest maxima give one probability. The chunks cover the whole text. It is fitted on
-``PER_CLASS`` labelled texts of each class at most, of up to ``FIT_BYTES`` bytes each; scoring reads whole texts of any
-length, ``PIECE`` bytes at a time.
-
-Defined results. Null and empty texts score as a text of no bytes. If either class has no labelled text, every score is
-the share of good labels, or one half without any. Rows keep their columns; results replace columns of their names.
+``PER_CLASS`` labelled texts of each class at most; of one longer than ``FIT_BYTES`` bytes it sees ``SEGMENTS`` equal
+segments that are spread evenly from its beginning to its end, ``FIT_BYTES`` in all. Scoring reads whole texts of any length,
+``PIECE`` bytes at a time.
+
+Defined results. Null and empty texts score as a text of no bytes. Labels of rows that are not in the table, and labels
+other than 0 and 1, count for nothing. Of several texts with one id the smallest is fitted. If either class has no labelled
+text, every score is the share of good labels, or one half without any. Rows keep their columns; results replace columns of
+their names.
 """
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uttera.llm.common import over_texts
+from uttera.session import materialize
 
 EMBEDDING, WIDTH, STRIDE, FILTERS = 4, 8, 2, 16
 #: Windows per block; a chunk is two neighbouring blocks, so chunks overlap by half.
 BLOCK = 128
-PER_CLASS, FIT_BYTES = 1000, 1 << 15
+PER_CLASS, FIT_BYTES, SEGMENTS = 1000, 1 << 16, 16
 PIECE = 1 << 18
 EPOCHS, MINIBATCH, RATE = 10, 32, 0.01
 _SPAN = BLOCK * STRIDE
@@ -52,11 +56,13 @@ class Network:
         best = responses.argmax(axis=1)
         return np.take_along_axis(responses, best[:, None], 1)[:, 0], best
 
+    def scan(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per block, however long the text: a piece at a time is spread out."""
+        found = [self.blocks(codes[a : a + PIECE + WIDTH]) for a in range(0, len(codes) - WIDTH, PIECE)]
+        return tuple(map(np.concatenate, zip(*found, strict=True)))
+
     def maxima(self, text: bytes) -> np.ndarray:
-        """Per block, however long the text."""
-        codes = np.frombuffer(padded(text), np.uint8)
-        starts = range(0, len(codes) - WIDTH, PIECE)
-        return np.concatenate([self.blocks(codes[a : a + PIECE + WIDTH])[0] for a in starts])
+        return self.scan(np.frombuffer(padded(text), np.uint8))[0]
 
     def pooled(self, maxima: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Chunks and the two pooled vectors, joined."""
@@ -73,7 +79,7 @@ class Network:
 
     def gradients(self, text: bytes, label: float) -> tuple[dict[str, np.ndarray], float]:
         codes = np.frombuffer(padded(text), np.uint8)
-        maxima, windows = self.blocks(codes)
+        maxima, windows = self.scan(codes)
         chunks, features = self.pooled(maxima)
         probability = 1 / (1 + np.exp(-np.clip(features @ self.p["head"] + self.p["shift"][0], -30, 30)))
         slope = np.float32(probability - label)
@@ -132,13 +138,22 @@ class Network:
         return self
 
 
+def excerpt(text: Column, most: int = FIT_BYTES, segments: int = SEGMENTS) -> Column:
+    """The bytes of a text, or of a longer one evenly spaced segments over its whole length."""
+    size = most // segments
+    step = (F.length(text) - size) / (segments - 1)
+    parts = [text.substr((F.floor(i * step) + 1).cast("int"), F.lit(size)) for i in range(segments)]
+    return F.when(F.length(text) <= most, text).otherwise(F.concat(*parts))
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Network:
-    """From up to ``PER_CLASS`` rows of each label, 0 and 1, with the smallest hashes of their keys.
+    """From up to ``PER_CLASS`` texts of each label, 0 and 1, with the smallest hashes of their keys.
 
-    The rows are drawn from the labels alone, so that no more texts are moved than are fitted.
+    The texts are drawn by key from those that have a label, so that no more are moved than are fitted.
     """
     known = labels.select(F.col(key).alias("key"), F.col(label).alias("label")).filter("key is not null and label in (0, 1)").distinct()
-    sizes = dict(known.groupBy("label").count().collect())
+    present = materialize(known.join(docs.select(F.col(key).alias("key")), "key", "left_semi"), "labelled")
+    sizes = dict(present.groupBy("label").count().collect())
     network = Network()
     network.prior = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5
     if len(sizes) < 2:
@@ -146,12 +161,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 20))
     shares = F.create_map(*[F.lit(x) for value, n in sizes.items() for x in (value, int(min(1.0, 2 * PER_CLASS / n) * (1 << 20)))])
     # About twice as many as needed, and no more at any size of the labels.
-    drawn = known.filter(place < shares[F.col("label")])
-    read = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")).filter(F.length("text") <= FIT_BYTES)
-    found = read.join(F.broadcast(drawn), "key")
+    drawn = present.filter(place < shares[F.col("label")])
+    read = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    found = read.join(F.broadcast(drawn), "key").withColumn("text", excerpt(F.col("text")))
+    found = materialize(found.groupBy("key", "label").agg(F.min("text").alias("text")), "fitted")
     texts, marks = [], []
     for value in sorted(sizes):
-        rows = found.filter(F.col("label") == value).orderBy(F.xxhash64("key"), "text").limit(PER_CLASS).select("text").collect()
+        rows = found.filter(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(PER_CLASS).select("text").collect()
         texts += [bytes(row[0]) for row in rows]
         marks += [float(value)] * len(rows)
     return network.fit(texts, np.array(marks)) if len(set(marks)) == 2 else network
