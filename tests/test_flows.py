@@ -18,7 +18,7 @@ from uttera.operators.shards import assign_shards
 from uttera.plans.curation import Curation, Model, curate_corpus
 from uttera.plans.training import training_set
 from uttera.schemas import PROCESSED, RAW_UTTERANCE
-from uttera.session import shared_dir
+from uttera.session import materialize, shared_dir
 from uttera.sources.corpus import read_corpus, stream_corpus
 from uttera.sources.progress import load_progress
 from uttera.sources.shards import read_processed, write_shards
@@ -299,11 +299,16 @@ def test_command_line(spark, tmp_path, capsys):
 
     df = raw(spark)
     curate(spark, df, out)
+    (next((tmp_path / "out").rglob("*.parquet")).parent / "bad.parquet").write_text("broken")
     main(["presets", "--processed", out, "--out", str(tmp_path / "presets"), "--top", "2"], spark)
-    assert "speakerID" in capsys.readouterr().out
+    said = capsys.readouterr().out
+    assert "speakerID" in said and "skipped" in said and "bad.parquet" in said
     main(["training-set", "--processed", out, "--out", str(tmp_path / "set")], spark)
     made = sum(spark.read.parquet(str(tmp_path / "set" / part)).count() for part in ("train", "eval"))
     assert made == read_processed(spark, out).count() > 0
+    first = str(tmp_path / "set" / "vocabulary")
+    main(["training-set", "--processed", out, "--out", str(tmp_path / "more"), "--vocabulary", first], spark)
+    assert sorted(spark.read.parquet(first).collect()) == sorted(spark.read.parquet(str(tmp_path / "more" / "vocabulary")).collect())
     requests = spark.createDataFrame([(1, "hi", "s1", None), (2, "hi", "nobody", None)],
                                      "request_id int, text string, speaker string, ref_embedding array<float>")
     requests.write.parquet(str(tmp_path / "requests"))
@@ -314,6 +319,37 @@ def test_command_line(spark, tmp_path, capsys):
     spark.createDataFrame([("<|s_3|>",), ("x",)], "generated string").write.parquet(str(tmp_path / "generated"))
     main(["parse", "--generated", str(tmp_path / "generated"), "--out", str(tmp_path / "parsed")], spark)
     assert {r.error for r in spark.read.parquet(str(tmp_path / "parsed")).collect()} == {None, "no speech tokens"}
+    outputs = [("x", [[0.0, 1.0], [1.0, 0.0]], [-100, 1], 0.0), ("y", [[1.0, 0.0], [1.0, 0.0]], [-100, 1], 0.0)]
+    spark.createDataFrame(outputs, "kind string, logits array<array<double>>, labels array<int>, loss double").write.parquet(str(tmp_path / "outputs"))
+    main(["evaluate", "--outputs", str(tmp_path / "outputs"), "--out", str(tmp_path / "report"), "--by", "kind"], spark)
+    assert {r.kind: r.audio_token_accuracy for r in spark.read.parquet(str(tmp_path / "report")).collect()} == {"x": 1.0, "y": 0.0}
+
+
+def test_vocabularies_grow_at_their_end(spark):
+    def words(*texts):
+        return spark.createDataFrame([(t,) for t in texts], "text string")
+
+    first = {r.word: r.word_id for r in E.vocabulary(words("a b c", "c d")).collect()}
+    known = materialize(E.vocabulary(words("a b c", "c d")), "known")
+    grown = {r.word: r.word_id for r in E.vocabulary(words("e a", "0 f e", None, ""), known=known).collect()}
+    assert {w: grown[w] for w in first} == first and grown.keys() == set("abcdef0")
+    assert sorted(grown.values()) == list(range(E.Markers().first_word, E.Markers().first_word + 7))
+    assert {r.word: r.word_id for r in E.vocabulary(words("a"), known=known.limit(0)).collect()} == {"a": E.Markers().first_word}
+
+
+def test_a_training_flow_stores_its_rows_once(spark):
+    from uttera.plans.training import padded_batches, training_set
+    from uttera.session import STORED
+
+    rows = [(f"id{i % 5}", f"w{i} w{i % 3}", [i, i + 1]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, text string, speech_tokens array<int>").repartition(4)
+    vocab = materialize(E.vocabulary(df), "vocabulary")
+    before = len(STORED)
+    made = training_set(df, vocab, eval_ratio=0.1)
+    batches = padded_batches(made, 4)
+    assert [name.rsplit("/", 1)[1].split("-")[0] for name in STORED[before:]] == ["rows"]
+    assert [made.train.count(), made.evaluation.count()] == [36, 4] and {r.split: r.rows for r in made.sizes.collect()} == {"train": 36, "test": 4}
+    assert sorted(len(b.input_ids) for b in batches[0].collect()) == [14] * 36 and batches[1].select("batch_id").distinct().count() == 1
 
 
 def test_examples_of_repeated_ids_keep_their_own_words(spark):

@@ -152,3 +152,27 @@ def test_perplexity(spark):
 def test_argmax_pred_ties_go_to_the_lowest_token(spark):
     df = spark.createDataFrame([(1, 4, 0.5), (1, 2, 0.5), (1, 3, 0.1)], "pos int, token int, logit double")
     assert [tuple(r) for r in E.argmax_pred(df, ["pos"]).collect()] == [(1, 2)]
+
+
+@pytest.mark.parametrize("frames_per_bucket", [3, 16, 1000])
+def test_recordings_over_several_rows(spark, frames_per_bucket):
+    """Frames and gaps of recordings cut anywhere are those of the whole."""
+    draw = np.random.default_rng(9)
+    wholes = {}
+    for name, n in (("a", 700), ("b", 64), ("c", 1), ("long", 5000), (None, 130)):
+        loud = np.repeat(draw.integers(0, 2, n // 40 + 1), 40)[:n]
+        wholes[name] = (loud * draw.integers(-9, 10, n)).astype(float)
+    rows = []
+    for name, samples in wholes.items():
+        cuts = [0, *sorted(draw.choice(np.arange(1, len(samples)), min(len(samples) - 1, 12), replace=False).tolist()), len(samples)]
+        rows += [(name, int(a), samples[a:b].tolist()) for a, b in zip(cuts[:-1], cuts[1:])]
+    rows += [("a", 700, []), ("none", 0, None)]
+    df = spark.createDataFrame(rows, "id string, first long, samples array<double>").repartition(5)
+    frames = Q.piece_frames(df, "id", F.col("first"), F.col("samples"), 8, 2, frames_per_bucket)
+    got = {(r.id, r.frame): (r.energy, r.peak, r.start, r.end) for r in frames.collect()}
+    whole = spark.createDataFrame([(n, s.tolist()) for n, s in wholes.items()], "id string, samples array<double>")
+    want = Q.frame_energy(whole, "id", F.col("samples"), 8, 2)
+    assert got == {(r.id, r.frame): (r.energy, r.peak, r.start, r.end) for r in want.collect()}
+    gaps = [{r.id: r.gaps for r in Q.frame_gaps(f, "id", 10, 4.0, 400).collect()} for f in (frames, want)]
+    assert gaps[0] == gaps[1] and sum(gaps[0].values()) > 3
+    assert Q.piece_frames(df.limit(0), "id", F.col("first"), F.col("samples"), 8, 2).count() == 0

@@ -6,19 +6,20 @@ Models are named as ``module:attribute``, each a ``plans.curation.Model``.
 import argparse
 from importlib import import_module
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from uttera import settings as S
 from uttera.operators import examples, presets
 from uttera.operators.shards import samples, shard_sizes
 from uttera.plans.curation import Curation, curate_corpus
+from uttera.plans.evaluation import evaluation_report
 from uttera.plans.synthesis import parse_generated, prepare_requests
 from uttera.plans.training import padded_batches, training_set
 from uttera.schemas import Columns
 from uttera.session import CONF, discard_stored, materialize, work_path
 from uttera.sources.manifest import open_corpus
 from uttera.sources.presets import read_presets, write_presets
-from uttera.sources.shards import read_processed
+from uttera.sources.shards import read_processed, skipped_files
 
 
 def named(name: str):
@@ -70,14 +71,22 @@ def curate(spark: SparkSession, args: argparse.Namespace) -> None:
         samples(run.shards, config_order=configs).show(truncate=False)
 
 
+def processed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The shards, and a line for each file that cannot be read or is empty: they are passed over."""
+    for row in skipped_files(spark, path).toLocalIterator():
+        print(f"skipped {row['path']}")
+    return read_processed(spark, path)
+
+
 def build_presets(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_presets(presets.speaker_presets(read_processed(spark, args.processed)), args.out)
+    write_presets(presets.speaker_presets(processed_rows(spark, args.processed)), args.out)
     presets.top_speakers(read_presets(spark, args.out).select("speakerID", "n"), args.top).show(args.top, truncate=False)
 
 
 def build_training_set(spark: SparkSession, args: argparse.Namespace) -> None:
-    processed = read_processed(spark, args.processed)
-    vocab = materialize(examples.vocabulary(processed), "vocabulary")
+    processed = processed_rows(spark, args.processed)
+    known = spark.read.parquet(args.vocabulary) if args.vocabulary else None
+    vocab = materialize(examples.vocabulary(processed, known=known), "vocabulary")
     made = training_set(processed, vocab, max_seq_len=args.max_seq_len, eval_ratio=args.eval_ratio, seed=args.seed)
     vocab.write.mode("overwrite").parquet(f"{args.out}/vocabulary")
     made.train.write.mode("overwrite").parquet(f"{args.out}/train")
@@ -97,6 +106,12 @@ def parse(spark: SparkSession, args: argparse.Namespace) -> None:
     parse_generated(spark.read.parquet(args.generated)).write.mode("overwrite").parquet(args.out)
 
 
+def evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
+    report = evaluation_report(spark.read.parquet(args.outputs), by=tuple(args.by))
+    report.write.mode("overwrite").parquet(args.out)
+    spark.read.parquet(args.out).show(truncate=False)
+
+
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="uttera")
     parser.add_argument("--shuffle-partitions", type=int, default=None, help="partitions a shuffle starts from; AQE merges them")
@@ -137,6 +152,7 @@ def arguments() -> argparse.ArgumentParser:
     p.add_argument("--top", type=int, default=20)
 
     t = flow("training-set", build_training_set, "processed")
+    t.add_argument("--vocabulary", default=None, help="an earlier run's vocabulary, whose ids are kept")
     t.add_argument("--max-seq-len", type=int, default=S.MAX_SEQ_LEN)
     t.add_argument("--eval-ratio", type=float, default=S.EVAL_RATIO)
     t.add_argument("--batch-rows", type=int, default=None, help="also write padded batches of so many rows")
@@ -144,6 +160,8 @@ def arguments() -> argparse.ArgumentParser:
 
     flow("prompts", prompts, "requests", "presets")
     flow("parse", parse, "generated")
+    e = flow("evaluate", evaluate, "outputs")
+    e.add_argument("--by", action="append", default=[], help="a column to report by; may be repeated")
     return parser
 
 

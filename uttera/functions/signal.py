@@ -29,6 +29,32 @@ def frame_powers(samples, frame_length: int, hop: int) -> np.ndarray:
     return sum(energy[k : k + hops] for k in range(2 * reach)) / frame_length
 
 
+def hop_energies(samples, start: int, hop: int) -> np.ndarray:
+    """Sums of squares per hop of a piece that begins at sample ``start`` of its recording; the outer hops may be partial."""
+    signal = np.square(np.asarray(samples, dtype=np.float64))
+    if signal.size == 0:
+        return signal
+    lead = start % hop
+    padded = np.zeros(-(-(lead + signal.size) // hop) * hop)
+    padded[lead : lead + signal.size] = signal
+    return padded.reshape(-1, hop).sum(axis=1)
+
+
+def frames_of_hops(parts: list, first: int, frames: int, frame_length: int, hop: int) -> np.ndarray:
+    """Powers of ``frames`` frames from number ``first`` on: ``parts`` are (first hop, energies), which add up.
+
+    A frame reaches half its length to both sides, so the hops beside the stretch must be among them.
+    """
+    reach = frame_length // (2 * hop)
+    energy = np.zeros(frames + 2 * reach)
+    for begin, energies in parts:
+        at = begin - first + reach
+        low, high = max(at, 0), min(at + len(energies), len(energy))
+        if low < high:
+            energy[low:high] += np.asarray(energies)[low - at : high - at]
+    return sum(energy[k : k + frames] for k in range(2 * reach)) / frame_length
+
+
 def silences(powers: np.ndarray, rate: int, hop: int, top_db: float, min_silence_ms: int) -> int:
     """Silences of at least ``min_silence_ms`` between loud stretches."""
     if powers.size == 0:
@@ -85,3 +111,27 @@ def count_gaps(
         return pd.Series(counted, dtype="int32")
 
     return once(gaps)(samples, F.coalesce(sampling_rate, F.lit(0)))
+
+
+def piece_energies(samples: Column, start: Column, hop: int = S.HOP_LENGTH) -> Column:
+    """``hop_energies`` as ``array<double>``; empty without samples."""
+
+    @pandas_udf("array<double>")
+    def energies(batch: pd.Series, starts: pd.Series) -> pd.Series:
+        return pd.Series([hop_energies([] if s is None else s, int(a), hop) for s, a in zip(batch, starts)])
+
+    return once(energies)(samples, start)
+
+
+def joined_frames(parts: Column, first: Column, frames: Column, frame_length: int = S.FRAME_LENGTH, hop: int = S.HOP_LENGTH) -> Column:
+    """``frames_of_hops`` as ``array<double>``; ``parts`` is an array of (begin, energies)."""
+    check_frames(frame_length, hop)
+
+    @pandas_udf("array<double>")
+    def powers(batch: pd.Series, firsts: pd.Series, counts: pd.Series) -> pd.Series:
+        return pd.Series([
+            frames_of_hops([(p["begin"], p["energies"]) for p in ([] if ps is None else ps)], int(a), int(n), frame_length, hop)
+            for ps, a, n in zip(batch, firsts, counts)
+        ])
+
+    return once(powers)(parts, first, frames)

@@ -7,6 +7,7 @@ from uttera import settings as S
 from uttera.functions import signal
 from uttera.functions import text as T
 from uttera.operators.lookup import lookup_join
+from uttera.session import materialize
 
 
 def frame_energy(
@@ -24,6 +25,51 @@ def frame_energy(
     return frames.withColumn("start", F.col("frame") * hop).withColumn("end", (F.col("frame") + 1) * hop)
 
 
+def piece_frames(
+    df: DataFrame,
+    utterance: str,
+    start: Column,
+    samples: Column,
+    frame_length: int = S.FRAME_LENGTH,
+    hop: int = S.HOP_LENGTH,
+    frames_per_bucket: int = S.BUCKET_ROWS,
+) -> DataFrame:
+    """``frame_energy`` of recordings that lie in several rows, each with the number of its first sample, ``start``.
+
+    A frame at a piece's edge needs its neighbour's samples. Squares are summed per hop where the samples are; what is
+    exchanged are hops. Each piece sends its hops to the buckets of frames that they reach, beyond the bucket's edge by half a
+    frame, and a bucket adds up what it gets; so neither a recording nor its longest piece must fit into one task.
+    Pieces may come in any order and size and must not overlap; samples between them that no row holds are zero. Rows
+    without samples hold none.
+    """
+    reach = frame_length // (2 * hop)
+    pieces = df.select(F.struct(F.col(utterance).alias("utterance")).alias("_key"), start.cast("bigint").alias("_at"), samples.alias("_samples"))
+    pieces = pieces.where(F.size("_samples") > 0)
+    first = F.floor(F.col("_at") / hop)
+    cut = pieces.select("_key", first.alias("begin"), (F.col("_at") + F.size("_samples")).alias("_end"), signal.piece_energies(F.col("_samples"), F.col("_at"), hop).alias("energies"))
+    # Hops in place of samples are stored: far smaller, and read twice.
+    cut = materialize(cut, "hops")
+    low, high = F.col("begin") - reach, F.col("begin") + F.size("energies") - 1 + reach
+    buckets = F.sequence(F.greatest(F.floor(low / frames_per_bucket), F.lit(0)), F.floor(high / frames_per_bucket))
+    sent = cut.select("_key", "begin", "energies", F.explode(buckets).alias("_bucket"))
+    # A long piece gives each bucket only the hops that reach it.
+    skip = F.greatest(F.col("_bucket") * frames_per_bucket - reach - F.col("begin"), F.lit(0)).cast("int")
+    part = F.slice("energies", skip + 1, F.lit(frames_per_bucket + 2 * reach))
+    sent = sent.select("_key", "_bucket", F.struct((F.col("begin") + skip).alias("begin"), part.alias("energies")).alias("_part"))
+    parts = sent.groupBy("_key", "_bucket").agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+
+    frames = cut.groupBy("_key").agg((F.floor(F.max("_end") / hop) + 1).alias("_frames"))
+    every = frames.select("_key", "_frames", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_frames") - 1) / frames_per_bucket))).alias("_bucket"))
+    begun = F.col("_bucket") * frames_per_bucket
+    here = F.least(F.col("_frames") - begun, F.lit(frames_per_bucket))
+    powers = every.join(parts, ["_key", "_bucket"], "left").select("_key", begun.alias("_first"), signal.joined_frames(F.col("_parts"), begun, here, frame_length, hop).alias("_powers"))
+    powers = materialize(powers, "powers")
+    peaks = materialize(powers.groupBy("_key").agg(F.max(F.array_max("_powers")).alias("peak")), "peaks")
+    peaked = lookup_join(powers, peaks, "_key").select(F.col("_key.utterance").alias(utterance), "peak", "_first", F.posexplode("_powers").alias("_place", "energy"))
+    numbered = peaked.select(utterance, "peak", (F.col("_first") + F.col("_place")).cast("int").alias("frame"), "energy")
+    return numbered.withColumn("start", F.col("frame") * hop).withColumn("end", (F.col("frame") + 1) * hop)
+
+
 def signal_gaps(
     df: DataFrame,
     samples: Column,

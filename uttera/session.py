@@ -100,9 +100,11 @@ def with_row_id(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hand the rows of an input with fewer splits than the session has cores out to all of them, by a unique key.
+    """Hand the rows of a small input with fewer files than the session has cores out to all of them, by a unique key.
 
-    A large input has splits enough and is left as it is.
+    A file of one row group is read by one task, whatever its splits. Small is what has few splits for each core; a large
+    input is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    small = len(df.inputFiles()) < cores and df.rdd.getNumPartitions() < 4 * cores
+    return df.repartition(cores, key) if small else df

@@ -1,5 +1,6 @@
 """Shards of processed rows."""
 
+import logging
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from uttera.schemas import PROCESSED
 from uttera.session import folder_names, materialize
 from uttera.sources.progress import is_absent
 
+LOG = logging.getLogger(__name__)
 SHARD_KEYS = ("config", "worker", "shard")
 #: Folder of a run of shards.
 FOLDER = "shards"
@@ -73,6 +75,7 @@ def read_processed(
         except AnalysisException as failure:
             if not (skip_bad and is_absent(failure)):
                 raise
+            LOG.warning("no processed data at %s: skipped", path)
     if not parts:
         raise RuntimeError(f"no processed data could be read from {listed}")
     return reduce(DataFrame.unionByName, [part.select([f.name for f in fields]) for part in parts])
