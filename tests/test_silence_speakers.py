@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from uttera.functions import signal
+from uttera.functions.sums import exact_mean, exact_sum
 from uttera.operators import evaluate as E
 from uttera.operators import presets as P
 from uttera.operators import silence as Q
@@ -176,3 +177,26 @@ def test_recordings_over_several_rows(spark, frames_per_bucket):
     gaps = [{r.id: r.gaps for r in Q.frame_gaps(f, "id", 10, 4.0, 400).collect()} for f in (frames, want)]
     assert gaps[0] == gaps[1] and sum(gaps[0].values()) > 3
     assert Q.piece_frames(df.limit(0), "id", F.col("first"), F.col("samples"), 8, 2).count() == 0
+
+
+def test_means_do_not_depend_on_partitions(spark):
+    draw = np.random.default_rng(11)
+    rows = [(str(i % 3), (draw.normal(size=5) * 10.0 ** draw.integers(-6, 3)).astype(np.float32).tolist(), float(draw.normal() * 3)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "speakerID string, global_embedding array<float>, loss double")
+    seen, losses = set(), set()
+    for n in (1, 7, 200):
+        parts = df.repartition(n)
+        seen.add(tuple(sorted((r.speakerID, *r.mean) for r in P.exact_means(parts).collect())))
+        losses.add(E.perplexity(parts).first()[0])
+    assert len(seen) == 1 and len(losses) == 1
+    for speaker, *mean in seen.pop():
+        want = np.array([v for s, v, _ in rows if s == speaker], np.float64).mean(axis=0)
+        assert mean == pytest.approx(want.tolist(), rel=1e-9, abs=1e-12)
+
+
+@pytest.mark.parametrize("terms", [[], [None], [0.1] * 10, [1e300, 1.0], [float("nan"), 1.0], [float("inf"), 1.0], [-0.3, None, 2.0**21, -1e-9], [5e6, 0.5]])
+def test_exact_sums_of_odd_terms(spark, terms):
+    got = spark.createDataFrame([(t,) for t in terms], "x double").agg(exact_sum(F.col("x")), exact_mean(F.col("x"))).first()
+    real = [t for t in terms if t is not None]
+    want = (sum(real), sum(real) / len(real)) if real else (None, None)
+    assert tuple(got) == (want if not real else pytest.approx(want, rel=1e-12, nan_ok=True))

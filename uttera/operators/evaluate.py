@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uttera import settings as S
+from uttera.functions.sums import exact_mean
 
 
 def argmax_pred(logits: DataFrame, keys: list[str], token: str = "token", logit: str = "logit") -> DataFrame:
@@ -35,5 +36,5 @@ def token_accuracy(
 
 
 def perplexity(losses: DataFrame, loss: str = "loss", by: tuple[str, ...] = ()) -> DataFrame:
-    """exp of the mean loss; infinite on overflow, null without a loss."""
-    return losses.groupBy(*by).agg(F.exp(F.avg(loss)).alias("eval_perplexity"))
+    """exp of the mean loss, which no partitioning changes; infinite on overflow, null without a loss."""
+    return losses.groupBy(*by).agg(F.exp(exact_mean(F.col(loss))).alias("eval_perplexity"))

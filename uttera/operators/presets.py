@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from uttera import settings as S
 from uttera.functions import arrays as A
+from uttera.functions.sums import exact_mean
 from uttera.operators.lookup import lookup_join
 
 
@@ -36,9 +37,23 @@ def presets_from_means(means: DataFrame, speaker: str = "speakerID") -> DataFram
     )
 
 
+def exact_means(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:
+    """``vector_means`` of a table, whose bits do not depend on how its rows are partitioned.
+
+    One pass finds the vectors' length, which must be the same for all; then each task keeps two whole numbers per speaker
+    and component, and no vector is exploded.
+    """
+    used = usable_vectors(df, speaker, vector)
+    shortest, width = used.agg(F.min(F.size(vector)), F.max(F.size(vector))).first()
+    if shortest != width:
+        raise ValueError("vectors of different lengths have no mean")
+    means = [exact_mean(F.col(vector)[i]) for i in range(width or 0)]
+    return used.groupBy(speaker).agg(F.array(*means).cast("array<double>").alias("mean"), F.count(F.lit(1)).alias("n"))
+
+
 def speaker_presets(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:
     """L2-normalised mean vector per speaker and how many vectors went into it."""
-    return presets_from_means(vector_means(df, speaker, vector), speaker)
+    return presets_from_means(exact_means(df, speaker, vector), speaker)
 
 
 def speaker_counts(df: DataFrame, speaker: str = "speakerID", vector: str = "global_embedding") -> DataFrame:
