@@ -413,6 +413,44 @@ def test_mixing_meets_its_targets(spark):
     assert all(0 <= r["weight"] <= r["tokens"] for r in raked)
 
 
+def test_reputations_equal_plain_shrinkage(spark):
+    chosen = random.Random(21)
+    hosts = {f"{h}.{d}": (h, d) for d in ("a.com", "b.com", "c.co.uk", "d.co.uk", "e.org", "10.0.0.1") for h in ("x", "y:8080", "z")}
+    rates = {h: chosen.choice([0.02, 0.1, 0.7]) for h in hosts}
+    rows = [(h, int(chosen.random() < rates[h])) for h in hosts for _ in range(chosen.randrange(1, 60))] + [("new.b.com", None), ("solo", None), ("9.9.9.9", None)]
+    frame = reputation.with_levels(spark.createDataFrame(rows, "host string, bad int"))
+    levels = {r["host"]: (r["suffix"], r["domain"]) for r in frame.collect()}
+    assert levels["x.c.co.uk"] == ("co.uk", "c.co.uk") and levels["y:8080.a.com"] == ("com", "a.com")
+    assert levels["9.9.9.9"] == ("ip", "9.9.9.9") and levels["solo"] == ("solo", "solo")
+    counts = collections.defaultdict(lambda: [0, 0])
+    for host, bad in rows:
+        if bad is not None:
+            counts[host][0] += bad
+            counts[host][1] += 1
+
+    def totals(key):
+        out = collections.defaultdict(lambda: [0, 0])
+        for host in levels:
+            for k in (0, 1):
+                out[key(host)][k] += counts[host][k]
+        return out
+
+    def shrink(groups, prior):
+        excess = sum((b - n * prior[g]) ** 2 - n * prior[g] * (1 - prior[g]) for g, (b, n) in groups.items())
+        scale = sum(n * (n - 1) * prior[g] * (1 - prior[g]) for g, (_, n) in groups.items())
+        worth = min(200, max(1, scale / excess - 1)) if excess > 0 else 200
+        return {g: (b + worth * prior[g]) / (n + worth) for g, (b, n) in groups.items()}
+
+    whole = sum(b for b, _ in counts.values()) / sum(n for _, n in counts.values())
+    suffixes = totals(lambda h: levels[h][0])
+    by_suffix = shrink(suffixes, dict.fromkeys(suffixes, whole))
+    domains = totals(lambda h: levels[h])
+    by_domain = shrink(domains, {d: by_suffix[d[0]] for d in domains})
+    want = shrink(totals(lambda h: h), {h: by_domain[levels[h]] for h in levels})
+    got = {r["host"]: (r["mean"], r["bound"]) for r in reputation.reputations(frame).collect()}
+    assert got.keys() == want.keys() and all(abs(got[h][0] - want[h]) < 1e-9 and got[h][1] <= got[h][0] for h in want)
+
+
 def plain_targets(held, power, budget):
     """Shares of the budget; what a value does not hold goes to the others."""
     left, goals, total = dict(held), {}, budget * sum(held.values())

@@ -162,7 +162,14 @@ FROM read r LEFT JOIN found f ON r.rn = f.rn GROUP BY r.rn, r.doc_id, r.w
 
 
 def _reputation_sql() -> str:
-    s = reputation.STRENGTH
+    second = "|".join(reputation.SECOND_LEVELS)
+
+    def worth(groups: str) -> str:
+        chance = "n * prior * (1 - prior)"
+        found = f"sum((bad - n * prior) ** 2 - {chance}) / nullif(sum({chance} * (n - 1)), 0)"
+        return f"""(SELECT CASE WHEN r > 0 THEN least({reputation.MOST}, greatest({reputation.LEAST}, 1 / r - 1)) ELSE {reputation.MOST} END
+    FROM (SELECT {found} AS r FROM {groups}))"""
+
     ordered = sorted(RULES, key=lambda r: (-len(r[1]), r[1]))
 
     def choose(value: int) -> str:
@@ -176,18 +183,24 @@ def _reputation_sql() -> str:
 WITH placed AS (SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
     coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
-levels AS (SELECT *, CASE WHEN contains(host, '.') THEN regexp_extract(host, '([^.]*[.])?[^.]*$', 0) ELSE host END AS domain,
-    regexp_extract(host, '[^.]*$', 0) AS suffix FROM placed),
-hosts AS (SELECT suffix, domain, host, coalesce(sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END)
+named AS (SELECT *, regexp_replace(host, ':[0-9]*$', '') AS name FROM placed),
+levels AS (SELECT *, CASE WHEN regexp_full_match(name, '[0-9]+([.][0-9]+){{3}}') THEN name
+        WHEN regexp_matches(name, '[.]({second})[.][a-z][a-z]$') THEN regexp_extract(name, '([^.]*[.])?[^.]*[.][^.]*$', 0)
+        ELSE regexp_extract(name, '([^.]*[.])?[^.]*$', 0) END AS domain,
+    CASE WHEN regexp_full_match(name, '[0-9]+([.][0-9]+){{3}}') THEN '{reputation.ADDRESS}'
+        WHEN regexp_matches(name, '[.]({second})[.][a-z][a-z]$') THEN regexp_extract(name, '[^.]*[.][^.]*$', 0)
+        ELSE regexp_extract(name, '[^.]*$', 0) END AS suffix FROM named),
+hosts AS MATERIALIZED (SELECT suffix, domain, host, coalesce(sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END)
         FILTER (doc_id IS NOT NULL), 0)::DOUBLE AS bad, count(doc_id)::DOUBLE AS n
     FROM levels LEFT JOIN labels ON page_id = doc_id GROUP BY ALL),
-suffixes AS (SELECT suffix, (sum(bad) + {s} * coalesce((SELECT sum(bad) / nullif(sum(n), 0) FROM hosts), 0)) / (sum(n) + {s}) AS prior
-    FROM hosts GROUP BY suffix),
-domains AS (SELECT h.domain, (sum(bad) + {s} * any_value(prior)) / (sum(n) + {s}) AS prior
-    FROM hosts h JOIN suffixes x ON h.suffix = x.suffix GROUP BY h.domain),
-rated AS (SELECT host, (bad + {s} * prior) / (n + {s}) AS mean, n FROM hosts h JOIN domains d ON h.domain = d.domain)
+s1 AS MATERIALIZED (SELECT suffix, sum(bad) AS bad, sum(n) AS n, coalesce((SELECT sum(bad) / nullif(sum(n), 0) FROM hosts), 0) AS prior FROM hosts GROUP BY suffix),
+s2 AS MATERIALIZED (SELECT suffix, (bad + w * prior) / (n + w) AS prior FROM s1, (SELECT {worth('s1')} AS w)),
+d1 AS MATERIALIZED (SELECT h.suffix, domain, sum(bad) AS bad, sum(n) AS n, any_value(prior) AS prior FROM hosts h JOIN s2 USING (suffix) GROUP BY ALL),
+d2 AS MATERIALIZED (SELECT suffix, domain, (bad + w * prior) / (n + w) AS prior FROM d1, (SELECT {worth('d1')} AS w)),
+h1 AS MATERIALIZED (SELECT host, bad, n, prior FROM hosts h JOIN d2 USING (suffix, domain)),
+rated AS (SELECT host, (bad + w * prior) / (n + w) AS mean, n, w FROM h1, (SELECT {worth('h1')} AS w))
 SELECT page_id, l.host, path, {choose(1)} AS rule,
-    coalesce({choose(0)}, CASE WHEN mean - {reputation.Z} * sqrt(mean * (1 - mean) / (n + {s} + 1)) > {reputation.BLOCK_ABOVE}
+    coalesce({choose(0)}, CASE WHEN mean - {reputation.Z} * sqrt(mean * (1 - mean) / (n + w + 1)) > {reputation.BLOCK_ABOVE}
         THEN 'block' ELSE 'allow' END) AS verdict, round(mean, 6) AS bad_mean
 FROM levels l JOIN rated r ON l.host = r.host
 """.replace(" host = '", " l.host = '").replace("(host = '", "(l.host = '").replace("ends_with(host,", "ends_with(l.host,")
@@ -222,7 +235,8 @@ def _mixing_sql() -> str:
 WITH t AS (SELECT doc_id, source, lang, md5(coalesce(text, '')) AS mark, CASE WHEN contains(text, ' | ') THEN 'table'
     WHEN contains(text, 'License') OR contains(text, 'rights reserved') THEN 'licensed'
     WHEN contains(text, '@') OR contains(text, '<EMAIL>') OR contains(text, '<OBFUSCATED_EMAIL>') THEN 'contact' ELSE 'prose' END AS topic,
-    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n_tokens FROM documents),
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS n_tokens FROM documents),
 cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens FROM t GROUP BY ALL), {', '.join(steps)}
 SELECT doc_id, t.source, t.lang, t.topic, n_tokens, probability, ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')
     || ':' || mark || ':0'), 1, 8))::BIGINT / 4294967296.0 < probability AS sampled
