@@ -3,8 +3,7 @@
 Tokens are summed up per cell, a combination of the axes' values. Each value of an axis has a target; what a value cannot give,
 because it holds fewer tokens, is spread over the axis' other values beforehand. Cell weights are raked: per axis in turn a
 factor for each value is set so that the axis' sums meet their targets, where a cell never weighs more than the tokens it
-has. Cells are stored once; a step is one sum over them and rewrites the factors of one axis. ``reached`` tells how near the
-sums came.
+has. ``reached`` tells how near the sums came.
 
 A document is sampled with its cell's weight over its cell's tokens as probability, by a hash of its id and text, so the
 same row and seed give the same decision anywhere. Rows that repeat another's id and text draw by their place in the stored
@@ -72,35 +71,24 @@ def targets(cells: DataFrame, axis: str, power: float, budget: float) -> DataFra
     return materialize(axes.select(axis, "held", F.least(F.col("share") * level, "held").alias("goal")), "targets")
 
 
-def weighed(cells: DataFrame, factors: dict[str, DataFrame], budget: float) -> DataFrame:
-    """``cells`` with ``weight``: the budget's part of their tokens times their values' factors, at most the tokens."""
-    weight = F.lit(budget) * F.col("tokens")
-    for axis, table in factors.items():
-        own = table.select(F.col(axis).alias("_value"), F.col("factor").alias(f"_{axis}_factor"))
-        cells = cells.join(own, cells[axis].eqNullSafe(own["_value"])).drop("_value")
-        weight = weight * F.col(f"_{axis}_factor")
-    return cells.withColumn("weight", F.least(weight, F.col("tokens").cast("double"))).drop(*[f"_{axis}_factor" for axis in factors])
-
-
 def rake(cells: DataFrame, temperatures: dict[str, float] = TEMPERATURES, budget: float = BUDGET, sweeps: int = SWEEPS) -> DataFrame:
     """``cells`` (the axes, tokens), a stored table, with ``weight``: tokens to take.
 
-    Cells and factors stay tables throughout, so any axis may have any number of values. A sweep stores its factors.
+    ``raw`` is what the factors make of a cell; it weighs that or, if it has fewer, its tokens. A step sums up one axis,
+    joins the sums back and stores the cells, of which there are at most the product of the axes' numbers of values.
     """
-    goals = {axis: targets(cells, axis, power, budget) for axis, power in temperatures.items()}
-    factors = {axis: goal.select(axis, F.lit(1.0).alias("factor")) for axis, goal in goals.items()}
+    raked = cells.withColumn("raw", budget * F.col("tokens"))
+    for axis, power in temperatures.items():
+        goal = targets(cells, axis, power, budget).select(F.col(axis).alias("_value"), F.col("goal").alias(f"_{axis}_goal"))
+        raked = raked.join(goal, raked[axis].eqNullSafe(goal["_value"])).drop("_value")
+    raked = materialize(raked, "raked")
+    weight = F.least("raw", F.col("tokens").cast("double"))
     for _ in range(sweeps):
-        for axis, goal in goals.items():
-            held = weighed(cells, factors, budget).groupBy(F.col(axis).alias("_value")).agg(F.sum("weight").alias("_held"))
-            held = goal.join(held, goal[axis].eqNullSafe(F.col("_value"))).drop("_value")
-            before = factors[axis].withColumnRenamed(axis, "_value")
-            held = held.join(before, held[axis].eqNullSafe(before["_value"]))
-            factor = F.coalesce(F.col("factor") * F.try_divide(F.col("goal"), F.col("_held")), F.lit(0.0))
-            factors[axis] = held.select(axis, factor.alias("factor"))
-        rows = [table.withColumn("_axis", F.lit(axis)) for axis, table in factors.items()]
-        stored = materialize(reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), rows), "factors")
-        factors = {axis: stored.filter(F.col("_axis") == axis).select(axis, "factor") for axis in goals}
-    return weighed(cells, factors, budget)
+        for axis in temperatures:
+            held = raked.groupBy(F.col(axis).alias("_value")).agg(F.sum(weight).alias("_held"))
+            raw = F.when(F.col("_held") > 0, F.col("raw") * F.col(f"_{axis}_goal") / F.col("_held")).otherwise(0.0)
+            raked = materialize(raked.join(held, raked[axis].eqNullSafe(held["_value"])).withColumn("raw", raw).drop("_value", "_held"), "raked")
+    return raked.select(*temperatures, "tokens", weight.alias("weight"))
 
 
 def reached(raked: DataFrame, temperatures: dict[str, float] = TEMPERATURES, budget: float = BUDGET) -> DataFrame:
