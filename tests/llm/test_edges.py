@@ -304,6 +304,85 @@ def test_network_gradient_and_pieces():
     assert np.allclose(network.maxima(long), network.blocks(codes)[0], atol=1e-5)
 
 
+def test_forest_scores_are_plain_path_lengths():
+    """Every row walks every tree, node by node; and odd rows have short paths."""
+    import numpy as np
+
+    random_ = np.random.default_rng(3)
+    rows = np.vstack([random_.normal(0, 1, (300, 5)), random_.normal(9, 1, (6, 5)), np.zeros((20, 5))])
+    forest = quality_rules.Forest(rows)
+
+    def path(row, tree):
+        feature, cut, left, right, length = tree
+        at = 0
+        while feature[at] >= 0:
+            at = left[at] if row[feature[at]] < cut[at] else right[at]
+        return length[at]
+
+    size = min(quality_rules.DEPTH_ROWS, len(rows))
+    usual = 2 * sum(1 / i for i in range(1, size)) - 2 * (size - 1) / size
+    plain = [2 ** -(sum(path(r, t) for t in forest.trees) / len(forest.trees) / usual) for r in rows]
+    got = forest.score(rows)
+    assert np.allclose(got, plain, atol=2e-3)
+    assert got[300:306].min() > np.percentile(got[:300], 95)
+
+
+def test_forest_sample_holds_copies_in_proportion(spark, monkeypatch):
+    """A third of the rows are one text: it neither fills the sample nor is missing from it."""
+    import numpy as np
+
+    monkeypatch.setattr(quality_rules, "TREES", 2)
+    monkeypatch.setattr(quality_rules, "DEPTH_ROWS", 150)
+    samples = []
+    monkeypatch.setattr(quality_rules, "Forest", lambda sample: samples.append(sample))
+    rows = [(i, sentence(0, 77) if i % 3 == 0 else sentence(i, 20 + i % 40) + " #$" * (i % 13)) for i in range(3000)]
+    counted = quality_rules.with_statistics(spark.createDataFrame(rows, "doc_id long, text string")).drop("text").withColumn("bad", F.lit(False))
+    quality_rules.fit_forest(counted, "doc_id")
+    kinds, counts = np.unique(samples[0].round(9), axis=0, return_counts=True)
+    assert len(samples[0]) == 300 and 60 <= counts.max() <= 140 and len(kinds) > 50
+
+
+def plain_vectors(texts):
+    """TF-IDF of hashed byte trigrams, a dictionary per text."""
+    def fold(text):
+        return b" " + bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in text.encode()) + b" "
+
+    def slot(gram):
+        return (int.from_bytes(gram, "big") * 2654435761 % 2**32) >> 20
+
+    counts = []
+    for text in texts:
+        folded = fold(text)
+        counts.append(collections.Counter(slot(folded[i : i + 3]) for i in range(len(folded) - 2) if folded[i : i + 3] != b"   "))
+    df = collections.Counter(k for c in counts for k in c)
+    idf = {k: math.log((1 + len(texts)) / (1 + n)) + 0.1 for k, n in df.items()}
+    rows = [{k: math.log1p(n) * idf[k] for k, n in c.items()} for c in counts]
+    norms = [math.sqrt(sum(x * x for x in r.values())) for r in rows]
+    return [{k: x / n for k, x in r.items()} if n else r for r, n in zip(rows, norms, strict=True)]
+
+
+def test_language_is_the_nearest_centroid(spark):
+    """Vectors equal a plain TF-IDF, and the language predicted is that of the centroid with the greatest plain cosine."""
+    import numpy as np
+
+    stems = {"en": ("the", "ing", "tion", "and"), "fr": ("eau", "ment", "les", "que"), "de": ("sch", "ung", "der", "ich")}
+    chosen = random.Random(5)
+    rows = [(i, " ".join(chosen.choice(stems[lang]) + chosen.choice(stems[lang]) for _ in range(30)), lang) for i, lang in enumerate(list(stems) * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    plain = plain_vectors([t for _, t, _ in rows])
+    for (_, text, _), want in zip(rows, plain, strict=True):
+        got = language.vector(language.gram_counts(text.encode()), model.idf)
+        assert {int(k) for k in np.flatnonzero(got)} == {k for k, x in want.items() if x}
+        assert all(abs(got[k] - x) < 1e-4 for k, x in want.items())
+    found = {r["doc_id"]: r for r in language.identify(docs, model).collect()}
+    for (i, _, lang), want in zip(rows, plain, strict=True):
+        cosines = [sum(x * float(centre[k]) for k, x in want.items()) for centre in model.centres]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert found[i]["lang_pred"] == model.languages[best] == lang
+        assert abs(found[i]["score"] - cosines[best]) < 1e-3
+
+
 def plain_probability(network, text):
     """The forward pass window by window."""
     p, width, stride, block = network.p, byte_network.WIDTH, byte_network.STRIDE, byte_network.BLOCK

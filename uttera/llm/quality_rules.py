@@ -159,13 +159,17 @@ class Forest:
         return 2.0 ** (-paths / len(self.trees) / self.usual)
 
 
-def fit_forest(labelled: DataFrame) -> Forest | None:
-    """Grown from at most ``TREES * DEPTH_ROWS`` labelled rows, those with the smallest hashes of their counts and label."""
-    most, place = TREES * DEPTH_ROWS, F.xxhash64(*labelled.columns)
+def fit_forest(labelled: DataFrame, key: str) -> Forest | None:
+    """Grown from at most ``TREES * DEPTH_ROWS`` labelled rows, those with the smallest hashes of their keys.
+
+    Rows are drawn as such, whatever their counts: copies are in the sample in proportion, and never stand for all of it.
+    """
+    counts = [field.split()[0] for field in COUNTS.split(", ")]
+    most, place = TREES * DEPTH_ROWS, F.xxhash64(key)
     # By hash about twice as many as needed, then exactly as many: what reaches the driver does not grow with the labels.
     share = min(1.0, 2 * most / max(1, labelled.count()))
     drawn = labelled.filter(F.pmod(place, F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = drawn.orderBy(place, *labelled.columns).limit(most).drop("bad").toPandas()
+    rows = drawn.orderBy(place, *counts).limit(most).select(*counts).toPandas()
     return Forest(features(rows)) if len(rows) > 1 else None
 
 
@@ -195,8 +199,8 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Counts, ``base_failed``, ``anomaly`` and ``kept`` per row. ``labels``: key and ``quality`` (0 is bad)."""
     counted = materialize(with_statistics(docs.select(key, text), text).drop(text), "statistics")
     known = labels.filter("quality is not null").select(key, (F.col("quality") == 0).alias("bad"))
-    labelled = materialize(counted.join(known, key).drop(key), "labelled")
-    forest = fit_forest(labelled)
+    labelled = materialize(counted.join(known, key), "labelled")
+    forest = fit_forest(labelled, key)
     if forest is None:
         judged = counted.withColumn("anomaly", F.lit(0.0))
         cut = float("inf")
