@@ -492,8 +492,13 @@ def test_shards_that_share_a_folder_are_replaced_one_by_one(spark, tmp_path):
 def test_stored_folders_are_discarded(spark):
     from pathlib import Path
 
-    from uttera.session import STORED, discard, materialize
+    from uttera.session import STORED, discard, discard_since, materialize
 
+    mark = len(STORED)
+    kept = [materialize(spark.range(n), "stage") for n in (3, 4, 5)]
+    discard_since(spark, mark)
+    assert len(STORED) == mark + 1 and kept[-1].count() == 5
+    assert not any(Path(p.inputFiles()[0].removeprefix("file://")).exists() for p in kept[:-1])
     materialize(spark.range(3), "gone")
     path = STORED.pop()
     assert Path(path.removeprefix("file:")).exists()

@@ -87,6 +87,14 @@ def discard_stored(spark: SparkSession) -> None:
         discard(spark, STORED.pop())
 
 
+def discard_since(spark: SparkSession, mark: int) -> None:
+    """Delete what ``materialize`` stored after the first ``mark`` paths, but for the last: a stage's result stays."""
+    *done, last = STORED[mark:]
+    for path in done:
+        discard(spark, path)
+    STORED[mark:] = [last]
+
+
 ROW = "_row"
 
 
