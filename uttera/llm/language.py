@@ -10,6 +10,8 @@ learned, every text is. Ties go to the language that sorts first. Rows keep all
 columns of their names. Repeated rows each count.
 """
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -103,15 +105,16 @@ def limits(nearness: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Centroids:
     """Several unit vectors per language, and how near to them a text of some size must be."""
 
-    def __init__(self, samples: dict[str, np.ndarray], idf: np.ndarray):
+    def __init__(self, samples: Iterable[tuple[str, np.ndarray]], idf: np.ndarray):
+        """``samples``: a language and its texts' vectors at a time, of which only the centroids are kept."""
         self.idf, self.languages = idf.astype(np.float32), []
         centres, nearness, sizes = [], [], []
-        for language in sorted(samples):
-            own = np.vstack([cluster(samples[language], 1), cluster(samples[language], CLUSTERS)])
-            cosines = np.max(samples[language] @ own.T, axis=1)
+        for language, points in samples:
+            own = np.vstack([cluster(points, 1), cluster(points, CLUSTERS)])
+            cosines = np.max(points @ own.T, axis=1)
             centres.append(own)
             self.languages += [language] * len(own)
-            size = (samples[language] > 0).sum(axis=1)
+            size = (points > 0).sum(axis=1)
             nearness.append(cosines / np.sqrt(np.maximum(size, 1)))
             sizes.append(size)
         self.centres = np.concatenate(centres).astype(np.float32) if centres else np.zeros((0, len(idf)), np.float32)
@@ -138,7 +141,7 @@ def fit(docs: DataFrame, text: str = "text", language: str = "lang") -> Centroid
     texts = materialize(known.select("lang", F.xxhash64("text").alias("h"), place.alias("draw")).distinct().drop("h"), "texts")
     sizes = dict(texts.groupBy("lang").count().collect())
     if not sizes:
-        return Centroids({}, idf)
+        return Centroids([], idf)
 
     def share(sizes: dict[str, int]) -> Column:
         return F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, 2.0 * PER_LANGUAGE / n)])[F.col("lang")]
@@ -155,12 +158,14 @@ def fit(docs: DataFrame, text: str = "text", language: str = "lang") -> Centroid
 
     vectors = drawn.select("lang", "draw", over_texts(spark, batch, "v binary")(F.col("text")).alias("s")).select("lang", "draw", "s.v").distinct()
     vectors = materialize(vectors, "vectors")
-    samples = {}
-    for lang in sizes:
-        rows = vectors.filter(F.col("lang") == lang).orderBy("draw", "v").limit(PER_LANGUAGE).select("v").toPandas()
-        if len(rows):
-            samples[lang] = np.array([np.frombuffer(v, np.float32) for v in rows["v"]], float)
-    return Centroids(samples, idf)
+
+    def samples() -> Iterator[tuple[str, np.ndarray]]:
+        for lang in sorted(sizes):
+            rows = vectors.filter(F.col("lang") == lang).orderBy("draw", "v").limit(PER_LANGUAGE).select("v").toPandas()
+            if len(rows):
+                yield lang, np.array([np.frombuffer(v, np.float32) for v in rows["v"]], float)
+
+    return Centroids(samples(), idf)
 
 
 def identify(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame:
