@@ -234,8 +234,7 @@ def cut_recording_gaps(spark: SparkSession, sf: str) -> DataFrame:
     starts = F.sequence(F.lit(0), F.size("samples") - 1, F.lit(PIECE))
     pieces = whole.where(F.size("samples") > 0).select("doc_id", "samples", F.explode(starts).alias("start"))
     pieces = pieces.select("doc_id", "start", F.slice("samples", F.col("start") + 1, PIECE).alias("samples"))
-    frames = Q.piece_frames(pieces, "doc_id", F.col("start"), F.col("samples"), FRAME, HOP)
-    return Q.frame_gaps(frames, "doc_id", RATE, SIGNAL_DB, SILENCE_MS)
+    return Q.piece_gaps(pieces, "doc_id", F.col("start"), F.col("samples"), RATE, FRAME, HOP, SIGNAL_DB, SILENCE_MS)
 
 
 BATCH = 4

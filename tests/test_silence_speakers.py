@@ -179,6 +179,27 @@ def test_recordings_over_several_rows(spark, frames_per_bucket):
     assert Q.piece_frames(df.limit(0), "id", F.col("first"), F.col("samples"), 8, 2).count() == 0
 
 
+@pytest.mark.parametrize("frames_per_bucket", [1, 3, 16, 1000])
+def test_gaps_of_recordings_over_several_rows_need_no_frame_rows(spark, frames_per_bucket):
+    """Silent ends and buckets, holes between pieces, all-zero recordings and a null name, as counted frame by frame."""
+    draw = np.random.default_rng(13)
+    rows = []
+    for name in ("a", "b", "c", None):
+        loud = np.repeat(draw.integers(0, 2, 20), draw.integers(1, 60, 20))
+        samples = (loud * draw.integers(1, 9, len(loud))).astype(float)
+        rows += [(name, at, samples[at : at + 13].tolist()) for at in range(0, len(samples), 13)]
+    rows += [("zero", 0, [0.0] * 50), ("hole", 300, [9.0, 9.0]), ("hole", 3, [4.0] * 9), ("one", 0, [2.0]), ("none", 0, [])]
+    df = spark.createDataFrame(rows, "id string, first long, samples array<double>").repartition(3)
+    pieces = ("id", F.col("first"), F.col("samples"))
+    frames = Q.piece_frames(df, *pieces, 8, 2, frames_per_bucket)
+    want = {r.id: r.gaps for r in Q.frame_gaps(frames, "id", 10, 4.0, 400, frames_per_bucket).collect()}
+    counted = Q.piece_gaps(df, *pieces, 10, 8, 2, 4.0, 400, frames_per_bucket)
+    got = counted.collect()
+    assert {r.id: r.gaps for r in got} == want and len(got) == len(want) == 7
+    assert want["hole"] == 1 and want["zero"] == 0 and want["a"] + want["b"] + want["c"] > 3
+    assert counted.dtypes == [("id", "string"), ("gaps", "int")]
+
+
 def test_means_do_not_depend_on_partitions(spark):
     draw = np.random.default_rng(11)
     rows = [(str(i % 3), (draw.normal(size=5) * 10.0 ** draw.integers(-6, 3)).astype(np.float32).tolist(), float(draw.normal() * 3)) for i in range(3000)]

@@ -59,9 +59,17 @@ def silences(powers: np.ndarray, rate: int, hop: int, top_db: float, min_silence
     """Silences of at least ``min_silence_ms`` between loud stretches."""
     if powers.size == 0:
         return 0
-    floored = np.maximum(powers, S.POWER_FLOOR)
-    silent_frames = np.diff(np.flatnonzero(floored > loud_threshold(floored.max(), top_db))) - 1
-    shortest = int(rate * min_silence_ms / 1000)
+    return gaps_between(loud_frames(powers, powers.max(), top_db), hop, int(rate * min_silence_ms / 1000))
+
+
+def loud_frames(powers: np.ndarray, peak: float, top_db: float) -> np.ndarray:
+    """Places of the frames within ``top_db`` of their recording's loudest one."""
+    return np.flatnonzero(np.maximum(powers, S.POWER_FLOOR) > loud_threshold(np.maximum(peak, S.POWER_FLOOR), top_db))
+
+
+def gaps_between(loud: np.ndarray, hop: int, shortest: int) -> int:
+    """Stretches of silent frames, of ``shortest`` samples or more, between loud ones."""
+    silent_frames = np.diff(loud) - 1
     return int(np.count_nonzero((silent_frames >= 1) & (silent_frames * hop >= shortest)))
 
 
@@ -135,3 +143,37 @@ def joined_frames(parts: Column, first: Column, frames: Column, frame_length: in
         ])
 
     return once(powers)(parts, first, frames)
+
+
+def counted_or_powers(
+    parts: Column, first: Column, here: Column, alone: Column, frame_length: int, hop: int, top_db: float, shortest: int
+) -> Column:
+    """``frames_of_hops`` where a stretch is not ``alone``; of one that is its whole recording only the silences are kept."""
+    check_frames(frame_length, hop)
+
+    @pandas_udf("gaps int, powers array<double>")
+    def counted(batch: pd.Series, firsts: pd.Series, counts: pd.Series, whole: pd.Series) -> pd.DataFrame:
+        gaps, kept = [], []
+        for ps, a, n, w in zip(batch, firsts, counts, whole):
+            found = [(p["begin"], p["energies"]) for p in ([] if ps is None else ps)]
+            powers = frames_of_hops(found, int(a), int(n), frame_length, hop)
+            gaps.append(gaps_between(loud_frames(powers, powers.max(), top_db), hop, shortest) if w else None)
+            kept.append(None if w else powers)
+        return pd.DataFrame({"gaps": pd.Series(gaps, dtype="Int32"), "powers": pd.Series(kept, dtype=object)})
+
+    return once(counted)(parts, first, here, alone)
+
+
+def loud_edges(powers: Column, peak: Column, hop: int, top_db: float, shortest: int) -> Column:
+    """Of a stretch of frames: (inner, first, last), its inner silences and the places of its outer loud frames, if any."""
+
+    @pandas_udf("inner long, first long, last long")
+    def edges(batch: pd.Series, peaks: pd.Series) -> pd.DataFrame:
+        loud = [loud_frames(np.asarray(p), k, top_db) for p, k in zip(batch, peaks)]
+        return pd.DataFrame({
+            "inner": pd.Series([gaps_between(x, hop, shortest) for x in loud], dtype="Int64"),
+            "first": pd.Series([int(x[0]) if len(x) else None for x in loud], dtype="Int64"),
+            "last": pd.Series([int(x[-1]) if len(x) else None for x in loud], dtype="Int64"),
+        })
+
+    return once(edges)(powers, peak)

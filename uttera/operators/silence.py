@@ -7,7 +7,7 @@ from uttera import settings as S
 from uttera.functions import signal
 from uttera.functions import text as T
 from uttera.operators.lookup import lookup_join
-from uttera.session import materialize
+from uttera.session import bound_batches, materialize
 
 
 def frame_energy(
@@ -42,6 +42,63 @@ def piece_frames(
     Pieces may come in any order and size and must not overlap; samples between them that no row holds are zero. Rows
     without samples hold none.
     """
+    joined = _bucket_hops(df, utterance, start, samples, frame_length, hop, frames_per_bucket)
+    powers = joined.select("_key", "_first", signal.joined_frames(F.col("_parts"), F.col("_first"), F.col("_here"), frame_length, hop).alias("_powers"))
+    powers = materialize(powers, "powers")
+    peaks = materialize(powers.groupBy("_key").agg(F.max(F.array_max("_powers")).alias("peak")), "peaks")
+    peaked = lookup_join(powers, peaks, "_key").select(F.col("_key.utterance").alias(utterance), "peak", "_first", F.posexplode("_powers").alias("_place", "energy"))
+    numbered = peaked.select(utterance, "peak", (F.col("_first") + F.col("_place")).cast("int").alias("frame"), "energy")
+    return numbered.withColumn("start", F.col("frame") * hop).withColumn("end", (F.col("frame") + 1) * hop)
+
+
+def piece_gaps(
+    df: DataFrame,
+    utterance: str,
+    start: Column,
+    samples: Column,
+    sampling_rate: int,
+    frame_length: int = S.FRAME_LENGTH,
+    hop: int = S.HOP_LENGTH,
+    top_db: float = S.TOP_DB,
+    min_silence_ms: int = S.MIN_SILENCE_MS,
+    frames_per_bucket: int = S.BUCKET_ROWS,
+) -> DataFrame:
+    """``frame_gaps`` of ``piece_frames``, (utterance, gaps), without a row per frame.
+
+    What is exchanged are hops. A recording of one bucket is counted where its hops meet; only longer ones store their
+    frames' powers, for the peak that their buckets have in common, and then their buckets' outer loud edges meet.
+    """
+    shortest = int(sampling_rate * min_silence_ms / 1000)
+    joined = _bucket_hops(df, utterance, start, samples, frame_length, hop, frames_per_bucket)
+    alone = F.col("_frames") <= frames_per_bucket
+    found = signal.counted_or_powers(F.col("_parts"), F.col("_first"), F.col("_here"), alone, frame_length, hop, top_db, shortest)
+    stored = materialize(joined.select("_key", "_first", "_here", found.alias("_found")).select("_key", "_first", "_here", "_found.*"), "gaps")
+    short = stored.where(F.col("powers").isNull()).select(F.col("_key.utterance").alias(utterance), "gaps")
+
+    long = stored.where(F.col("powers").isNotNull())
+    peaks = materialize(long.groupBy("_key").agg(F.max(F.array_max("powers")).alias("_peak")), "peaks")
+    edges = signal.loud_edges(F.col("powers"), F.col("_peak"), hop, top_db, shortest).alias("_edges")
+    marked = lookup_join(long, peaks, "_key").select("_key", "_first", "_here", edges)
+    pieces = marked.select(
+        F.struct(F.col("_key.utterance").alias("utterance"), F.col("_first").alias("bucket")).alias("_piece"),
+        F.col("_edges.inner").alias("_inner"),
+        ((F.col("_first") + F.col("_edges.first")) * hop).alias("_first_start"),
+        ((F.col("_first") + F.col("_edges.last") + 1) * hop).alias("_piece_end"),
+        (F.col("_edges.first") > 0).alias("_leads_silent"),
+        (F.col("_edges.last") < F.col("_here") - 1).alias("_trails_silent"),
+    )
+    return short.unionByName(_across_pieces(pieces, utterance, F.lit(shortest)))
+
+
+def _bucket_hops(
+    df: DataFrame, utterance: str, start: Column, samples: Column, frame_length: int, hop: int, frames_per_bucket: int
+) -> DataFrame:
+    """Per bucket of a recording's frames the hops that reach it: (_key, _first, _here, _frames, _parts).
+
+    ``_first`` is the bucket's first frame, ``_here`` how many it has, ``_frames`` how many its recording has.
+    """
+    signal.check_frames(frame_length, hop)
+    bound_batches(df.sparkSession)
     reach = frame_length // (2 * hop)
     pieces = df.select(F.struct(F.col(utterance).alias("utterance")).alias("_key"), start.cast("bigint").alias("_at"), samples.alias("_samples"))
     pieces = pieces.where(F.size("_samples") > 0)
@@ -62,12 +119,7 @@ def piece_frames(
     every = frames.select("_key", "_frames", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_frames") - 1) / frames_per_bucket))).alias("_bucket"))
     begun = F.col("_bucket") * frames_per_bucket
     here = F.least(F.col("_frames") - begun, F.lit(frames_per_bucket))
-    powers = every.join(parts, ["_key", "_bucket"], "left").select("_key", begun.alias("_first"), signal.joined_frames(F.col("_parts"), begun, here, frame_length, hop).alias("_powers"))
-    powers = materialize(powers, "powers")
-    peaks = materialize(powers.groupBy("_key").agg(F.max(F.array_max("_powers")).alias("peak")), "peaks")
-    peaked = lookup_join(powers, peaks, "_key").select(F.col("_key.utterance").alias(utterance), "peak", "_first", F.posexplode("_powers").alias("_place", "energy"))
-    numbered = peaked.select(utterance, "peak", (F.col("_first") + F.col("_place")).cast("int").alias("frame"), "energy")
-    return numbered.withColumn("start", F.col("frame") * hop).withColumn("end", (F.col("frame") + 1) * hop)
+    return every.join(parts, ["_key", "_bucket"], "left").select("_key", begun.alias("_first"), here.alias("_here"), "_frames", "_parts")
 
 
 def signal_gaps(
@@ -135,6 +187,11 @@ def silence_gaps(
         (F.min(F.when(loud, F.col("_order"))) > F.min("_order")).alias("_leads_silent"),
         (F.max(F.when(loud, F.col("_order"))) < F.max("_order")).alias("_trails_silent"),
     )
+    return _across_pieces(pieces, utterance, min_gap)
+
+
+def _across_pieces(pieces: DataFrame, utterance: str, min_gap: float | Column) -> DataFrame:
+    """The gaps inside an utterance's pieces and those between their outer loud edges, joined up in order."""
     along = Window.partitionBy("_piece.utterance").orderBy("_piece.bucket")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     # A neighbouring piece without a loud frame, whose edges are null, is silent throughout.
