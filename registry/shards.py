@@ -259,9 +259,9 @@ def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
         "batch_id",
         "doc_id",
         F.size("input_ids").cast("bigint").alias("padded"),
-        F.md5(R.joined("input_ids")).alias("ids"),
-        F.md5(R.joined("attention_mask")).alias("attended"),
-        F.md5(R.joined("labels")).alias("labels"),
+        F.md5(R.digits("input_ids")).alias("ids"),
+        F.md5(R.digits("attention_mask")).alias("attended"),
+        F.md5(R.digits("labels")).alias("labels"),
     )
 
 

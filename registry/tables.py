@@ -51,6 +51,11 @@ def joined(ids: Column | str) -> Column:
     return F.array_join(column.cast("array<string>"), ",")
 
 
+def digits(ids: str) -> Column:
+    """``joined`` of an array of integers without nulls, which JSON writes in one pass and without a string for each."""
+    return F.btrim(F.to_json(ids), F.lit("[]"))
+
+
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     """User turns with the assistant turn that follows, if one does: (id, conv_id, turn, text, answer)."""
     turns = table(spark, sf, "conversations")

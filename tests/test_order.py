@@ -136,6 +136,18 @@ def test_pad_batches(spark):
         assert row.labels == list(range(1, n + 1)) + [-100] * (m - n)
 
 
+def test_pad_batches_shuffles_arrays_without_sorting_them(spark):
+    rows = [(i, [i] * (1 + i % 5), [1] * (1 + i % 5), [i] * (1 + i % 5)) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, input_ids array<int>, attention_mask array<int>, labels array<int>")
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "4096")
+    padded = E.pad_batches(df, 4, order="id")
+    plan = padded._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BuildRight" in plan.split("ShuffledHashJoin")[1].split("\n")[0]
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 256
+    got = sorted((r.batch_id, r.id, len(r.input_ids)) for r in padded.collect())
+    assert got == [(i // 4, i, max(1 + j % 5 for j in range(i // 4 * 4, min(30, i // 4 * 4 + 4)))) for i in range(30)]
+
+
 def test_lookup_join_is_the_same_shuffled_and_broadcast(spark):
     rows = spark.range(600).withColumn("key", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")))
     table = spark.createDataFrame([("hot", 1), ("1", 2), ("unused", 3)], "key string, v int")

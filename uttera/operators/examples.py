@@ -14,7 +14,7 @@ from uttera.functions import text as T
 from uttera.operators import filters
 from uttera.operators.lookup import is_small
 from uttera.operators.ranking import index_bucket, ranked
-from uttera.session import ROW, materialize, with_row_id
+from uttera.session import ROW, bound_scans, materialize, with_row_id
 
 
 @dataclass(frozen=True)
@@ -184,6 +184,7 @@ def pad_batches(
     ``bucket`` as in ``ranked``. ``lengths`` is a stored table (ROW, order, pieces) of the same rows, for examples that carry
     their row's number: then the examples themselves are read, or made, once.
     """
+    bound_scans(examples.sparkSession)
     rows = with_row_id(examples)
     sizes = rows.select(ROW, order, F.size("input_ids").alias("_size")) if lengths is None else lengths.select(ROW, order, F.col("pieces").alias("_size"))
     place = [F.col(order), F.col(ROW)]
@@ -196,8 +197,8 @@ def pad_batches(
     batched = numbered.withColumn("batch_id", F.floor(F.col("_rank") / batch_rows)).withColumn(
         "_longest", F.max("_size").over(Window.partitionBy("batch_id"))
     )
-    # Both sides grow with the data: a merge join never holds either in memory.
-    joined = rows.join(batched.select(ROW, "batch_id", "_longest").hint("merge"), ROW)
+    # The arrays stream past a hash of their partition's numbers, three to a row: they are shuffled, but never sorted.
+    joined = rows.join(batched.select(ROW, "batch_id", "_longest").hint("shuffle_hash"), ROW)
 
     def padded(column: str, fill: int) -> Column:
         return A.pad_right(F.col(column), F.col("_longest"), fill).alias(column)
