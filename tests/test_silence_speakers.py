@@ -221,3 +221,19 @@ def test_exact_sums_of_odd_terms(spark, terms):
     real = [t for t in terms if t is not None]
     want = (sum(real), sum(real) / len(real)) if real else (None, None)
     assert tuple(got) == (want if not real else pytest.approx(want, rel=1e-12, nan_ok=True))
+
+
+def test_signals_reach_python_in_bounded_batches(spark):
+    """Also where the session allows Spark's own ten thousand rows and 64 MB."""
+    df = spark.range(3).select("id", F.array(F.lit(1.0), F.lit(0.0)).alias("samples"))
+    found = {
+        "energy": lambda: Q.frame_energy(df, "id", F.col("samples"), 8, 2),
+        "gaps": lambda: Q.signal_gaps(df, F.col("samples"), F.lit(10), 8, 2),
+        "pieces": lambda: Q.piece_gaps(df, "id", F.lit(0), F.col("samples"), 10, 8, 2),
+    }
+    for name, build in found.items():
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "67108864")
+        assert build().count() >= 3, name
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 4096, name
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 8 << 20, name
