@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uttera.session import materialize
+from uttera import settings as S
+from uttera.session import bound_batches, materialize
 
 
 def infer(
@@ -26,9 +27,10 @@ def infer(
     ``load`` runs once per task. ``apply`` sees up to ``batch_rows`` rows; if it raises, the batch is repeated in
     halves, so that only the failing rows end up with an ``error`` and null outputs. Wrong columns or a wrong number of
     rows fail the job. Rows that an earlier stage gave an error
-    pass through untouched. ``keep`` lists the columns to carry along: select no more than is needed, since they all
+    pass through untouched. Rows reach Python a few of these batches at a time, bounded in bytes. ``keep`` lists the columns to carry along: select no more than is needed, since they all
     cross into Python.
     """
+    bound_batches(df.sparkSession, batch_rows * max(1, S.MODEL_ROWS // batch_rows), S.MODEL_BYTES)
     chained = "error" in df.columns
     carried = [c for c in dict.fromkeys([*keep, *inputs]) if c != "error"]
     names = [f.name for f in outputs.fields]
