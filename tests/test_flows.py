@@ -504,3 +504,20 @@ def test_stored_folders_are_discarded(spark):
     assert Path(path.removeprefix("file:")).exists()
     discard(spark, path)
     assert not Path(path.removeprefix("file:")).exists()
+
+
+def test_models_get_rows_in_bounded_batches(spark):
+    """Also where the session allows Spark's own ten thousand rows and 64 MB; a batch of the model's stays whole."""
+    made = Y.StructType([Y.StructField("n", Y.LongType())])
+
+    def count(model, batch):
+        return pd.DataFrame({"n": [len(batch)] * len(batch)})
+
+    df = spark.range(0, 1000, 1, 1)
+    for rows, sizes in ((64, {64, 40}), (300, {300, 100})):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "67108864")
+        got = {r.n for r in infer(df, dict, count, made, ["id"], ["id"], batch_rows=rows).collect()}
+        assert got == sizes
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= max(256, rows)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 16 << 20
