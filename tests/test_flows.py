@@ -1,6 +1,7 @@
 """Sources, inference, whole flows and streams."""
 
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as Y
 
+from registry.models import encode_and_return
 from uttera import settings as S
 from uttera.functions import text as T
 from uttera.operators import examples as E
@@ -521,3 +523,18 @@ def test_models_get_rows_in_bounded_batches(spark):
         assert got == sizes
         assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= max(256, rows)
         assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 16 << 20
+
+
+def test_a_returned_signal_takes_no_more_than_a_few_times_its_bytes():
+    """With its samples in a list it took nine times."""
+    signals = [np.arange(200_000, dtype=np.float32) + i for i in range(4)]
+    batch = pd.DataFrame({"audio": [{"array": s, "sampling_rate": 16000} for s in signals]})
+    tracemalloc.start()
+    made = encode_and_return({"range": S.TOKEN_RANGE}, batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * sum(s.nbytes for s in signals)
+    for i, row in enumerate(made.itertuples()):
+        assert row.speech_tokens.tolist() == [(x + i + 32) % S.TOKEN_RANGE for x in range(200_000)]
+        assert row.global_embedding.tolist() == [200_000, 199_999 + i]
+        assert np.array_equal(row.audio["array"], signals[i]) and row.audio["sampling_rate"] == 8000
