@@ -237,3 +237,27 @@ def test_signals_reach_python_in_bounded_batches(spark):
         assert build().count() >= 3, name
         assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 4096, name
         assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 8 << 20, name
+
+
+def test_frame_tables_are_packed_before_they_are_exchanged(spark):
+    """Shuffled are words of 64 frames, also of frames in any order, with holes, twice, off the grid and under a null name."""
+    draw = np.random.default_rng(21)
+    rows = []
+    for name, n in (("a", 700), ("b", 64), ("c", 1), (None, 200)):
+        level = np.repeat(draw.integers(0, 2, n // 5 + 1), 5)[:n]
+        rows += [(name, f, float(level[f]), f * 2, f * 2 + 2) for f in range(n)]
+    rows += [("twice", f, float(f in (3, 20)), f * 2, f * 2 + 2) for f in range(30)] * 2
+    rows += [("hole", f, float(f in (0, 99, 100)), f * 2, f * 2 + 2) for f in (0, 3, 99, 100)]
+    rows += [("bare", f, 1.0, f * 2, f * 2 + 2) for f in (0, 99)]
+    rows += [("odd", f, float(f in (0, 5)), f * 100 + f % 2, f * 100 + 90) for f in range(7)]
+    rows += [("silent", f, 0.0, f * 2, f * 2 + 2) for f in range(70)]
+    draw.shuffle(rows)
+    df = spark.createDataFrame([(*r, 1.0) for r in rows], "id string, frame int, energy double, start int, end int, peak double")
+    for size in (1, 3, 64, 100, 100000):
+        edges = (F.col("start"), F.col("end"), 8, F.floor(F.col("frame") / size))
+        want = {r.id: r.gaps for r in Q.silence_gaps(df, "id", "frame", "energy", *edges, 20.0, "peak").collect()}
+        counted = Q.frame_gaps(df, "id", 20, 20.0, 400, frames_per_bucket=size)
+        assert {r.id: r.gaps for r in counted.collect()} == want and counted.dtypes == [("id", "string"), ("gaps", "int")]
+        assert want["twice"] == want["hole"] == want["odd"] == 1 and want["bare"] == want["silent"] == 0 and want["a"] > 5
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bit_or" in plan.split("Exchange hashpartitioning")[-1]

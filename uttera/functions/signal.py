@@ -11,6 +11,9 @@ from pyspark.sql.functions import pandas_udf
 
 from uttera import settings as S
 
+#: Frames whose marks share a 64-bit word.
+WORD = 64
+
 
 def frame_powers(samples, frame_length: int, hop: int) -> np.ndarray:
     """Mean square of each centred, zero-padded frame: ``1 + n // hop`` of them, none for an empty signal.
@@ -78,6 +81,11 @@ def loud_threshold(peak, top_db: float = S.TOP_DB):
     return peak * 10.0 ** (-top_db / 10.0)
 
 
+def is_loud(energy: Column, peak: Column, top_db: float = S.TOP_DB) -> Column:
+    """Does a frame's power lie within ``top_db`` of its recording's peak?"""
+    return F.greatest(energy, F.lit(S.POWER_FLOOR)) > loud_threshold(F.greatest(peak, F.lit(S.POWER_FLOOR)), top_db)
+
+
 def once(function):
     """Keep the optimizer from repeating a Python pass, as it would for a filter it infers from an explode."""
     return function.asNondeterministic()
@@ -177,3 +185,42 @@ def loud_edges(powers: Column, peak: Column, hop: int, top_db: float, shortest:
         })
 
     return once(edges)(powers, peak)
+
+
+def marked_frames(at: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(frame, its word) of every bit that is set, in the order of frames; ``at`` is each word's first frame."""
+    bits = np.unpackbits(np.ascontiguousarray(marks, "<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    word, bit = np.nonzero(bits)
+    frames = at[word] + bit
+    order = np.argsort(frames, kind="stable")
+    return frames[order], word[order]
+
+
+def edges_of_words(at: np.ndarray, width: np.ndarray, origin: np.ndarray, loud: np.ndarray, silent: np.ndarray, shortest: int) -> tuple:
+    """(inner, first_start, last_end, leads, trails) of a stretch of frames; all but the first are None if none is loud.
+
+    A frame's edges are ``origin + frame * width`` and ``width`` more. Two loud frames are apart if a silent one lies between.
+    """
+    heard, own = marked_frames(at, loud)
+    if not len(heard):
+        return 0, None, None, None, None
+    quiet, _ = marked_frames(at, silent)
+    starts = origin[own] + heard * width[own]
+    ends = starts + width[own]
+    apart = np.searchsorted(quiet, heard[1:], "left") > np.searchsorted(quiet, heard[:-1], "right")
+    inner = np.count_nonzero(apart & (starts[1:] - ends[:-1] >= shortest))
+    leads, trails = len(quiet) and quiet[0] < heard[0], len(quiet) and quiet[-1] > heard[-1]
+    return int(inner), int(starts.min()), int(ends.max()), bool(leads), bool(trails)
+
+
+def word_edges(words: Column, shortest: int) -> Column:
+    """``edges_of_words`` of an array of (at, width, origin, loud, silent), which may be in any order."""
+
+    @pandas_udf("inner long, first_start long, last_end long, leads boolean, trails boolean")
+    def edges(at: pd.Series, width: pd.Series, origin: pd.Series, loud: pd.Series, silent: pd.Series) -> pd.DataFrame:
+        found = [edges_of_words(*stretch, shortest) for stretch in zip(at, width, origin, loud, silent)]
+        columns = zip(*found) if found else [[]] * 5
+        kinds = {"inner": "Int64", "first_start": "Int64", "last_end": "Int64", "leads": "boolean", "trails": "boolean"}
+        return pd.DataFrame({name: pd.Series(list(c), dtype=kind) for (name, kind), c in zip(kinds.items(), columns)})
+
+    return once(edges)(*[words[name] for name in ("at", "width", "origin", "loud", "silent")])

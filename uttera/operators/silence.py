@@ -171,9 +171,8 @@ def silence_gaps(
         whole = Window.partitionBy("_piece.utterance")
         keyed = keyed.join(peaks.select("_piece", F.max("_peak").over(whole).alias("_loudest")), "_piece")
 
-    threshold = signal.loud_threshold(F.greatest("_loudest", F.lit(S.POWER_FLOOR)), top_db)
     heard = keyed.select(
-        "_piece", "_order", "_start", "_end", (F.greatest("_energy", F.lit(S.POWER_FLOOR)) > threshold).alias("_loud")
+        "_piece", "_order", "_start", "_end", signal.is_loud(F.col("_energy"), F.col("_loudest"), top_db).alias("_loud")
     )
     loud = F.col("_loud")
     ordered = Window.partitionBy("_piece").orderBy("_order")
@@ -215,19 +214,45 @@ def frame_gaps(
     min_silence_ms: int = S.MIN_SILENCE_MS,
     frames_per_bucket: int = S.BUCKET_ROWS,
 ) -> DataFrame:
-    """``silence_gaps`` of a ``frame_energy`` table."""
-    return silence_gaps(
-        frames,
-        utterance,
-        order="frame",
-        energy="energy",
-        start=F.col("start"),
-        end=F.col("end"),
-        min_gap=int(sampling_rate * min_silence_ms / 1000),
-        bucket=F.floor(F.col("frame") / frames_per_bucket),
-        top_db=top_db,
-        peak="peak",
+    """``silence_gaps`` of a ``frame_energy`` table, without shuffling a row per frame.
+
+    Whether a frame is loud is seen beside its peak. So frames are packed where they are into words of 64, a bit each for loud
+    and silent ones, and the words are what is exchanged. Frames whose edges are not those of their neighbours' grid get words
+    of their own.
+    """
+    bound_batches(frames.sparkSession)
+    shortest = int(sampling_rate * min_silence_ms / 1000)
+    width = (F.col("end") - F.col("start")).cast("bigint")
+    seen = frames.select(
+        F.col(utterance).alias("_utterance"),
+        F.col("frame").cast("bigint").alias("_frame"),
+        F.floor(F.col("frame") / frames_per_bucket).alias("_bucket"),
+        width.alias("_width"),
+        (F.col("start") - F.col("frame") * width).cast("bigint").alias("_origin"),
+        signal.is_loud(F.col("energy"), F.col("peak"), top_db).alias("_loud"),
+    )
+    begun = F.col("_bucket") * frames_per_bucket
+    at = begun + F.floor((F.col("_frame") - begun) / signal.WORD) * signal.WORD
+    placed = seen.withColumn("_at", at)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_frame") - F.col("_at")).cast("int"))
+    none = F.lit(0).cast("bigint")
+    words = placed.groupBy("_utterance", "_bucket", "_at", "_width", "_origin").agg(
+        F.bit_or(F.when(F.col("_loud"), bit).otherwise(none)).alias("loud"),
+        F.bit_or(F.when(F.col("_loud"), none).otherwise(bit)).alias("silent"),
+    )
+    word = F.struct(F.col("_at").alias("at"), F.col("_width").alias("width"), F.col("_origin").alias("origin"), "loud", "silent")
+    packed = words.groupBy("_utterance", "_bucket").agg(F.collect_list(word).alias("_words"))
+    edges = signal.word_edges(F.col("_words"), shortest).alias("_edges")
+    pieces = packed.select(F.struct(F.col("_utterance").alias("utterance"), F.col("_bucket").alias("bucket")).alias("_piece"), edges)
+    pieces = pieces.select(
+        "_piece",
+        F.col("_edges.inner").alias("_inner"),
+        F.col("_edges.first_start").alias("_first_start"),
+        F.col("_edges.last_end").alias("_piece_end"),
+        F.col("_edges.leads").alias("_leads_silent"),
+        F.col("_edges.trails").alias("_trails_silent"),
     )
+    return _across_pieces(pieces, utterance, F.lit(shortest))
 
 
 def add_pauses(
