@@ -666,3 +666,26 @@ def test_language_of_mostly_copies_is_learned(spark, monkeypatch):
 ])
 def test_personal_data_after_cues_of_any_case(text, want):
     assert pii.redacted(text, pii.spans(text)) == want
+
+
+def test_decontamination_sends_names_of_rows_and_cuts_texts_once(spark, monkeypatch):
+    """No shingles of a row travel with each other, long rows are read a few at a time; what is found stays what it was."""
+    plans, store = {}, decontaminate.materialize
+
+    def noted(df, name="stage", *more):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, name, *more)
+
+    monkeypatch.setattr(decontaminate, "materialize", noted)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "4096")
+    passage = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, f"before it {passage} after it"), (1, "nothing of it"), (None, passage), (None, passage), (2, None), (3, passage.upper()), (3, passage.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(7, passage), (8, "a b c d")], "item_id long, text string")
+    found = decontaminate.contaminated(docs, items).select("doc_id", "item_id", "similarity", "first_word").collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(1, 7, 1.0, 2), (None, 7, 1.0, 0), (3, 7, 1.0, 0)], key=str)
+    left = decontaminate.without_contaminated_rows(docs, items)
+    assert sorted(map(tuple, left.collect()), key=str) == [(1, "nothing of it"), (2, None)]
+    assert plans["named"].count("split(") == 1 and "first(shingles" not in plans["named"]
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 256
+    assert spark.conf.get("parquet.hadoop.vectored.io.enabled") == "false"
