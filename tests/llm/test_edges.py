@@ -689,3 +689,10 @@ def test_decontamination_sends_names_of_rows_and_cuts_texts_once(spark, monkeypa
     assert plans["named"].count("split(") == 1 and "first(shingles" not in plans["named"]
     assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 256
     assert spark.conf.get("parquet.hadoop.vectored.io.enabled") == "false"
+    # Few of them are sent to every task, whatever the session's own bound, so that the documents are not shuffled.
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in decontaminate.without_contaminated_rows(docs, items)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
